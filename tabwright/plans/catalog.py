@@ -6,7 +6,7 @@ import importlib
 
 from tabwright.plans import registry
 
-MODULES = ["profiling"]
+MODULES = ["profiling", "shaping", "cleaning", "statistics", "selection"]
 
 
 def _load() -> None:

@@ -4,8 +4,8 @@ from pyspark.sql import functions as F
 
 from tabwright.functions.order import value_counts
 from tabwright.operators import profile as P
-from tabwright.plans.registry import query, rnd
-from tabwright.sources.tables import DOC_FRAME_SQL, ORDER_FRAME_SQL, doc_frame, order_frame, table
+from tabwright.plans.registry import query, rnd, rounded, union_sql
+from tabwright.sources.tables import DOC_FRAME_SQL, ORDER_FRAME_SQL, doc_frame, order_frame, staged_order_frame, table
 
 OF = f"with {ORDER_FRAME_SQL}"
 NUM = ["acctbal", "n_lines", "sum_qty", "max_price", "target"]
@@ -13,10 +13,6 @@ CAT = ["status", "priority", "segment_gap", "rating_absent", "near_const"]
 LINE_NUM = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
-def union_sql(parts):
-    return "\nunion all\n".join(parts)
-
-
 @query("prof_shape", "select count(*) as n_rows, cast(11 as integer) as n_cols from lineitem")
 def prof_shape(spark, sf):
     return P.shape(table(spark, sf, "lineitem"))
@@ -155,18 +151,14 @@ def _describe_sql(src, c):
             f"{rnd(f'cast(max({c}) as double)')} as \"max\" from {src}")
 
 
-def _rounded(df, cols, digits=4):
-    return df.select(*[F.round(c, digits).alias(c) if c in cols else c for c in df.columns])
-
-
 @query("prof_describe_num", f"{OF} " + union_sql(_describe_sql("order_frame", c) for c in NUM))
 def prof_describe_num(spark, sf):
-    return _rounded(P.describe_numeric(order_frame(spark, sf), NUM), {"mean", "std", "min", "q25", "q50", "q75", "max"})
+    return rounded(P.describe_numeric(staged_order_frame(spark, sf), NUM), {"mean", "std", "min", "q25", "q50", "q75", "max"})
 
 
 @query("prof_describe_num_lines", union_sql(_describe_sql("lineitem", c) for c in LINE_NUM))
 def prof_describe_num_lines(spark, sf):
-    return _rounded(P.describe_numeric(table(spark, sf, "lineitem"), LINE_NUM),
+    return rounded(P.describe_numeric(table(spark, sf, "lineitem"), LINE_NUM),
                     {"mean", "std", "min", "q25", "q50", "q75", "max"})
 
 
@@ -182,7 +174,7 @@ def prof_describe_cat(spark, sf):
     select "column", value, count(*) as cnt, {rnd('count(*) / sum(count(*)) over (partition by "column")', 8)} as share
     from u group by "column", value""")
 def prof_value_counts(spark, sf):
-    return _rounded(P.frequency(order_frame(spark, sf), CAT, nulls=True), {"share"}, 8)
+    return rounded(P.frequency(order_frame(spark, sf), CAT, nulls=True), {"share"}, 8)
 
 
 @query("prof_value_counts_lines", """
@@ -194,7 +186,7 @@ def prof_value_counts_lines(spark, sf):
 @query("prof_group_stat", f"""{OF} select nation, {rnd('avg(target)')} as mean, {rnd('median(target)')} as median,
     count(target) as n from order_frame group by nation""")
 def prof_group_stat(spark, sf):
-    return _rounded(P.group_stat(order_frame(spark, sf), "nation", "target"), {"mean", "median"})
+    return rounded(P.group_stat(staged_order_frame(spark, sf), "nation", "target"), {"mean", "median"})
 
 
 @query("prof_extremes", f"""with z as (select o_orderkey, (o_totalprice - (select avg(o_totalprice) from orders))
@@ -202,7 +194,7 @@ def prof_group_stat(spark, sf):
     (select o_orderkey, 'low' as tail, {rnd('z', 6)} as z from z order by o_totalprice, o_orderkey limit 10) union all
     (select o_orderkey, 'high' as tail, {rnd('z', 6)} as z from z order by o_totalprice desc, o_orderkey limit 10)""")
 def prof_extremes(spark, sf):
-    return _rounded(P.extremes(table(spark, sf, "orders"), "o_orderkey", "o_totalprice", 10), {"z"}, 6)
+    return rounded(P.extremes(table(spark, sf, "orders"), "o_orderkey", "o_totalprice", 10), {"z"}, 6)
 
 
 @query("prof_top_rows", """select o_orderkey, o_totalprice, o_orderstatus from orders

@@ -6,6 +6,7 @@ import textwrap
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,3 +29,11 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 def rnd(expr: str, digits: int = 4) -> str:
     """SQL rounding that never yields a negative zero."""
     return f"(round({expr}, {digits}) + 0.0)"
+
+
+def union_sql(parts) -> str:
+    return "\nunion all\n".join(parts)
+
+
+def rounded(df: DataFrame, cols, digits: int = 4) -> DataFrame:
+    return df.select(*[F.round(c, digits).alias(c) if c in cols else c for c in df.columns])

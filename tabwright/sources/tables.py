@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tabwright.session import materialize
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -64,6 +66,21 @@ def order_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_STAGED: dict[tuple[str, str], DataFrame] = {}
+
+
+def staged_order_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`order_frame` written once per application to the shared folder.
+
+    For jobs that read the frame several times (sketch, count, pick; fit, apply): one join instead
+    of one per pass, and each pass prunes the staged Parquet to the columns it needs.
+    """
+    slot = (spark.sparkContext.applicationId, sf_dir)
+    if slot not in _STAGED:
+        _STAGED[slot] = materialize(order_frame(spark, sf_dir), "order_frame")
+    return _STAGED[slot]
+
+
 def doc_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with their labels; the labels are null where a document has none."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
