@@ -67,8 +67,14 @@ def target_pair(method: str, lam: float | None = None):
     return TARGET_TRANSFORMS[method]
 
 
-@F.pandas_udf("double")
-def normal_quantile(p: pd.Series) -> pd.Series:
-    """Inverse of the standard normal distribution; the one function Spark SQL lacks."""
-    inv = NormalDist().inv_cdf
-    return p.map(lambda v: inv(v) if 0 < v < 1 else None).astype("float64")
+def normal_quantile(p: Column | str) -> Column:
+    """Inverse of the standard normal distribution; the one function Spark SQL lacks.
+
+    The function is nested so that it travels by value: executors need no copy of this package.
+    """
+
+    def inverse(probabilities: pd.Series) -> pd.Series:
+        inv = NormalDist().inv_cdf
+        return probabilities.map(lambda v: inv(v) if 0 < v < 1 else None).astype("float64")
+
+    return F.pandas_udf(inverse, "double")(p)
