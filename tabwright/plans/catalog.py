@@ -6,7 +6,7 @@ import importlib
 
 from tabwright.plans import registry
 
-MODULES = ["profiling", "shaping", "cleaning", "statistics", "selection", "splitting", "learned", "scoring"]
+MODULES = ["profiling", "shaping", "cleaning", "statistics", "selection", "splitting", "learned", "scoring", "modelling"]
 
 
 def _load() -> None:
