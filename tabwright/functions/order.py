@@ -106,10 +106,9 @@ def rank_levels(levels: DataFrame, by: Sequence[str] = (), buckets: int = BUCKET
 
 def _edges(long: DataFrame, buckets: int) -> DataFrame:
     """One sorted edge array per column: `buckets - 1` doubles, from a sketch of bounded size."""
-    probs = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
-    return long.groupBy("column").agg(
-        F.percentile_approx("value", probs, F.lit(buckets * 20)).alias("__edges")
-    )
+    probs = ", ".join(f"{i / buckets}D" for i in range(1, buckets))
+    sketch = F.expr(f"percentile_approx(value, array({probs}), {buckets * 20})")
+    return long.groupBy("column").agg(sketch.alias("__edges"))
 
 
 def search_sorted(
@@ -171,30 +170,25 @@ def exact_quantiles(
         hist = expand_folds(hist, k, fold).groupBy(*group, "bucket").agg(F.sum("n").alias("n"))
     w = W.partitionBy(*group)
     hist = hist.withColumn("upto", F.sum("n").over(w.orderBy("bucket"))).withColumn("total", F.sum("n").over(w))
-    wanted = F.array(*[F.lit(float(p)) for p in probs])
-    targets = (
-        hist.withColumn("prob", F.explode(wanted))
-        .withColumn("exact", F.col("prob") * (F.col("total") - 1))
-        .withColumn("pos", F.explode(F.array(F.floor("exact"), F.ceil("exact"))))
-        .filter((F.col("pos") >= F.col("upto") - F.col("n")) & (F.col("pos") < F.col("upto")))
-        .select(
-            *group, "bucket", "prob", "total",
-            (F.col("exact") - F.floor("exact")).alias("frac"),
-            (F.col("pos") - (F.col("upto") - F.col("n"))).alias("local"),
-        )
-        .distinct()
+    # per bucket: the wanted positions that fall into it, as places within the bucket
+    spots = F.expr(
+        "filter(flatten(transform(array(" + ", ".join(f"{float(p)!r}D" for p in probs) + "), p -> transform("
+        "array_distinct(array(floor(p * (total - 1)), ceil(p * (total - 1)))), pos -> named_struct('prob', p, "
+        "'frac', p * (total - 1) - floor(p * (total - 1)), 'place', pos - (upto - n))))), s -> s.place >= 0 and s.place < n)"
     )
+    need = hist.withColumn("spots", spots).filter(F.size("spots") > 0).select(*group, "bucket", "total", "spots")
+    cell = group + ["bucket"]
     if fold:
-        need = targets.select(*group, "bucket").distinct()
-        picked = null_safe_join(tagged, need, by + ["column", "bucket"]).filter(F.col("fit_fold") != F.col(fold))
+        picked = null_safe_join(tagged, need.drop("spots", "total"), by + ["column", "bucket"])
+        picked = picked.filter(F.col("fit_fold") != F.col(fold))
     else:
-        need = targets.select(*group, "bucket").distinct()
-        picked = null_safe_join(tagged, need, group + ["bucket"])
-    cell = group + ["bucket"]
+        picked = null_safe_join(tagged, need.drop("spots", "total"), cell)
     counted = picked.groupBy(*cell, "value").agg(F.count("*").alias("c"))
     ranked = counted.withColumn("hi", F.sum("c").over(W.partitionBy(*cell).orderBy("value")))
-    hit = null_safe_join(ranked, targets, cell).filter(
-        (F.col("local") < F.col("hi")) & (F.col("local") >= F.col("hi") - F.col("c"))
+    inside = F.expr("filter(spots, s -> s.place < hi and s.place >= hi - c)")
+    hit = (
+        null_safe_join(ranked, need, cell).withColumn("spots", inside).filter(F.size("spots") > 0)
+        .select(*group, "value", "total", F.inline("spots"))
     )
     lo, hi = F.min("value"), F.max("value")
     return hit.groupBy(*group, "prob").agg(

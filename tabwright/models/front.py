@@ -127,8 +127,10 @@ class FrontEnd:
     def _learn(self, rows: DataFrame) -> None:
         d, k = self.design, self.k
         cols = d.continuous
-        stats = {(r[L.FIT], r["column"]): r for r in L.fit_moments(rows, cols, self.fold, k).collect()} if cols else {}
-        self.stats = stats
+        y = self.forward(F.col(self.target).cast("double"))
+        moments = L.fit_moments(rows.withColumn("__y", y), [*cols, "__y"], self.fold, k).collect()
+        self.stats = stats = {(r[L.FIT], r["column"]): r for r in moments}
+        self.y_shift = stats[(k, "__y")]["mean"]
         self.center = {c: stats[(k, c)]["mean"] if (k, c) in stats else 0.0 for c in cols}
         self.fill: dict[tuple[int, str], float] = {}
         self.group_fill: dict[tuple[int, str], dict[str, float]] = {}
@@ -136,7 +138,7 @@ class FrontEnd:
             table = L.fit_median(rows, cols, self.fold, k).collect() if cols else []
             self.fill = {(r[L.FIT], r["column"]): r["value"] for r in table}
         elif self.numeric == "mean":
-            self.fill = {key: r["mean"] for key, r in stats.items()}
+            self.fill = {key: r["mean"] for key, r in stats.items() if key[1] != "__y"}
         else:
             raise ValueError(f"unknown numeric imputation {self.numeric!r}")
         for g in sorted(set(d.group_of.values())):
@@ -211,7 +213,6 @@ class FrontEnd:
         d = self.design
         variants = self.fits if self.lam else [0]
         y = self.forward(F.col(self.target).cast("double"))
-        self.y_shift = float(rows.agg(F.avg(y)).first()[0])
         xs = [(self._x(c, v) - self._shift(c, v)).alias(f"__x{v}_{i}") for v in variants for i, c in enumerate(d.continuous)]
         wide = rows.select(F.col(self.fold).cast("int").alias("__fold"), (y - self.y_shift).alias("__y"), *xs, *d.slots())
         nc, width = len(d.continuous), d.width

@@ -6,7 +6,9 @@ import importlib
 
 from tabwright.plans import registry
 
-MODULES = ["profiling", "shaping", "cleaning", "statistics", "selection", "splitting", "learned", "scoring", "modelling"]
+MODULES = [
+    "profiling", "shaping", "cleaning", "statistics", "selection", "splitting", "learned", "scoring", "modelling", "storage",
+]
 
 
 def _load() -> None:

@@ -12,6 +12,7 @@ from tabwright.operators import split as SP
 from tabwright.operators.select import array_columns
 from tabwright.plans import workbench as WB
 from tabwright.plans.registry import query, rnd, rounded
+from tabwright.session import materialize
 from tabwright.sources.tables import FOLD_SQL, ORDER_FRAME_SQL, doc_frame, staged_order_frame, table
 
 # One-feature models have closed forms, which SQL can state.
@@ -22,9 +23,18 @@ LINE_SQL = f"""with {ORDER_FRAME_SQL}, {FOLD_SQL},
   r as (select sum((x - m) / s * (y - yb)) as r, any_value(n) as n, any_value(m) as m, any_value(s) as s, any_value(yb) as yb from t, p)"""
 
 
-def _line(spark, sf):
-    rows = SP.kfold(staged_order_frame(spark, sf).filter(F.col("split") == "train").select("row_id", "acctbal", "target"), "row_id", 5)
-    return rows, WB.line_front(rows, "acctbal", transform="none")
+_LINE = {}
+
+
+def _line(spark, sf, transform="none"):
+    """Folded training rows, and the one-feature front end on them."""
+    slot = (spark.sparkContext.applicationId, sf)
+    if slot not in _LINE:
+        train = staged_order_frame(spark, sf).filter(F.col("split") == "train").select("row_id", "acctbal", "target")
+        _LINE[slot] = materialize(SP.kfold(train, "row_id", 5), "line_rows")
+    if (*slot, transform) not in _LINE:
+        _LINE[(*slot, transform)] = WB.line_front(_LINE[slot], "acctbal", transform=transform)
+    return _LINE[slot], _LINE[(*slot, transform)]
 
 
 def _line_weights(spark, sf, family, params):
@@ -99,14 +109,13 @@ def model_scaling_variants(spark, sf):
 @query("model_target_wrapped", f"""with {ORDER_FRAME_SQL}, {FOLD_SQL},
   t as (select o.row_id, o.acctbal as x, ln(1 + o.target) as y, f.fold from order_frame o join folds f using (row_id)),
   p as (select f.fold as ff, regr_slope(y, x) as b, regr_intercept(y, x) as a from (select distinct fold from folds) f join t on t.fold <> f.fold group by 1)
-  select row_id, fold, {rnd('exp(a + b * x) - 1')} as pred from t join p on fold = ff""")
+  select row_id, fold, {rnd('exp(a + b * x) - 1', 3)} as pred from t join p on fold = ff""")
 def model_target_wrapped(spark, sf):
     """Transform the target, fit per fold, bring predictions back."""
-    rows, _ = _line(spark, sf)
-    fr = WB.line_front(rows, "acctbal", transform="log")
+    rows, fr = _line(spark, sf, "log")
     coefs = coefficient_table(spark, fr, linear.fit_all(fr, {"line": ("ols", {})}))
     out = predict(rows, fr.design, coefs, ["row_id", "fold"], "fold", fr.inverse)
-    return rounded(out.select("row_id", "fold", "pred"), {"pred"})
+    return rounded(out.select("row_id", "fold", "pred"), {"pred"}, 3)
 
 
 @query("model_front_end")
@@ -196,8 +205,7 @@ PATH = [0.0, 1.0, 100.0, 1000.0, 10000.0]
   e as (select alpha, p.ff, avg(power(y - yb - r / (n + alpha) * (x - m) / s, 2)) as mse from a, p join r on p.ff = r.ff join t on t.fold = p.ff group by 1, 2)
   select alpha, {rnd('avg(mse)', 8)} as mse, count(*) as folds from e group by 1""")
 def tune_alpha_path(spark, sf):
-    rows, _ = _line(spark, sf)
-    fr = WB.line_front(rows, "acctbal")
+    _, fr = _line(spark, sf, "log")
     scored = linear.search(fr, "ridge", [{"alpha": a} for a in PATH])
     out = spark.createDataFrame([(p["alpha"], m, len(e)) for p, m, e in scored], "alpha double, mse double, folds bigint")
     return rounded(out, {"mse"}, 8)
