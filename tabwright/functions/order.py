@@ -154,7 +154,16 @@ def exact_quantiles(
     k: int = 0,
     buckets: int = BUCKETS,
 ) -> DataFrame:
-    """Exact quantiles with linear interpolation: `(by..., [fit_fold], column, prob, value, n)`.
+    """Exact quantiles with linear interpolation: `(by..., [fit_fold], column, prob, value, n)`."""
+    keep = [*by, *([fold] if fold else [])]
+    return long_quantiles(melt_numeric(df, cols, keep), probs, by, fold, k, buckets)
+
+
+def long_quantiles(
+    long: DataFrame, probs: Sequence[float], by: Sequence[str] = (), fold: str | None = None, k: int = 0,
+    buckets: int = BUCKETS,
+) -> DataFrame:
+    """`exact_quantiles` for rows that are already `(by..., [fold], column, value)`.
 
     1. sketch -> bucket edges per column; 2. exact counts per bucket (map-side combined, tiny);
     3. only the buckets that hold a wanted position are shuffled, as distinct values with counts.
@@ -162,7 +171,6 @@ def exact_quantiles(
     """
     by = list(by)
     keep = by + ([fold] if fold else [])
-    long = melt_numeric(df, cols, keep)
     tagged = _bucketed(long, buckets)
     hist = tagged.groupBy(*keep, "column", "bucket").agg(F.count("*").alias("n"))
     group = by + (["fit_fold"] if fold else []) + ["column"]

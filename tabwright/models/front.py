@@ -16,13 +16,14 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabwright.functions.order import exact_quantiles, expand_folds
+from tabwright.functions.order import exact_quantiles, expand_folds, long_quantiles
 from tabwright.functions.scalar import target_pair, yeo_johnson
 from tabwright.operators import learned as L
 
@@ -121,6 +122,7 @@ class FrontEnd:
         self._learn(rows)
         self._sum(rows)
         self.prepared = {f: self._prepare(f) for f in self.fits}
+        self._normal: dict[int, Normal] = {}
 
     # what cannot be read off the Gram matrices: medians, extremes, quartiles, lambdas
 
@@ -134,17 +136,16 @@ class FrontEnd:
         self.center = {c: stats[(k, c)]["mean"] if (k, c) in stats else 0.0 for c in cols}
         self.fill: dict[tuple[int, str], float] = {}
         self.group_fill: dict[tuple[int, str], dict[str, float]] = {}
-        if self.numeric == "median":
-            table = L.fit_median(rows, cols, self.fold, k).collect() if cols else []
-            self.fill = {(r[L.FIT], r["column"]): r["value"] for r in table}
-        elif self.numeric == "mean":
-            self.fill = {key: r["mean"] for key, r in stats.items() if key[1] != "__y"}
-        else:
+        if self.numeric not in ("median", "mean"):
             raise ValueError(f"unknown numeric imputation {self.numeric!r}")
-        for g in sorted(set(d.group_of.values())):
-            members = [c for c in cols if d.group_of.get(c) == g]
-            for r in L.fit_median(rows, members, self.fold, k, by=[g]).collect():
-                self.group_fill.setdefault((r[L.FIT], r["column"]), {})[str(r[g])] = r["value"]
+        for r in self._medians(rows):
+            if r["member"] is None:
+                self.fill[(r[L.FIT], r["column"])] = r["value"]
+            else:
+                self.group_fill.setdefault((r[L.FIT], r["column"]), {})[r["member"]] = r["value"]
+        if self.numeric == "mean":
+            plain = {key: r["mean"] for key, r in stats.items() if key[1] != "__y" and key[1] not in d.group_of}
+            self.fill |= plain
         self.quart: dict[tuple[int, str], tuple[float, float]] = {}
         self.lam: dict[tuple[int, str], float] = {}
         if self.scaling == "robust":
@@ -154,6 +155,17 @@ class FrontEnd:
         elif self.scaling not in ("standard", "minmax"):
             raise ValueError(f"unknown scaling {self.scaling!r}: standard, minmax, robust or yeo-johnson")
 
+    def _medians(self, rows: DataFrame) -> list:
+        """Overall and group medians of all columns and fits from one quantile run."""
+        d = self.design
+        cell = lambda c, member: F.struct(
+            F.lit(c).alias("column"), member.cast("string").alias("member"), F.col(c).cast("double").alias("value"))
+        cells = [cell(c, F.lit(None)) for c in d.continuous] + [cell(c, F.col(g)) for c, g in d.group_of.items()]
+        if not cells:
+            return []
+        long = rows.select(self.fold, F.inline(F.array(*cells))).filter(F.col("value").isNotNull())
+        return long_quantiles(long, [0.5], ["member"], self.fold, self.k).collect()
+
     def _fill_values(self, f: int, c: str) -> list[float]:
         """Imputed value for each slot of the column's null block."""
         base = self.fill.get((f, c), 0.0)
@@ -314,14 +326,17 @@ class FrontEnd:
         return Prepared(names, np.array(maps).reshape(len(names), d.width), lam, [self._shift(c, f) for c in d.continuous])
 
     def normal(self, f: int) -> Normal:
-        """Centred normal equations of fit f over the prepared features."""
+        """Centred normal equations of fit f over the prepared features; computed once."""
+        if f in self._normal:
+            return self._normal[f]
         prep, G = self.prepared[f], self.base_gram(f)
         n = G[0, 0]
         Z = prep.T
         zsum, ysum = Z @ G[:-1, 0], G[-1, 0]
         S = Z @ G[:-1, :-1] @ Z.T - np.outer(zsum, zsum) / n
         r = Z @ G[:-1, -1] - zsum * ysum / n
-        return Normal(prep.names, S, r, G[-1, -1] - ysum * ysum / n, n, zsum / n, ysum / n)
+        self._normal[f] = Normal(prep.names, S, r, G[-1, -1] - ysum * ysum / n, n, zsum / n, ysum / n)
+        return self._normal[f]
 
     def base_coefficients(self, f: int, w: np.ndarray, names: Sequence[str] | None = None) -> np.ndarray:
         """Prepared-feature weights as weights on the base vector, intercept included."""
@@ -355,6 +370,13 @@ class Normal:
     n: float
     z_mean: np.ndarray
     y_mean: float
+    warm: dict[float, np.ndarray] = field(default_factory=dict)  # last solution per mixing ratio
+
+    @cached_property
+    def spectrum(self) -> tuple[np.ndarray, np.ndarray]:
+        """Eigenvalues and eigenvectors of S, shared by every candidate of a search."""
+        values, vectors = np.linalg.eigh(self.S)
+        return np.maximum(values, 0.0), vectors
 
     def subset(self, names: Sequence[str]) -> Normal:
         idx = [self.names.index(c) for c in names]
@@ -374,21 +396,61 @@ def coefficient_table(spark: SparkSession, front: FrontEnd, coefs: Mapping[tuple
 
 
 def predict(df: DataFrame, design: Design, coefs: DataFrame, keep: Sequence[str], fit: str, inverse=F.expm1) -> DataFrame:
-    """`(keep..., model, z, pred)`: every row scored by each model of the fit its `fit` column names.
+    """Long form of `predict_wide`: `(keep..., model, z, pred)`."""
+    wide, models = predict_wide(df, design, coefs, keep, fit)
+    return long_predictions(wide, models, keep, inverse)
+
+
+def long_predictions(wide: DataFrame, models: Sequence[str], keep: Sequence[str], inverse=F.expm1) -> DataFrame:
+    cells = F.array(*[F.struct(F.lit(m).alias("model"), F.col(m).alias("z")) for m in models])
+    return wide.select(*keep, F.inline(cells)).withColumn("pred", inverse("z"))
+
+
+def predict_wide(
+    df: DataFrame, design: Design, coefs: DataFrame, keep: Sequence[str], fit: str
+) -> tuple[DataFrame, list[str]]:
+    """Keeps the given columns and adds one column per model: the prediction in the transformed
+    target, by the fit that the row's `fit` column names. Also returns the model names.
 
-    A map over the rows: the slots are found once, the coefficient rows of the fit arrive by
-    broadcast (models x fits rows of at most MAX_WIDTH doubles), and the sum is plain arithmetic.
+    A map over the rows. Slots are found in generated code; the sums run as an Arrow batch function
+    for all models at once. The same sum as a Spark expression passes the size above which the JVM
+    no longer compiles a method: 11 s against 2.5 s for 150,000 rows and four models. The
+    coefficients that travel with the function are models x fits rows of at most MAX_WIDTH doubles.
     """
-    xs = [F.col(c).cast("double").alias(f"__x{i}") for i, c in enumerate(design.continuous)]
-    rows = df.select(*keep, F.col(fit).alias("__fit"), *xs, *design.slots())
-    side = F.broadcast(coefs.withColumnRenamed(L.FIT, "__cf"))
-    joined = rows.join(side, F.col("__fit") == F.col("__cf"))
-    total = F.get("coef", F.lit(0))
-    for i in range(len(design.continuous)):
-        x, lam = F.col(f"__x{i}"), F.get("lam", F.lit(i))
-        value = F.when(F.col("lam").isNull(), x).otherwise(yeo_johnson(x, lam)) - F.get("shift", F.lit(i))
-        total = total + F.coalesce(value, F.lit(0.0)) * F.get("coef", F.lit(1 + i))
-    for i, (kind, c, _) in enumerate(design.blocks):
-        s = F.col(f"__s{i}")
-        total = total + F.when(s >= 0, F.get("coef", s + design.start[(kind, c)])).otherwise(0.0)
-    return joined.select(*keep, "model", total.alias("z")).withColumn("pred", inverse("z"))
+    table = coefs.collect()
+    models = sorted({r["model"] for r in table})
+    weights: dict[int, np.ndarray] = {}
+    tuning: dict[int, tuple] = {}
+    for r in table:
+        f = r[L.FIT]
+        w = weights.setdefault(f, np.zeros((len(models), design.width)))
+        w[models.index(r["model"])] = r["coef"]
+        tuning[f] = (r["lam"], r["shift"])
+    nc, starts = len(design.continuous), [design.start[(kind, c)] for kind, c, _ in design.blocks]
+    psi = L._power_function()
+
+    def score(batch: pd.DataFrame) -> pd.Series:
+        fits = batch["fit"].to_numpy()
+        z = np.full((len(batch), len(models)), np.nan)
+        for f in np.unique(fits):
+            if f not in weights:
+                continue
+            w, (lam, shift) = weights[f], tuning[f]
+            idx = np.flatnonzero(fits == f)
+            part = np.tile(w[:, 0], (len(idx), 1))
+            for i in range(nc):
+                x = batch[f"x{i}"].to_numpy(dtype="float64")[idx]
+                x = (psi(x, lam[i], "yeo-johnson") if lam is not None else x) - shift[i]
+                part += np.outer(np.nan_to_num(x, nan=0.0), w[:, 1 + i])
+            for i, start in enumerate(starts):
+                slot = batch[f"s{i}"].to_numpy()[idx]
+                hit = np.flatnonzero(slot >= 0)
+                part[hit] += w[:, start + slot[hit]].T
+            z[idx] = part
+        return pd.Series(list(z))
+
+    xs = [F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(design.continuous)]
+    slots = [design.slot(kind, c).alias(f"s{i}") for i, (kind, c, _) in enumerate(design.blocks)]
+    cells = F.struct(F.col(fit).cast("int").alias("fit"), *xs, *slots)
+    scored = df.select(*keep, F.pandas_udf(score, "array<double>")(cells).alias("__z"))
+    return scored.select(*keep, *[F.get("__z", F.lit(i)).alias(m) for i, m in enumerate(models)]), models

@@ -18,12 +18,19 @@ from tabwright.models.front import FrontEnd, Normal
 
 Params = Mapping[str, float]
 
+
+def _net(q: Normal, alpha: float, l1_ratio: float) -> np.ndarray:
+    """Elastic net, started from the last solution of the same mixing ratio."""
+    q.warm[l1_ratio] = solvers.elastic_net(q.S, q.r, q.n, alpha, l1_ratio, start=q.warm.get(l1_ratio))
+    return q.warm[l1_ratio]
+
+
 FAMILIES: dict[str, Callable[[Normal, Params], np.ndarray]] = {
     "ols": lambda q, p: solvers.ols(q.S, q.r),
     "ridge": lambda q, p: solvers.ridge(q.S, q.r, p["alpha"]),
-    "lasso": lambda q, p: solvers.lasso(q.S, q.r, q.n, p["alpha"]),
-    "elasticnet": lambda q, p: solvers.elastic_net(q.S, q.r, q.n, p["alpha"], p["l1_ratio"]),
-    "bayesian_ridge": lambda q, p: solvers.bayesian_ridge(q.S, q.r, q.yy, q.n, **p),
+    "lasso": lambda q, p: _net(q, p["alpha"], 1.0),
+    "elasticnet": lambda q, p: _net(q, p["alpha"], p["l1_ratio"]),
+    "bayesian_ridge": lambda q, p: solvers.bayesian_ridge(q.S, q.r, q.yy, q.n, spectrum=q.spectrum, **p),
 }
 
 # Defaults and search grids of the published configuration.

@@ -24,7 +24,7 @@ def ridge(S: np.ndarray, r: np.ndarray, alpha: float) -> np.ndarray:
 
 def elastic_net(
     S: np.ndarray, r: np.ndarray, n: float, alpha: float, l1_ratio: float,
-    max_iter: int = 20000, tol: float = 1e-9, start: np.ndarray | None = None,
+    max_iter: int = 20000, tol: float = 1e-7, start: np.ndarray | None = None,
 ) -> np.ndarray:
     """min 1/(2n) ||y - Xw||^2 + alpha l1_ratio ||w||_1 + alpha (1 - l1_ratio)/2 ||w||^2.
 
@@ -66,12 +66,13 @@ def lasso(S: np.ndarray, r: np.ndarray, n: float, alpha: float, **kw) -> np.ndar
 def bayesian_ridge(
     S: np.ndarray, r: np.ndarray, yy: float, n: float, alpha_1: float = 1e-6, alpha_2: float = 1e-6,
     lambda_1: float = 1e-6, lambda_2: float = 1e-6, max_iter: int = 300, tol: float = 1e-3,
+    spectrum: tuple[np.ndarray, np.ndarray] | None = None,
 ) -> np.ndarray:
     """Evidence maximisation over noise precision a and weight precision l (MacKay, 1992).
 
     One eigen-decomposition of S; each iteration is then a few vector operations.
     """
-    values, vectors = np.linalg.eigh(S)
+    values, vectors = spectrum if spectrum is not None else np.linalg.eigh(S)
     values = np.maximum(values, 0.0)
     rot = vectors.T @ r
     a = 1.0 / (yy / n + np.finfo(float).eps)

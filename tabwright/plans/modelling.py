@@ -279,16 +279,16 @@ def learning_curve(spark, sf):
 
 @query("ens_stack")
 def ens_stack(spark, sf):
-    preds = WB.all_predictions(spark, sf, "standard", n_iter=20)
-    return preds.filter(F.col("model") == "stacking").select("row_id", "fold", "part", "y", "pred")
+    wide, _ = WB.ensemble(spark, sf, "standard", n_iter=20)
+    return wide.select(*WB.KEEP, F.expm1("stacking").alias("pred"))
 
 
 @query("ens_stack_passthrough")
 def ens_stack_passthrough(spark, sf):
     """Boosted trees that see the features and the out-of-fold predictions of two linear models."""
     rows, fr = WB.prepared(spark, sf), WB.front(spark, sf)
-    base = WB.base_predictions(rows, fr, {f: (f, linear.DEFAULTS[f]) for f in ("ridge", "lasso")})
-    wide = base.groupBy("row_id").pivot("model", ["ridge", "lasso"]).agg(F.first("z"))
+    wide, _ = WB.wide_predictions(rows, fr, {f: (f, linear.DEFAULTS[f]) for f in ("ridge", "lasso")})
+    wide = wide.select("row_id", "ridge", "lasso")
     joined = rows.join(wide, "row_id")
     t = trees.TreeTrainer(joined, [*WB.CONTINUOUS, "ridge", "lasso"], WB.CATEGORICAL, WB.ORDINAL, "target", WB.K)
     model = t.fit(trees.boosted("gbr", TREES, stepSize=0.3), WB.K)
@@ -298,8 +298,7 @@ def ens_stack_passthrough(spark, sf):
 @query("met_comparison_models")
 def met_comparison_models(spark, sf):
     """The whole workflow: tuned linear families, stack, vote and blend, compared."""
-    preds = WB.all_predictions(spark, sf)
-    return WB.split_scores(WB.with_blend(preds, [*WB.FAMILIES, "stacking"]))
+    return WB.split_scores(WB.all_predictions(spark, sf))
 
 
 # Selection

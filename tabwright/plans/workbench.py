@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabwright.models import linear, solvers
-from tabwright.models.front import Design, FrontEnd, coefficient_table, collect_design, predict
+from tabwright.models.front import Design, FrontEnd, coefficient_table, collect_design, long_predictions, predict_wide
 from tabwright.operators import clean as C
 from tabwright.operators import metrics as M
 from tabwright.operators import shape as S
@@ -85,19 +85,29 @@ def line_front(rows: DataFrame, column: str, **options) -> FrontEnd:
     return FrontEnd(rows, Design([column], [], [], {}), K, "target", **options)
 
 
-def base_predictions(rows: DataFrame, fr: FrontEnd, chosen: Mapping[str, tuple[str, Mapping]]) -> DataFrame:
-    """`(row_id, fold, part, y, model, z, pred)` for all rows and models: one map over the rows."""
+# Predictions stay wide, one column per model in the transformed target, so that stack, vote and
+# blend are expressions on a row that already exists: no prediction is ever shuffled or joined.
+
+KEEP = ["row_id", "fold", "part", "y"]
+
+
+def wide_predictions(rows: DataFrame, fr: FrontEnd, chosen: Mapping[str, tuple[str, Mapping]]) -> tuple[DataFrame, list[str]]:
+    """`(row_id, fold, part, y, one column per model)` for every row: a map over the rows."""
     coefs = coefficient_table(rows.sparkSession, fr, linear.fit_all(fr, chosen))
-    scored = rows.withColumn("y", F.col("target"))
-    return predict(scored, fr.design, coefs, ["row_id", "fold", "part", "y"], "fold", fr.inverse)
+    return predict_wide(rows.withColumn("y", F.col("target")), fr.design, coefs, KEEP, "fold")
 
 
-def stack(preds: DataFrame, models: Sequence[str], k: int = K, alpha: float = 1.0, name: str = "stacking") -> DataFrame:
-    """Ridge over the base predictions (log scale), fitted without the fold it scores.
+def base_predictions(rows: DataFrame, fr: FrontEnd, chosen: Mapping[str, tuple[str, Mapping]]) -> DataFrame:
+    """The same in long form: `(row_id, fold, part, y, model, z, pred)`."""
+    return long_predictions(*wide_predictions(rows, fr, chosen), KEEP, fr.inverse)
+
 
-    One aggregate gives the (models + 2)^2 sums per fold; all k + 1 meta fits come from them.
+def meta_fits(wide: DataFrame, models: Sequence[str], k: int = K, alpha: float = 1.0) -> list[tuple[int, float, list[float]]]:
+    """Ridge over the base predictions for every fit: (fit, intercept, weights).
+
+    One aggregate gives the (models + 2)^2 sums per fold; all k + 1 fits come from them, each
+    without the fold it will score.
     """
-    wide = preds.groupBy("row_id", "fold", "part", "y").pivot("model", list(models)).agg(F.first("z"))
     terms = [F.lit(1.0), *[F.col(m) for m in models], F.log1p("y")]
     p = len(terms)
     cells = F.array(*[
@@ -107,25 +117,38 @@ def stack(preds: DataFrame, models: Sequence[str], k: int = K, alpha: float = 1.
     grams = {f: np.zeros((p, p)) for f in range(k)}
     for r in sums.collect():  # k * (models + 2)^2 / 2 cells
         grams[r["fold"]][r["i"], r["j"]] = grams[r["fold"]][r["j"], r["i"]] = r["s"]
-    table = []
+    out = []
     for f in range(k + 1):
         g = sum(grams[x] for x in range(k) if x != f)
         n, mean = g[0, 0], g[0, 1:-1] / g[0, 0]
         s = g[1:-1, 1:-1] - n * np.outer(mean, mean)
         y_mean = g[0, -1] / n
         w = solvers.ridge(s, g[1:-1, -1] - n * mean * y_mean, alpha)
-        table.append((f, float(y_mean - w @ mean), [float(v) for v in w]))
-    meta = preds.sparkSession.createDataFrame(table, "__f int, b double, w array<double>")
-    z = F.col("b")
+        out.append((f, float(y_mean - w @ mean), [float(v) for v in w]))
+    return out
+
+
+def with_stack(wide: DataFrame, models: Sequence[str], name: str = "stacking") -> DataFrame:
+    """Adds the stacked prediction; each row uses the meta fit of its own `fold`."""
+    fits = meta_fits(wide, models)
+    by_fit = lambda values: F.get(F.array(*[F.lit(v) for v in values]), F.col("fold"))
+    z = by_fit([b for _, b, _ in fits])
     for i, m in enumerate(models):
-        z = z + F.get("w", F.lit(i)) * F.col(m)
-    joined = wide.join(F.broadcast(meta), F.col("fold") == F.col("__f"))  # k + 1 rows
-    return joined.select("row_id", "fold", "part", "y", F.lit(name).alias("model"), z.alias("z"), F.expm1(z).alias("pred"))
+        z = z + by_fit([w[i] for _, _, w in fits]) * F.col(m)
+    return wide.withColumn(name, z)
+
 
+def with_vote(wide: DataFrame, models: Sequence[str], name: str = "voting") -> DataFrame:
+    """Adds the unweighted mean of the base predictions in the transformed target."""
+    return wide.withColumn(name, sum((F.col(m) for m in models), F.lit(0.0)) / len(models))
 
-def vote(preds: DataFrame, name: str = "voting") -> DataFrame:
-    out = preds.groupBy("row_id", "fold", "part", "y").agg(F.avg("z").alias("z"))
-    return out.select("row_id", "fold", "part", "y", F.lit(name).alias("model"), "z", F.expm1("z").alias("pred"))
+
+def with_blend(wide: DataFrame, models: Sequence[str], name: str = "blend") -> DataFrame:
+    """Adds the non-negative blend, weighted on out-of-fold rows by one aggregate."""
+    as_pred = wide.filter(F.col("part") == "fit").select("y", *[F.expm1(m).alias(m) for m in models])
+    weights = M.blend_weights(as_pred, models)
+    z = sum((F.log1p(S.clip_floor(F.expm1(m))) * w for m, w in weights.items()), F.lit(0.0))
+    return wide.withColumn(name, z)
 
 
 def split_scores(preds: DataFrame) -> DataFrame:
@@ -133,19 +156,17 @@ def split_scores(preds: DataFrame) -> DataFrame:
     return M.comparison(preds.filter(F.col("part") == "fit"), preds.filter(F.col("part") == "val"))
 
 
-def all_predictions(spark: SparkSession, sf_dir: str, scaling: str = "yeo-johnson", families: Sequence[str] = FAMILIES, n_iter: int = 100) -> DataFrame:
-    """Tuned base models, stack and vote over every row; written once, read by scores and blend."""
+def ensemble(
+    spark: SparkSession, sf_dir: str, scaling: str = "yeo-johnson", families: Sequence[str] = FAMILIES, n_iter: int = 100,
+) -> tuple[DataFrame, list[str]]:
+    """Tuned base models written once, then stack, vote and blend as further columns."""
     rows = prepared(spark, sf_dir)
     fr = front(spark, sf_dir, scaling)
-    chosen = linear.tuned(fr, families, n_iter)
-    base = materialize(base_predictions(rows, fr, chosen), "base_predictions")
-    return base.unionByName(stack(base, list(families))).unionByName(vote(base))
-
-
-def with_blend(preds: DataFrame, models: Sequence[str]) -> DataFrame:
-    """Adds the non-negative blend of the listed models, weighted on out-of-fold rows."""
-    wide = M.wide_predictions(preds, models, ["row_id", "fold", "part", "y"])
-    weights = M.blend_weights(wide.filter(F.col("part") == "fit"), models)
-    pred = M.blend(weights)
-    rows = wide.select("row_id", "fold", "part", "y", F.lit("blend").alias("model"), F.log1p(pred).alias("z"), pred.alias("pred"))
-    return preds.unionByName(rows)
+    base, models = wide_predictions(rows, fr, linear.tuned(fr, families, n_iter))
+    wide = with_vote(with_stack(materialize(base, "base_predictions"), models), models)
+    return with_blend(wide, [*models, "stacking"]), [*models, "stacking", "voting", "blend"]
+
+
+def all_predictions(spark: SparkSession, sf_dir: str, scaling: str = "yeo-johnson", families: Sequence[str] = FAMILIES, n_iter: int = 100) -> DataFrame:
+    """`ensemble` in long form."""
+    return long_predictions(*ensemble(spark, sf_dir, scaling, families, n_iter), KEEP)
