@@ -158,9 +158,10 @@ class FrontEnd:
     def _medians(self, rows: DataFrame) -> list:
         """Overall and group medians of all columns and fits from one quantile run."""
         d = self.design
-        cell = lambda c, member: F.struct(
-            F.lit(c).alias("column"), member.cast("string").alias("member"), F.col(c).cast("double").alias("value"))
-        cells = [cell(c, F.lit(None)) for c in d.continuous] + [cell(c, F.col(g)) for c, g in d.group_of.items()]
+        cell = lambda c, member, value: F.struct(
+            F.lit(c).alias("column"), member.cast("string").alias("member"), value.cast("double").alias("value"))
+        cells = [cell(c, F.lit(None), F.col(c)) for c in d.continuous]  # member null: the overall median
+        cells += [cell(c, F.col(g), F.when(F.col(g).isNotNull(), F.col(c))) for c, g in d.group_of.items()]
         if not cells:
             return []
         long = rows.select(self.fold, F.inline(F.array(*cells))).filter(F.col("value").isNotNull())
