@@ -18,17 +18,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-BUCKETS = 256
-
+from tabwright.functions.joins import attach, measured, null_safe_join
 
-def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
-    """Equi-join in which a null key equals a null key; right-hand keys are dropped."""
-    renamed = right.select(*[F.col(c).alias(f"__r_{c}") if c in keys else F.col(c) for c in right.columns])
-    cond = None
-    for k in keys:
-        c = F.col(k).eqNullSafe(F.col(f"__r_{k}"))
-        cond = c if cond is None else cond & c
-    return left.join(renamed, cond, how).drop(*[f"__r_{k}" for k in keys])
+BUCKETS = 256
 
 
 def melt_numeric(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
@@ -46,14 +38,14 @@ def hash_key(key: str, seed: int) -> Column:
 
 
 def hash_order(
-    df: DataFrame, key: str, seed: int, out: str = "rn", by: Sequence[str] = (), digits: int = 3
+    df: DataFrame, key: str, seed: int, out: str = "rn", by: Sequence[str] = (), digits: int = 4
 ) -> DataFrame:
     """1-based position of every row in the order of `md5(seed:key)`, ties by key.
 
     With `by`, positions start again in every group; a large group is spread over its own hash
     buckets, so it never sits in one window partition. `digits` hex digits give 16**digits buckets
     of equal expected size. Without `by` the offset table has that many rows at most, whatever the
-    input, which is what allows the broadcast; with `by` the planner decides from its size.
+    input, which is what allows the broadcast; with `by` it is counted first.
     """
     by = list(by)
     keyed = df.withColumn("__h", hash_key(key, seed)).withColumn("__b", F.substring("__h", 1, digits))
@@ -61,7 +53,7 @@ def hash_order(
     before = W.partitionBy(*by).orderBy("__b").rowsBetween(W.unboundedPreceding, -1)
     offsets = counts.select(*by, "__b", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
     inside = W.partitionBy(*by, "__b").orderBy("__h", key)
-    placed = null_safe_join(keyed, offsets if by else F.broadcast(offsets), [*by, "__b"])
+    placed = attach(keyed, offsets, [*by, "__b"]) if by else keyed.join(F.broadcast(offsets), "__b")
     return placed.withColumn(out, F.col("__off") + F.row_number().over(inside)).drop("__b", "__h", "__off")
 
 
@@ -97,8 +89,9 @@ def rank_levels(levels: DataFrame, by: Sequence[str] = (), buckets: int = BUCKET
     per = placed.groupBy(*group, "bucket").agg(F.count("*").alias("n"))
     per = per.withColumn("off", F.sum("n").over(W.partitionBy(*group).orderBy("bucket")) - F.col("n")).drop("n")
     inside = W.partitionBy(*group, "bucket").orderBy("level")
+    # at most `buckets` rows per column and fit
     return (
-        null_safe_join(placed, per, [*group, "bucket"])
+        null_safe_join(placed, F.broadcast(per), [*group, "bucket"])
         .withColumn("code", F.col("off") + F.row_number().over(inside) - 1)
         .drop("bucket", "off")
     )
@@ -107,7 +100,7 @@ def rank_levels(levels: DataFrame, by: Sequence[str] = (), buckets: int = BUCKET
 def _edges(long: DataFrame, buckets: int) -> DataFrame:
     """One sorted edge array per column: `buckets - 1` doubles, from a sketch of bounded size."""
     probs = ", ".join(f"{i / buckets}D" for i in range(1, buckets))
-    sketch = F.expr(f"percentile_approx(value, array({probs}), {buckets * 20})")
+    sketch = F.expr(f"percentile_approx(value, array({probs}), {buckets * 4})")
     return long.groupBy("column").agg(sketch.alias("__edges"))
 
 
@@ -131,8 +124,15 @@ def search_sorted(
 
 
 def _bucketed(long: DataFrame, buckets: int) -> DataFrame:
-    edges = F.broadcast(_edges(long, buckets))  # one row per column name
-    return search_sorted(long.join(edges, "column"), "__edges", "value", buckets).drop("__edges")
+    """Adds `bucket` to `(…, column, value)` rows.
+
+    The edges are fetched once (`buckets - 1` doubles per column) and become part of the plan. A
+    sketch depends on the order in which partial results arrive; computed again, after a lost
+    executor or in a second job, it could give other edges and so other bucket numbers.
+    """
+    rows = [(r["column"], r["__edges"]) for r in _edges(long, buckets).collect()]
+    edges = long.sparkSession.createDataFrame(rows, "column string, __edges array<double>")
+    return search_sorted(long.join(F.broadcast(edges), "column"), "__edges", "value", buckets).drop("__edges")
 
 
 def expand_folds(stats: DataFrame, k: int, fold: str = "fold", out: str = "fit_fold") -> DataFrame:
@@ -186,16 +186,18 @@ def long_quantiles(
     )
     need = hist.withColumn("spots", spots).filter(F.size("spots") > 0).select(*group, "bucket", "total", "spots")
     cell = group + ["bucket"]
+    # without groups `need` has at most columns x fits x 2 x probs rows; with groups it is counted
+    need, small = measured(need, "quantile_cells") if by else (need, True)
+    cells = need.drop("spots", "total")
+    keys = [c for c in cell if c != "fit_fold"]
+    picked = null_safe_join(tagged, F.broadcast(cells) if small else cells, keys)
     if fold:
-        picked = null_safe_join(tagged, need.drop("spots", "total"), by + ["column", "bucket"])
         picked = picked.filter(F.col("fit_fold") != F.col(fold))
-    else:
-        picked = null_safe_join(tagged, need.drop("spots", "total"), cell)
     counted = picked.groupBy(*cell, "value").agg(F.count("*").alias("c"))
     ranked = counted.withColumn("hi", F.sum("c").over(W.partitionBy(*cell).orderBy("value")))
     inside = F.expr("filter(spots, s -> s.place < hi and s.place >= hi - c)")
     hit = (
-        null_safe_join(ranked, need, cell).withColumn("spots", inside).filter(F.size("spots") > 0)
+        null_safe_join(ranked, F.broadcast(need) if small else need, cell).withColumn("spots", inside).filter(F.size("spots") > 0)
         .select(*group, "value", "total", F.inline("spots"))
     )
     lo, hi = F.min("value"), F.max("value")
@@ -232,8 +234,9 @@ def rank_counted(counted: DataFrame, by: Sequence[str] = (), buckets: int = BUCK
         "off", F.sum("n").over(w.orderBy("bucket")) - F.col("n")
     ).withColumn("total", F.sum("n").over(w)).drop("n")
     inside = W.partitionBy(*group, "bucket").orderBy("value")
+    placed = attach(values, per, group + ["bucket"]) if by else values.join(F.broadcast(per), ["column", "bucket"])
     return (
-        null_safe_join(values, per, group + ["bucket"])
+        placed
         .withColumn("before", F.col("off") + F.sum("cnt").over(inside) - F.col("cnt"))
         .select(*group, "value", "cnt", "before", "total")
     )

@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tabwright.functions.order import null_safe_join, rank_values
+from tabwright.functions.joins import null_safe_join
+from tabwright.functions.order import rank_values
 from tabwright.operators.profile import numeric_columns, string_columns
 from tabwright.operators.shape import Registry
 

@@ -16,8 +16,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tabwright.functions.joins import measured, null_safe_join
 from tabwright.functions.order import (
-    exact_quantiles, expand_folds, melt_numeric, most_frequent, null_safe_join, rank_levels,
+    exact_quantiles, expand_folds, melt_numeric, most_frequent, rank_levels,
     search_sorted, value_counts,
 )
 from tabwright.functions.scalar import yeo_johnson
@@ -116,12 +117,13 @@ def fill_by_group(
 ) -> DataFrame:
     """Null becomes the group's learned value; null or unseen groups take the overall one."""
     keys = ([FIT] if fold else []) + [group]
+    params, small = measured(params)
     side = params.filter(F.col(group).isNotNull()).select(
         *[F.col(x).alias(f"__k_{x}") for x in keys], F.col("value").alias("__g"))
     cond = F.col(group) == F.col(f"__k_{group}")
     if fold:
         cond = cond & (F.col(fold) == F.col(f"__k_{FIT}"))
-    out = df.join(side, cond, "left").drop(*[f"__k_{x}" for x in keys])
+    out = df.join(F.broadcast(side) if small else side, cond, "left").drop(*[f"__k_{x}" for x in keys])
     parts = [F.col(col), F.col("__g")]
     if overall is not None:
         out = attach_params(out, pivot_params(overall, [col], "value", "__o_", bool(fold)), fold)
@@ -181,13 +183,15 @@ def fit_ordinal(df: DataFrame, cols: Sequence[str], fold: str | None = None, k:
 
 def encode_ordinal(df: DataFrame, col: str, codes: DataFrame, out: str | None = None, fold: str | None = None) -> DataFrame:
     """Code of the level; unseen levels get -1, null stays null."""
-    side = codes.filter(F.col("column") == col).select(
+    codes, small = measured(codes.filter(F.col("column") == col), "codes")
+    side = codes.select(
         *[F.col(FIT).alias("__f")] if fold else [], F.col("level").alias("__l"), F.col("code").alias("__c"))
     cond = F.col(col).cast("string") == F.col("__l")
     if fold:
         cond = cond & (F.col(fold) == F.col("__f"))
     code = F.when(F.col(col).isNotNull(), F.coalesce("__c", F.lit(-1)))
-    return df.join(side, cond, "left").withColumn(out or col, code).drop("__f", "__l", "__c")
+    joined = df.join(F.broadcast(side) if small else side, cond, "left")
+    return joined.withColumn(out or col, code).drop("__f", "__l", "__c")
 
 
 # Scalers --------------------------------------------------------------------------------------

@@ -13,7 +13,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabwright.functions.order import exact_quantiles, expand_folds, null_safe_join, rank_counted, rank_values
+from tabwright.functions.joins import attach
+from tabwright.functions.order import exact_quantiles, expand_folds, rank_counted, rank_values
 from tabwright.operators.shape import clip_floor
 
 
@@ -42,7 +43,7 @@ def error_decomposition(df: DataFrame, by: Sequence[str] = (), features: int = 1
     """Relative errors and sums of squares around the mean, with adjusted R squared."""
     means = df.groupBy(*by).agg(F.avg(y).alias("__m"))
     if by:
-        rows = null_safe_join(df, means, list(by))
+        rows = attach(df, means, list(by), name="means")
     else:
         rows = df.withColumn("__one", F.lit(1)).join(F.broadcast(means.withColumn("__one", F.lit(1))), "__one")
     err, dev = F.col(y) - F.col(pred), F.col(y) - F.col("__m")
@@ -146,7 +147,7 @@ def oof_mean(df: DataFrame, key: str, target: str, k: int, fold: str = "fold", g
     pred = F.col("__all")
     if group:
         per = _leave_out(rows, z, fold, k, [group]).withColumnRenamed("fit_fold", "__f")
-        out = null_safe_join(out.withColumn("__f", F.col(fold)), per, ["__f", group], "left")
+        out = attach(out.withColumn("__f", F.col(fold)), per, ["__f", group], "left", name="group_means")
         pred = F.coalesce("__m", "__all")
     name = f"mean_by_{group}" if group else "mean"
     return out.select(key, F.col(fold).alias("fold"), F.lit(name).alias("model"), F.col(target).alias("y"), back(pred).alias("pred"))

@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabwright.functions.order import exact_quantiles, null_safe_join, value_counts, wide_quantiles
+from tabwright.functions.joins import null_safe_join
+from tabwright.functions.order import exact_quantiles, value_counts, wide_quantiles
 
 
 def numeric_columns(df: DataFrame) -> list[str]:

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tabwright.functions.joins import measured
 from tabwright.functions.order import value_counts
 from tabwright.operators.profile import level_summary, missing, numeric_columns, string_columns
 
@@ -154,12 +155,13 @@ def rows_not_in(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
 def lookup(df: DataFrame, params: DataFrame, key: str, value: str, fallback: Column, out: str) -> DataFrame:
     """Map a key to a learned statistic; a null or unseen key takes the fallback.
 
-    Not hinted: the planner broadcasts the lookup when its measured size is below the session's
-    threshold and otherwise shuffles both sides, splitting a hot key at run time.
+    The lookup is written and counted first: broadcast when small, else joined by shuffle with hot
+    keys split at run time.
     """
+    params, small = measured(params)
     side = params.select(F.col(key).alias("__k"), F.col(value).alias("__v")).filter(F.col("__k").isNotNull())
     return (
-        df.join(side, F.col(key) == F.col("__k"), "left")
+        df.join(F.broadcast(side) if small else side, F.col(key) == F.col("__k"), "left")
         .withColumn(out, F.coalesce("__v", fallback))
         .drop("__k", "__v")
     )

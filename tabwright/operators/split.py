@@ -7,13 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabwright.functions.order import hash_key, hash_order, null_safe_join, value_order
+from tabwright.functions.joins import attach
+from tabwright.functions.order import hash_key, hash_order, value_order
 
 
 def _with_total(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     total = df.groupBy(*by).agg(F.count("*").alias("__total"))
     if by:
-        return null_safe_join(df, total, list(by))
+        return attach(df, total, list(by), name="totals")
     one = F.broadcast(total.withColumn("__one", F.lit(1)))  # a single row
     return df.withColumn("__one", F.lit(1)).join(one, "__one").drop("__one")
 

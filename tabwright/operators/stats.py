@@ -9,8 +9,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tabwright.functions.joins import attach
 from tabwright.functions.order import (
-    exact_quantiles, hash_key, melt_numeric, null_safe_join, rank_counted, rank_values, value_counts, wide_quantiles,
+    exact_quantiles, hash_key, melt_numeric, rank_counted, rank_values, value_counts, wide_quantiles,
 )
 from tabwright.functions.scalar import normal_quantile
 
@@ -105,8 +106,8 @@ def spearman(df: DataFrame, cols: Sequence[str], target: str) -> DataFrame:
     """Rank correlation of each column with the target over the rows where both are present.
 
     Rows are first reduced to distinct (column, x, y) cells with counts, then each side picks up its
-    ranks by value. A value that many distinct partners share is split at run time by the
-    adaptive skew join; cells with equal pairs have already been merged.
+    ranks by value. A column with few distinct values has a small rank table, which is broadcast;
+    otherwise a value with very many partners is split at run time by the adaptive skew join.
     """
     pairs = df.filter(F.col(target).isNotNull()).select(
         F.col(target).cast("double").alias("y"), *[F.col(c).cast("double").alias(c) for c in cols])
@@ -116,7 +117,7 @@ def spearman(df: DataFrame, cols: Sequence[str], target: str) -> DataFrame:
     )
     x_ranks = _ranks_of(cells, "x")
     y_ranks = _ranks_of(cells, "y")
-    joined = cells.join(x_ranks, ["column", "x"]).join(y_ranks, ["column", "y"])
+    joined = attach(attach(cells, x_ranks, ["column", "x"], name="ranks"), y_ranks, ["column", "y"], name="ranks")
     c, x, y = F.col("c"), F.col("rank_x"), F.col("rank_y")
     half = (F.col("total") + 1) / 2  # mean rank, ties included
     dx, dy = x - half, y - half
@@ -247,7 +248,7 @@ def box_stats(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> Dat
     q = wide_quantiles(exact_quantiles(df, cols, [0.25, 0.5, 0.75], by=by), {0.25: "q1", 0.5: "median", 0.75: "q3"}, group)
     iqr = F.col("q3") - F.col("q1")
     fences = q.withColumn("low_fence", F.col("q1") - 1.5 * iqr).withColumn("high_fence", F.col("q3") + 1.5 * iqr)
-    rows = null_safe_join(melt_numeric(df, cols, by), fences, group)
+    rows = attach(melt_numeric(df, cols, by), fences, group, name="fences")
     v = F.col("value")
     inside = (v >= F.col("low_fence")) & (v <= F.col("high_fence"))
     return rows.groupBy(*group).agg(

@@ -7,6 +7,7 @@ from tabwright.models.trees import one_hot_stages
 from tabwright.operators import learned as L
 from tabwright.operators import split as S
 from tabwright.plans.registry import query, rnd, rounded
+from tabwright.session import materialize
 from tabwright.sources.tables import FOLD_SQL, ORDER_FRAME_SQL, staged_order_frame, table
 
 OF = f"with {ORDER_FRAME_SQL}, tr as (select * from order_frame where split = 'train')"
@@ -34,7 +35,7 @@ def imp_group_median(spark, sf):
     select t.row_id, {rnd('coalesce(t.max_price, g.v)')} as max_price from t left join g on t.fold = g.fold and t.nation = g.nation""")
 def imp_group_median_fold(spark, sf):
     _, train = frames(spark, sf)
-    folds = S.kfold(train.select("row_id", "nation", "max_price"), "row_id", 5)
+    folds = materialize(S.kfold(train.select("row_id", "nation", "max_price"), "row_id", 5), "folds")
     params = L.fit_median(folds, ["max_price"], "fold", 5, by=["nation"])
     overall = L.fit_median(folds, ["max_price"], "fold", 5)
     out = L.fill_by_group(folds, "max_price", "nation", params, overall, "fold")
@@ -189,7 +190,7 @@ def scale_robust(spark, sf):
     select row_id, {rnd('(acctbal - m) / s', 6)} as acctbal from t join p on t.fold = p.fold""")
 def scale_standard_fold(spark, sf):
     _, train = frames(spark, sf)
-    folds = S.kfold(train.select("row_id", "acctbal"), "row_id", 5)
+    folds = materialize(S.kfold(train.select("row_id", "acctbal"), "row_id", 5), "folds")
     params = L.fit_scaler(folds, ["acctbal"], "standard", "fold", 5)
     return rounded(L.apply_scaler(folds, params, ["acctbal"], "fold").drop("fold"), {"acctbal"}, 6)
 
@@ -215,7 +216,7 @@ def scale_yeojohnson_fit(spark, sf):
     """Lambda per fit and column, then the standardised transform of every training row under its fold's fit."""
     _, train = frames(spark, sf)
     cols = ["acctbal", "sum_qty", "max_price"]
-    folds = S.kfold(train.select("row_id", *cols), "row_id", 5)
+    folds = materialize(S.kfold(train.select("row_id", *cols), "row_id", 5), "folds")
     lam = L.power_table(spark, L.fit_power(folds, cols, "fold", 5))
     return L.apply_yeo_johnson(folds, lam, cols, "fold")
 

@@ -24,8 +24,8 @@ OOF_SQL = f"""with {ORDER_FRAME_SQL}, {FOLD_SQL},
 
 
 def oof(spark, sf):
-    train = S.kfold(staged_order_frame(spark, sf).filter(F.col("split") == "train")
-                    .select("row_id", "segment", "sum_qty", "target"), "row_id", 5)
+    rows = staged_order_frame(spark, sf).filter(F.col("split") == "train").select("row_id", "segment", "sum_qty", "target")
+    train = materialize(S.kfold(rows, "row_id", 5), "folds")
     return (M.oof_mean(train, "row_id", "target", 5)
             .unionByName(M.oof_mean(train, "row_id", "target", 5, group="segment"))
             .unionByName(M.oof_line(train, "row_id", "sum_qty", "target", 5)))

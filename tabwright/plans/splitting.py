@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from tabwright.operators import learned as L
 from tabwright.operators import split as S
 from tabwright.plans.registry import query, rnd, rounded
+from tabwright.session import materialize
 from tabwright.sources.tables import FOLD_SQL, ORDER_FRAME_SQL, order_frame, staged_order_frame, table
 
 OF = f"with {ORDER_FRAME_SQL}"
@@ -57,7 +58,9 @@ EXPAND_SQL = f"""{OF}, {FOLD_SQL}, fits as (select cast(unnest(range(6)) as inte
 
 
 def train_folds(spark, sf):
-    return S.kfold(train(spark, sf), "row_id", 5)
+    """Training rows with their fold, written once: fit and apply both read them."""
+    cols = ["row_id", "nation", "acctbal", "sum_qty", "max_price", "segment_gap"]
+    return materialize(S.kfold(train(spark, sf).select(cols), "row_id", 5), "folds")
 
 
 @query("fold_expand", f"""{EXPAND_SQL} select fit_fold, c as "column", n, {rnd('mean')} as mean, {rnd('lo')} as lo, {rnd('hi')} as hi, {rnd('m2 / n')} as var from (
