@@ -189,7 +189,7 @@ def long_quantiles(
     # without groups `need` has at most columns x fits x 2 x probs rows; with groups it is counted
     need, small = measured(need, "quantile_cells") if by else (need, True)
     cells = need.drop("spots", "total")
-    keys = [c for c in cell if c != "fit_fold"]
+    keys = by + ["column", "bucket"]  # with a fold, a row meets every fit that may see it
     picked = null_safe_join(tagged, F.broadcast(cells) if small else cells, keys)
     if fold:
         picked = picked.filter(F.col("fit_fold") != F.col(fold))
