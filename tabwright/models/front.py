@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from tabwright.functions.order import exact_quantiles, expand_folds, long_quantiles
 from tabwright.functions.scalar import target_pair, yeo_johnson
 from tabwright.operators import learned as L
+from tabwright.session import few_tasks
 
 MAX_WIDTH = 2000  # base columns; the driver holds (folds x fits) matrices of this size
 
@@ -255,7 +256,7 @@ class FrontEnd:
                 i, j = np.nonzero(np.triu(g))
                 yield pd.DataFrame({"v": np.int32(v), "fold": np.int32(f), "i": i.astype("int32"), "j": j.astype("int32"), "s": g[i, j]})
 
-        sums = wide.mapInPandas(partial, "v int, fold int, i int, j int, s double")
+        sums = few_tasks(wide).mapInPandas(partial, "v int, fold int, i int, j int, s double")
         cells = sums.groupBy("v", "fold", "i", "j").agg(F.sum("s").alias("s")).toPandas()  # width^2 cells per fold
         self.grams = {(v, f): np.zeros((width + 1, width + 1)) for v in variants for f in range(self.k)}
         for (v, f), part in cells.groupby(["v", "fold"]):

@@ -23,6 +23,7 @@ from tabwright.functions.order import (
 )
 from tabwright.functions.scalar import yeo_johnson
 from tabwright.operators.stats import moments
+from tabwright.session import few_tasks
 
 FIT = "fit_fold"
 
@@ -270,7 +271,7 @@ def _likelihood_sums(df: DataFrame, cols: Sequence[str], fold: Column, grid: dic
 
     schema = "fold int, column string, lam double, n double, s1 double, s2 double, jac double"
     rows = df.select(fold.cast("int").alias("__fold"), *[F.col(c).cast("double").alias(c) for c in cols])
-    sums = rows.mapInPandas(partial, schema).groupBy("fold", "column", "lam")
+    sums = few_tasks(rows).mapInPandas(partial, schema).groupBy("fold", "column", "lam")
     return sums.agg(*[F.sum(c).alias(c) for c in ("n", "s1", "s2", "jac")]).collect()
 
 

@@ -38,6 +38,11 @@ def kfold(df: DataFrame, key: str, k: int, seed: int = 42, out: str = "fold") ->
     return placed.withColumn(out, F.pmod(F.col("__rn") - 1, F.lit(k)).cast("int")).drop("__rn")
 
 
+def kfold_hash(df: DataFrame, key: str, k: int, seed: int = 42, out: str = "fold") -> DataFrame:
+    """Folds of about equal size by hash value: no shuffle, and a row keeps its fold when others come."""
+    return df.withColumn(out, F.pmod(F.xxhash64(F.col(key), F.lit(seed + 1)), F.lit(k)).cast("int"))
+
+
 def _tile(position: Column, total: Column, k: int) -> Column:
     """Tile of a 0-based position when `total` rows are cut into k runs, longer runs first."""
     size, extra = F.floor(total / k), total % k

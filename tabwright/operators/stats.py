@@ -14,6 +14,7 @@ from tabwright.functions.order import (
     exact_quantiles, hash_key, melt_numeric, rank_counted, rank_values, value_counts, wide_quantiles,
 )
 from tabwright.functions.scalar import normal_quantile
+from tabwright.session import few_tasks
 
 DIRECT_PAIRS = 120  # above this many column pairs the moments are summed as matrices
 
@@ -61,7 +62,8 @@ def pair_sums(df: DataFrame, cols: Sequence[str]) -> DataFrame:
                 name: total[k][left, right] for k, name in enumerate(["n", "sx", "sy", "sxx", "syy", "sxy"])})
 
     schema = "i int, j int, n double, sx double, sy double, sxx double, syy double, sxy double"
-    sums = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).mapInPandas(partial, schema)
+    rows = few_tasks(df.select(*[F.col(c).cast("double").alias(c) for c in cols]))
+    sums = rows.mapInPandas(partial, schema)
     return sums.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ["n", "sx", "sy", "sxx", "syy", "sxy"]])
 
 

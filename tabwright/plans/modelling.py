@@ -253,9 +253,12 @@ def tune_grid_trees(spark, sf):
 @query("cv_early_stop")
 def cv_early_stop(spark, sf):
     t = _trainer(spark, sf)
-    model = t.fit(trees.boosted("gbr", 8, stepSize=0.3), 0)
-    best, errors = trees.early_stop_rounds(model, t.filled(t.train.filter(F.col("fold") == 0), 0))
-    return spark.createDataFrame([(i + 1, float(e), i + 1 == best) for i, e in enumerate(errors)], "round int, mse double, chosen boolean")
+    est = trees.boosted("gbr", 8, stepSize=0.3)
+    best, errors = trees.early_stop_rounds(t.fit(est, 0), t.filled(t.train.filter(F.col("fold") == 0), 0))
+    final = trees.refit_at(t, est, best, WB.K)
+    kept = final.stages[-1].getNumTrees
+    rows = [(i + 1, float(e), i + 1 == best, kept) for i, e in enumerate(errors)]
+    return spark.createDataFrame(rows, "round int, mse double, chosen boolean, refitted_rounds int")
 
 
 @query("learning_curve")

@@ -29,31 +29,44 @@ GROUP_OF = {"max_price": "nation"}
 FAMILIES = ["ridge", "lasso", "elasticnet", "bayesian_ridge"]
 
 
-def clean(df: DataFrame) -> DataFrame:
-    """Rule-based cleaning and feature construction: nothing learned, valid for any new row."""
+def clean(df: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    """Rule-based cleaning and feature construction: nothing learned, valid for any new row.
+
+    `carry` names columns that pass through and play no part.
+    """
     df = C.recode_nominal(df, {"month_code": MONTHS})
     df = C.recode_ordinal(df, {"priority": PRIORITY, "rating_absent": {None: 0, **PRIORITY}})
-    registry = S.feature_groups(df, ORDINAL, ASIDE)
+    registry = S.feature_groups(df, ORDINAL, [*ASIDE, *carry])
     out, registry = C.engineer(
         df.drop("near_const", "segment"), registry.without(["near_const", "segment"]),
         sums={"qty_total": ["sum_qty"]}, weighted={}, differences={"age": ("order_year", "since_year")})
     return out.drop("qty_outlier")
 
 
-def prepare(raw: DataFrame, k: int = K, seed: int = 42) -> DataFrame:
+def prepare(raw: DataFrame, k: int = K, seed: int = 42, exact: bool = True) -> DataFrame:
     """Cleaned rows with `part` (fit, val or test) and `fold`.
 
-    Outliers leave the fitting part only. `fold` is k outside the fitting part, which makes every
-    row name the fit that may score it: its own left-out fold, or the fit on all fitting rows.
+    Outliers, flagged on the raw columns of the same row, leave the fitting part only. `fold` is k
+    outside the fitting part, which makes every row name the fit that may score it: its own
+    left-out fold, or the fit on all fitting rows.
+
+    Exact part sizes need ranks: those are found on keys alone, and one join brings them to the
+    rows. With `exact=False` parts and folds come from the key's hash and nothing is shuffled.
     """
-    flagged = raw.withColumn("__out", S.outlier_flag(raw, OUTLIERS)).select("row_id", "__out")
-    rows = clean(raw)
-    train = SP.holdout(rows.filter(F.col("split") == "train"), "row_id", 0.2, seed)
-    train = S.align(train, flagged, "row_id").filter(~((F.col("part") == "fit") & F.col("__out"))).drop("__out")
-    fit = SP.kfold(train.filter(F.col("part") == "fit"), "row_id", k, seed)
-    rest = train.filter(F.col("part") == "val").unionByName(
-        rows.filter(F.col("split") != "train").withColumn("part", F.lit("test")))
-    return fit.unionByName(rest.withColumn("fold", F.lit(k)))
+    rows = clean(raw.withColumn("__out", S.outlier_flag(raw, OUTLIERS)), carry=["__out"])
+    train = F.col("split") == "train"
+    outlier = (F.col("part") == "fit") & F.col("__out")
+    if not exact:
+        hashed = SP.kfold_hash(SP.holdout_hash(rows, "row_id", 0.2, seed), "row_id", k, seed)
+        part = F.when(train, F.col("part")).otherwise("test")
+        named = hashed.withColumn("part", part).filter(~outlier).drop("__out")
+        return named.withColumn("fold", F.when(F.col("part") == "fit", F.col("fold")).otherwise(k))
+    keys = SP.holdout(rows.filter(train).select("row_id", "__out"), "row_id", 0.2, seed)
+    keys = materialize(keys.filter(~outlier).drop("__out"), "parts")
+    folds = SP.kfold(keys.filter(F.col("part") == "fit"), "row_id", k, seed)
+    placed = folds.unionByName(keys.filter(F.col("part") == "val").withColumn("fold", F.lit(k)))
+    test = rows.filter(~train).withColumn("part", F.lit("test")).withColumn("fold", F.lit(k))
+    return S.align(rows.filter(train), placed, "row_id").unionByName(test).drop("__out")
 
 
 _PREPARED: dict = {}

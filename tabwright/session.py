@@ -45,6 +45,15 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def few_tasks(df: DataFrame) -> DataFrame:
+    """At most three tasks per core, without a shuffle.
+
+    For jobs whose tasks each emit a block of partial sums: what is shuffled grows with the number
+    of tasks, so a very large input is better read by long tasks than by very many short ones.
+    """
+    return df.coalesce(3 * df.sparkSession.sparkContext.defaultParallelism)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write once to the shared folder and read back.
 

@@ -182,3 +182,22 @@ def test_stored_model_scores_like_the_fitted_one(spark, sf):
     want = {r["row_id"]: r["pred"] for r in WB.base_predictions(test, fr, chosen).collect()}
     got = {r["row_id"]: r["pred"] for r in loaded.score(test, ["row_id"]).collect()}
     assert got == pytest.approx(want)
+
+
+def test_prepare_exact_and_hashed(spark, sf):
+    from tabwright.sources.tables import staged_order_frame
+
+    raw = staged_order_frame(spark, sf)
+    for exact in (True, False):
+        rows = WB.prepare(raw, exact=exact)
+        assert rows.select("row_id").distinct().count() == rows.count()
+        n = {r["part"]: r["count"] for r in rows.groupBy("part").count().collect()}
+        assert set(n) == {"fit", "val", "test"}
+        sizes = [r["count"] for r in rows.filter("part = 'fit'").groupBy("fold").count().collect()]
+        assert len(sizes) == WB.K
+        if exact:
+            assert max(sizes) - min(sizes) <= 1
+            train = raw.filter("split = 'train'").count()
+            assert n["val"] == -(-train // 5)
+        outliers = S.outlier_keys(raw, "row_id", WB.OUTLIERS)
+        assert rows.filter("part = 'fit'").join(outliers, "row_id").count() == 0
