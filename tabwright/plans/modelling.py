@@ -132,7 +132,10 @@ def _trainer(spark, sf):
     return trees.TreeTrainer(WB.prepared(spark, sf), WB.CONTINUOUS, WB.CATEGORICAL, WB.ORDINAL, "target", WB.K)
 
 
-KEEP = ["row_id", "fold", "part", F.col("target").alias("y")]
+def _keep():
+    return ["row_id", "fold", "part", F.col("target").alias("y")]
+
+
 TREES = 5  # rounds in the registered queries; the operators take any number
 
 
@@ -140,7 +143,7 @@ def _tree_scores(spark, sf, estimators):
     t = _trainer(spark, sf)
     out = None
     for name, est in estimators.items():
-        p = t.predictions(est, name, KEEP)
+        p = t.predictions(est, name, _keep())
         out = p if out is None else out.unionByName(p)
     return WB.split_scores(out)
 
@@ -295,7 +298,7 @@ def ens_stack_passthrough(spark, sf):
     joined = rows.join(wide, "row_id")
     t = trees.TreeTrainer(joined, [*WB.CONTINUOUS, "ridge", "lasso"], WB.CATEGORICAL, WB.ORDINAL, "target", WB.K)
     model = t.fit(trees.boosted("gbr", TREES, stepSize=0.3), WB.K)
-    return t.score(model, WB.K, "stack_passthrough", KEEP)
+    return t.score(model, WB.K, "stack_passthrough", _keep())
 
 
 @query("met_comparison_models")
