@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from tabwright.functions import scalar as X
 from tabwright.operators import clean as C
 from tabwright.operators import shape as S
-from tabwright.plans.registry import query, rnd, rounded
+from tabwright.plans.registry import query, rnd, rnd_col, rounded
 from tabwright.sources.tables import ORDER_FRAME_SQL, order_frame, staged_order_frame, table
 
 OF = f"with {ORDER_FRAME_SQL}"
@@ -105,7 +105,7 @@ _MATH = {
 def fn_math(spark, sf):
     v = F.col("value")
     return table(spark, sf, "events").select(
-        "event_id", *[F.round(f(v), 6).alias(n) for n, (_, f) in _MATH.items()],
+        "event_id", *[rnd_col(f(v), 6).alias(n) for n, (_, f) in _MATH.items()],
         F.floor(v).alias("f_floor"), F.round(v, 1).alias("f_round"))
 
 
@@ -126,7 +126,7 @@ def fn_boolean_flag(spark, sf):
 @query("fn_cond_transform", f"{OF} select row_id, {rnd('case when sum_qty > 20 then ln(sum_qty) else sum_qty end', 6)} as qty from order_frame")
 def fn_cond_transform(spark, sf):
     q = F.col("sum_qty")
-    return order_frame(spark, sf).select("row_id", F.round(X.log_where(q, q > 20), 6).alias("qty"))
+    return order_frame(spark, sf).select("row_id", rnd_col(X.log_where(q, q > 20), 6).alias("qty"))
 
 
 # Feature construction
@@ -135,13 +135,13 @@ def fn_cond_transform(spark, sf):
 @query("ft_sum_present", f"""{OF} select row_id, {rnd('coalesce(sum_qty, 0) + coalesce(n_lines, 0) + coalesce(max_price, 0)')} as total from order_frame""")
 def ft_sum_present(spark, sf):
     frame = order_frame(spark, sf)
-    return frame.select("row_id", F.round(C.sum_present(frame, ["sum_qty", "n_lines", "max_price", "gone"]), 4).alias("total"))
+    return frame.select("row_id", rnd_col(C.sum_present(frame, ["sum_qty", "n_lines", "max_price", "gone"]), 4).alias("total"))
 
 
 @query("ft_weighted_sum", f"""{OF} select row_id, {rnd('1.0 * n_lines + 0.5 * n_returned + 2.0 * max_price')} as total from order_frame""")
 def ft_weighted_sum(spark, sf):
     return order_frame(spark, sf).select(
-        "row_id", F.round(C.weighted_sum({"n_lines": 1.0, "n_returned": 0.5, "max_price": 2.0}), 4).alias("total"))
+        "row_id", rnd_col(C.weighted_sum({"n_lines": 1.0, "n_returned": 0.5, "max_price": 2.0}), 4).alias("total"))
 
 
 @query("ft_difference", f"{OF} select row_id, order_year - since_year as age from order_frame")
@@ -174,7 +174,7 @@ def ft_plain_sum(spark, sf):
 @query("ft_product", f"""{OF} select row_id, n_lines * n_returned as score, {rnd('sum_qty * max_price')} as worth from order_frame""")
 def ft_product(spark, sf):
     return order_frame(spark, sf).select(
-        "row_id", (F.col("n_lines") * F.col("n_returned")).alias("score"), F.round(F.col("sum_qty") * F.col("max_price"), 4).alias("worth"))
+        "row_id", (F.col("n_lines") * F.col("n_returned")).alias("score"), rnd_col(F.col("sum_qty") * F.col("max_price"), 4).alias("worth"))
 
 
 @query("ft_polynomial", "select event_id, " + ", ".join([

@@ -6,7 +6,7 @@ from tabwright.functions import scalar as X
 from tabwright.models.trees import one_hot_stages
 from tabwright.operators import learned as L
 from tabwright.operators import split as S
-from tabwright.plans.registry import query, rnd, rounded
+from tabwright.plans.registry import query, rnd, rnd_col, rounded
 from tabwright.session import materialize
 from tabwright.sources.tables import FOLD_SQL, ORDER_FRAME_SQL, staged_order_frame, table
 
@@ -223,7 +223,7 @@ def scale_yeojohnson_fit(spark, sf):
 
 @query("tf_boxcox1p", f"select event_id, {rnd('(power(1 + value, 0.15) - 1) / 0.15', 6)} as z from events")
 def tf_boxcox1p(spark, sf):
-    return table(spark, sf, "events").select("event_id", F.round(X.boxcox1p(F.col("value"), X.BOXCOX_LAMBDA), 6).alias("z"))
+    return table(spark, sf, "events").select("event_id", rnd_col(X.boxcox1p(F.col("value"), X.BOXCOX_LAMBDA), 6).alias("z"))
 
 
 @query("tf_boxcox1p_fit")
@@ -264,8 +264,8 @@ def target_transform(spark, sf):
     _, train = frames(spark, sf)
     y = F.col("target")
     pairs = {m: X.target_pair(m) for m in ("log", "boxcox", "none")} | {"yeojohnson": X.target_pair("yeojohnson", 0.2)}
-    out = train.select("row_id", *[F.round(f(y), 6).alias(f"z_{m}") for m, (f, _) in pairs.items()],
-                       *[F.round(g(f(y)), 6).alias(f"back_{m}") for m, (f, g) in pairs.items() if m != "none"])
+    out = train.select("row_id", *[rnd_col(f(y), 6).alias(f"z_{m}") for m, (f, _) in pairs.items()],
+                       *[rnd_col(g(f(y)), 6).alias(f"back_{m}") for m, (f, g) in pairs.items() if m != "none"])
     return out
 
 

@@ -11,7 +11,7 @@ from tabwright.models.front import coefficient_table, predict
 from tabwright.operators import split as SP
 from tabwright.operators.select import array_columns
 from tabwright.plans import workbench as WB
-from tabwright.plans.registry import query, rnd, rounded
+from tabwright.plans.registry import query, rnd, rnd_col, rounded
 from tabwright.session import materialize
 from tabwright.sources.tables import FOLD_SQL, ORDER_FRAME_SQL, doc_frame, staged_order_frame, table
 
@@ -41,7 +41,7 @@ def _line_weights(spark, sf, family, params):
     rows, fr = _line(spark, sf)
     coef = linear.fit(fr, family, params, fr.k)
     slope, intercept = float(coef[1]), float(coef[0] - coef[1] * fr.prepared[fr.k].shift[0])
-    return rows.agg(F.count("*").alias("n")).select(F.round(F.lit(slope), 8).alias("slope"), F.round(F.lit(intercept), 4).alias("intercept"), "n")
+    return rows.agg(F.count("*").alias("n")).select(rnd_col(F.lit(slope), 8).alias("slope"), rnd_col(F.lit(intercept), 4).alias("intercept"), "n")
 
 
 def _weights_sql(w):

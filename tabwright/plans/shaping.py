@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from tabwright.operators import shape as S
 from tabwright.operators.profile import schema_report
 from tabwright.operators.select import correlated_columns
-from tabwright.plans.registry import query, rnd, rounded, union_sql
+from tabwright.plans.registry import query, rnd, rnd_col, rounded, union_sql
 from tabwright.sources.tables import ORDER_FRAME_SQL, order_frame, staged_order_frame, table
 
 OF = f"with {ORDER_FRAME_SQL}"
@@ -136,7 +136,7 @@ def clip_floor(spark, sf):
 @query("join_align", f"{OF} select row_id, sum_qty, {rnd('target')} as target from order_frame where target is not null")
 def join_align(spark, sf):
     frame = staged_order_frame(spark, sf)
-    target = frame.filter(F.col("target").isNotNull()).select("row_id", F.round("target", 4).alias("target"))
+    target = frame.filter(F.col("target").isNotNull()).select("row_id", rnd_col("target", 4).alias("target"))
     return S.align(frame.select("row_id", "sum_qty"), target, "row_id")
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tabwright.models import linear, trees
 from tabwright.models.front import coefficient_table
 from tabwright.plans import workbench as WB
-from tabwright.plans.registry import query, rnd
+from tabwright.plans.registry import query, rnd, rnd_col
 from tabwright.session import new_path
 from tabwright.sources import readers as R
 from tabwright.sources import sinks as K
@@ -53,7 +53,7 @@ def src_head_rows_key(spark, sf):
 
 @query("src_load_split", f"with {ORDER_FRAME_SQL} select row_id, segment, sum_qty, {rnd('target')} as target, split from order_frame")
 def src_load_split(spark, sf):
-    frame = staged_order_frame(spark, sf).select("row_id", "segment", "sum_qty", F.round("target", 4).alias("target"), "split")
+    frame = staged_order_frame(spark, sf).select("row_id", "segment", "sum_qty", rnd_col("target", 4).alias("target"), "split")
     train = frame.filter(F.col("split") == "train").drop("split")
     test = frame.filter(F.col("split") == "test").drop("split", "target")
     return R.load_split(train, test, "row_id", "target")
