@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from tabwright.llm import mixing
+from tabwright.llm import mixing, tokens
 
 QUERIES = {
     "op4_source_mix": mixing.query,
+    "op5_token_counts": tokens.query,
 }
 ORACLE = {
     "op4_source_mix": mixing.SQL.strip(),
