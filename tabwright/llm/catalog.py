@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from tabwright.llm import mixing, tokens
+from tabwright.llm import bytenet, mixing, tokens
 
 QUERIES = {
     "op4_source_mix": mixing.query,
     "op5_token_counts": tokens.query,
+    "op8_quality_classifier": bytenet.query,
 }
 ORACLE = {
     "op4_source_mix": mixing.SQL.strip(),
