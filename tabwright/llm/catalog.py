@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tabwright.llm import bytenet, mixing, tokens
+from tabwright.llm import bytenet, mixing, pii, tokens
 
 QUERIES = {
+    "op1_pii_spans": pii.query,
     "op4_source_mix": mixing.query,
     "op5_token_counts": tokens.query,
     "op8_quality_classifier": bytenet.query,
