@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from tabwright.llm import bytenet, mixing, pii, tokens
+from tabwright.llm import bytenet, mixing, pii, quality, tokens
 
 QUERIES = {
     "op1_pii_spans": pii.query,
+    "op3_quality_rules": quality.query,
     "op4_source_mix": mixing.query,
     "op5_token_counts": tokens.query,
     "op8_quality_classifier": bytenet.query,
