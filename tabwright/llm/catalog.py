@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from tabwright.llm import bytenet, mixing, pii, quality, tokens
+from tabwright.llm import bytenet, mixing, passages, pii, quality, tokens
 
 QUERIES = {
     "op1_pii_spans": pii.query,
     "op3_quality_rules": quality.query,
     "op4_source_mix": mixing.query,
     "op5_token_counts": tokens.query,
+    "op6_substring_dedup": passages.query,
     "op8_quality_classifier": bytenet.query,
 }
 ORACLE = {

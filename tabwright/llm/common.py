@@ -52,7 +52,30 @@ def attach_small(rows: DataFrame, side: DataFrame, on: Column, how: str = "left"
     size = None
     for field in table.schema.fields:
         kind = field.dataType.typeName()
-        width = F.octet_length(F.col(field.name)) if kind in ("string", "binary") else F.lit(8)
+        width = F.lit(8)
+        if kind in ("string", "binary"):
+            width = F.octet_length(F.col(field.name))
+        elif kind == "array":  # of numbers
+            width = 8 * F.size(F.col(field.name))
         size = F.coalesce(width, F.lit(0)) + 8 if size is None else size + F.coalesce(width, F.lit(0)) + 8
     total = table.agg(F.coalesce(F.sum(size), F.lit(0)).alias("b")).first()["b"]
     return rows.join(F.broadcast(table) if total <= limit else table, on, how)
+
+
+def copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(text_key, first_id, n_rows) of every text that several rows hold; a null text is an empty one.
+
+    Only digests are shuffled, and they are counted before the shuffle.
+    """
+    keyed = docs.select(F.col(id_col).alias("id"), text_key(text_col).alias("text_key"))
+    return keyed.groupBy("text_key").agg(F.min("id").alias("first_id"), F.count("*").alias("n_rows")).filter("n_rows > 1")
+
+
+def text_key(text_col: str = "text") -> Column:
+    return F.unhex(F.md5(text_or_empty(text_col)))
+
+
+def with_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """`docs` with `__first` (smallest id among the rows of the same text) and `__rows`, null for single texts."""
+    side = copies(docs, id_col, text_col).select(F.col("text_key").alias("__k"), F.col("first_id").alias("__first"), F.col("n_rows").alias("__rows"))
+    return attach_small(docs, side, text_key(text_col) == F.col("__k"), name="copies").drop("__k")
