@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tabwright.llm import bytenet, mixing, passages, pii, quality, tokens
+from tabwright.llm import bytenet, jaccard, mixing, passages, pii, quality, tokens
 
 QUERIES = {
     "op1_pii_spans": pii.query,
@@ -10,10 +10,13 @@ QUERIES = {
     "op4_source_mix": mixing.query,
     "op5_token_counts": tokens.query,
     "op6_substring_dedup": passages.query,
+    "op7_ngram_jaccard": jaccard.query,
     "op8_quality_classifier": bytenet.query,
 }
 ORACLE = {
     "op4_source_mix": mixing.SQL.strip(),
+    "op6_substring_dedup": passages.SQL.strip(),
+    "op7_ngram_jaccard": jaccard.SQL.strip(),
 }
 
 

@@ -223,3 +223,17 @@ def dedup_windows(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id",
 def query(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     return dedup_windows(docs).drop("kept_text")
+
+
+SQL = r"""
+with d as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
+v as (select doc_id, w, unnest(range(1, len(w) - 18)) as i from d),
+k as (select doc_id, i, rank() over (partition by array_to_string(w[i:i + 19], ' ') order by doc_id, i) as place from v),
+g as (select distinct doc_id, unnest(range(i, i + 20)) as j from k where place > 1),
+x as (select doc_id, w, unnest(range(1, len(w) + 1)) as j from d),
+t as (select x.doc_id, string_agg(case when g.j is null then w[x.j] end, ' ' order by x.j) as kept, count(g.j) as n_removed
+      from x left join g on g.doc_id = x.doc_id and g.j = x.j group by x.doc_id)
+select d.doc_id, cast(len(w) as bigint) as n_words, cast(coalesce(n_removed, 0) as bigint) as n_removed,
+       sha256(coalesce(kept, '')) as kept_sha256
+from d left join t on t.doc_id = d.doc_id
+"""
