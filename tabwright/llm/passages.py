@@ -41,10 +41,10 @@ def _cells(hashes: np.ndarray, row: int, bits: int) -> np.ndarray:
     return (rolling.mix(hashes + np.uint64(row * 0x9E3779B97F4A7C15 % 2**64)) >> np.uint64(64 - bits)).astype(np.int64)
 
 
-def sketch(docs: DataFrame, bits: int, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
+def sketch(docs: DataFrame, bits: int, hashes_of, size: int = SLICE) -> DataFrame:
     """(line, block, bitmap): for every line of the count-min sketch, which cells were hit twice or more.
 
-    Each task counts the grams of its own windows and sends, per block, the cells hit once and those hit
+    Each task counts what `hashes_of` finds in slices of its texts and sends, per block, the cells hit once and those hit
     more often; partial sketches are added block by block after one shuffle of these lists.
     """
     small = min(bits, BLOCK_BITS)
@@ -55,9 +55,8 @@ def sketch(docs: DataFrame, bits: int, window: int = WINDOW, gram: int = GRAM) -
         found = []
         for batch in batches:
             texts = batch.column(0).to_pylist()
-            for lo, hi in slices(texts, SLICE):
-                _, _, grams, _, place = _anchors([t.encode("utf-8") for t in texts[lo:hi]], window, gram)
-                found.append(grams[np.unique(place)])
+            for lo, hi in slices(texts, size):
+                found.append(hashes_of([t.encode("utf-8") for t in texts[lo:hi]]))
         hashes = np.concatenate(found) if found else np.empty(0, np.uint64)
         for line in range(DEPTH):
             cells, n = np.unique(_cells(hashes, line, bits), return_counts=True)
@@ -102,6 +101,30 @@ def sketch(docs: DataFrame, bits: int, window: int = WINDOW, gram: int = GRAM) -
     return partial.repartition("line", "block").sortWithinPartitions("line", "block").mapInArrow(add, "line int, block int, bitmap binary")
 
 
+def cells_for(docs: DataFrame, bytes_per_cell: int) -> int:
+    """Bits of a cell number, from the counted bytes of all texts."""
+    total = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    return min(MAX_BITS, max(MIN_BITS, int(total / bytes_per_cell).bit_length()))
+
+
+def repeated_cells(docs: DataFrame, bits: int, hashes_of, size: int = SLICE):
+    """A broadcast of the merged sketch's bitmaps, one per line: at most DEPTH * 2^MAX_BITS / 8 bytes."""
+    maps = [np.zeros(-(-(1 << bits) // 8), np.uint8) for _ in range(DEPTH)]
+    width = max(1, (1 << min(bits, BLOCK_BITS)) // 8)
+    for r in sketch(docs, bits, hashes_of, size).toLocalIterator():
+        maps[r["line"]][r["block"] * width : (r["block"] + 1) * width] = np.frombuffer(r["bitmap"], np.uint8)
+    return docs.sparkSession.sparkContext.broadcast([m.tobytes() for m in maps])
+
+
+def maybe_repeated(hashes: np.ndarray, bitmaps: list[bytes], bits: int) -> np.ndarray:
+    """Whether every line of the sketch has seen the hash's cell twice."""
+    keep = np.ones(len(hashes), dtype=bool)
+    for line, bitmap in enumerate(bitmaps):
+        cell = _cells(hashes, line, bits)
+        keep &= (np.frombuffer(bitmap, np.uint8)[cell >> 3] >> (cell & 7).astype(np.uint8)) & 1 == 1
+    return keep
+
+
 def _repeated(docs: DataFrame, bitmaps, bits: int, window: int, gram: int) -> DataFrame:
     """(h1, h2, id, tag, sure) of the windows whose estimate is two or more; tag holds the text's short hash and the start.
 
@@ -116,12 +139,7 @@ def _repeated(docs: DataFrame, bitmaps, bits: int, window: int, gram: int) -> Da
             ids, tags, texts = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_numpy(), batch.column(2).to_pylist()
             for lo, hi in slices(texts, SLICE):
                 hashes, owner, grams, first, place = _anchors([t.encode("utf-8") for t in texts[lo:hi]], window, gram)
-                keep = np.ones(len(first), dtype=bool)
-                for line in range(DEPTH):
-                    bitmap = np.frombuffer(bitmaps.value[line], np.uint8)
-                    cell = _cells(grams[place], line, bits)
-                    keep &= (bitmap[cell >> 3] >> (cell & 7).astype(np.uint8)) & 1 == 1
-                first = first[keep]
+                first = first[maybe_repeated(grams[place], bitmaps.value, bits)]
                 h1, h2 = (rolling.windows(hashes, window, seed)[first].astype(np.int64) for seed in (31, 41))
                 text_of = owner[first]
                 begin = np.searchsorted(owner, text_of)
@@ -146,15 +164,14 @@ def removed_runs(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, bits:
     default four cells per expected gram, at most 2^27 per line; a fuller sketch lets more windows through
     to the exact grouping and loses none.
     """
-    spark = docs.sparkSession
     if bits is None:
-        total = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-        bits = min(MAX_BITS, max(MIN_BITS, int(total / 10).bit_length()))
-    maps = [np.zeros(-(-(1 << bits) // 8), np.uint8) for _ in range(DEPTH)]
-    width = max(1, (1 << min(bits, BLOCK_BITS)) // 8)
-    for r in sketch(docs, bits, window, gram).toLocalIterator():  # at most DEPTH * 2^MAX_BITS / 8 bytes
-        maps[r["line"]][r["block"] * width : (r["block"] + 1) * width] = np.frombuffer(r["bitmap"], np.uint8)
-    bitmaps = spark.sparkContext.broadcast([m.tobytes() for m in maps])
+        bits = cells_for(docs, 10)
+
+    def grams_of(texts):
+        _, _, grams, _, place = _anchors(texts, window, gram)
+        return grams[np.unique(place)]
+
+    bitmaps = repeated_cells(docs, bits, grams_of)
     rows = _repeated(docs, bitmaps, bits, window, gram)
     place = F.rank().over(W.partitionBy("h1", "h2").orderBy("id", "tag"))
     # a sure row has a window of its own here: it needs no comparison

@@ -106,17 +106,25 @@ def joined(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def first_minimum(values: np.ndarray, width: int) -> np.ndarray:
-    """For every window of `width` values the position of its smallest value, the leftmost among equals."""
+    """For every window of `width` values the position of its smallest value, the leftmost among equals.
+
+    Values are compared by their upper 40 bits; the lower bits of a key hold the position. Minima of blocks,
+    running from the left and from the right, meet in every window.
+    """
     n = len(values) - width + 1
     if n <= 0:
         return np.empty(0, dtype=np.int64)
-    place = np.arange(len(values), dtype=np.int64)
-    best = values
-    have = 1
-    while have < width:
-        step = min(have, width - have)
-        left, right = best[:-step], best[step:]
-        take = right < left
-        best, place = np.where(take, right, left), np.where(take, place[step:], place[:-step])
-        have += step
-    return place[:n]
+    out = np.empty(n, dtype=np.int64)
+    low = np.uint64((1 << 24) - 1)
+    step = max(BLOCK, 4 * width)
+    for lo in range(0, n, step):
+        hi = min(n, lo + step)
+        size = hi - lo + width - 1
+        padded = np.full(-(-size // width) * width, ~np.uint64(0), dtype=np.uint64)
+        padded[:size] = (values[lo : lo + size] & ~low) | np.arange(size, dtype=np.uint64)
+        blocks = padded.reshape(-1, width)
+        from_left = np.minimum.accumulate(blocks, axis=1).ravel()
+        from_right = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
+        best = np.minimum(from_right[: hi - lo], from_left[width - 1 : size])
+        out[lo:hi] = (best & low).astype(np.int64) + lo
+    return out

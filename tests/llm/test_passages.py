@@ -74,8 +74,10 @@ def test_hashes():
     for i, k in enumerate(w):
         assert keys.setdefault(v[i : i + 6].tobytes(), k) == k
     assert len(set(keys.values())) == len(keys)
-    m = rolling.first_minimum(v, 7)
-    assert [int(i + np.argmin(v[i : i + 7])) for i in range(len(v) - 6)] == m.tolist()
+    v = v << np.uint64(40)
+    for width in (1, 7, 300):
+        m = rolling.first_minimum(v, width)
+        assert [int(i + np.argmin(v[i : i + width])) for i in range(len(v) - width + 1)] == m.tolist()
 
 
 def test_blocks_do_not_change_hashes(monkeypatch):
@@ -83,5 +85,7 @@ def test_blocks_do_not_change_hashes(monkeypatch):
     data = rng.integers(97, 100, 5000).astype(np.uint8)
     data[rng.integers(0, 5000, 900)] = 10
     whole, wide = rolling.words(data)[0], rolling.windows(data.astype(np.uint64), 50, 3)
+    place = rolling.first_minimum(wide, 9)
     monkeypatch.setattr(rolling, "BLOCK", 64)
     assert (rolling.words(data)[0] == whole).all() and (rolling.windows(data.astype(np.uint64), 50, 3) == wide).all()
+    assert (rolling.first_minimum(wide, 9) == place).all()
