@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tabwright.llm import bytenet, jaccard, mixing, passages, pii, quality, suffixes, tokens
+from tabwright.llm import bytenet, jaccard, mixing, passages, permutation, pii, quality, suffixes, tokens
 
 QUERIES = {
     "op1_pii_spans": pii.query,
@@ -13,6 +13,7 @@ QUERIES = {
     "op7_ngram_jaccard": jaccard.query,
     "op8_quality_classifier": bytenet.query,
     "op9_suffix_dedup": suffixes.query,
+    "op10_permutation_ann": permutation.query,
 }
 ORACLE = {
     "op4_source_mix": mixing.SQL.strip(),
