@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from tabwright.llm import bytenet, jaccard, mixing, passages, permutation, pii, quality, suffixes, tokens
+import corpus_pipeline
+from tabwright.llm import bytenet, jaccard, mixing, passages, permutation, pieces, pii, quality, suffixes, tokens
 
 QUERIES = {
     "op1_pii_spans": pii.query,
+    "op2_sentencepiece": pieces.query,
     "op3_quality_rules": quality.query,
     "op4_source_mix": mixing.query,
     "op5_token_counts": tokens.query,
@@ -14,6 +16,7 @@ QUERIES = {
     "op8_quality_classifier": bytenet.query,
     "op9_suffix_dedup": suffixes.query,
     "op10_permutation_ann": permutation.query,
+    "pipeline": corpus_pipeline.run,
 }
 ORACLE = {
     "op4_source_mix": mixing.SQL.strip(),
