@@ -36,7 +36,7 @@ def regression_scores(df: DataFrame, by: Sequence[str] = (), y: str = "y", pred:
     return df.groupBy(*by).agg(
         F.count("*").alias("n"), rmsle(y, pred).alias("rmsle"), F.avg(F.abs(err)).alias("mae"),
         F.sqrt(F.avg(_sq(err))).alias("rmse"), F.avg(_sq(err)).alias("mse"),
-        (1 - F.sum(_sq(err)) / (F.var_pop(y) * F.count("*"))).alias("r2"))
+        (1 - F.try_divide(F.sum(_sq(err)), F.var_pop(y) * F.count("*"))).alias("r2"))
 
 
 def error_decomposition(df: DataFrame, by: Sequence[str] = (), features: int = 1, y: str = "y", pred: str = "pred") -> DataFrame:
@@ -50,10 +50,10 @@ def error_decomposition(df: DataFrame, by: Sequence[str] = (), features: int = 1
     sums = rows.groupBy(*by).agg(
         F.count("*").alias("n"), F.sum(_sq(err)).alias("sse"), F.sum(_sq(dev)).alias("sst"),
         F.sum(_sq(F.col(pred) - F.col("__m"))).alias("ssr"), F.sum(F.abs(err)).alias("__a"), F.sum(F.abs(dev)).alias("__d"))
-    n, r2 = F.col("n"), 1 - F.col("sse") / F.col("sst")
+    n, r2 = F.col("n"), 1 - F.try_divide("sse", "sst")
     return sums.select(
-        *by, "n", "sse", "sst", "ssr", (F.col("sse") / F.col("sst")).alias("rse"), (F.col("__a") / F.col("__d")).alias("rae"),
-        r2.alias("r2"), (1 - (1 - r2) * (n - 1) / (n - features - 1)).alias("adj_r2"))
+        *by, "n", "sse", "sst", "ssr", F.try_divide("sse", "sst").alias("rse"), F.try_divide("__a", "__d").alias("rae"),
+        r2.alias("r2"), (1 - F.try_divide((1 - r2) * (n - 1), n - features - 1)).alias("adj_r2"))
 
 
 def fold_scores(oof: DataFrame) -> DataFrame:
@@ -106,14 +106,14 @@ def class_report(df: DataFrame, y: str, pred: str) -> DataFrame:
 
 
 def auc(df: DataFrame, y: str, score: str) -> DataFrame:
-    """Area under the ROC curve by average ranks; ties count one half."""
+    """Area under the ROC curve by average ranks; ties count one half, null with one class."""
     rows = df.filter(F.col(y).isNotNull() & F.col(score).isNotNull()).withColumn("__s", F.col(score).cast("double"))
     ranks = rank_values(rows, ["__s"]).select(F.col("value").alias("__s"), "cnt", (F.col("before") + (F.col("cnt") + 1) / 2).alias("rank"))
     per = rows.groupBy("__s").agg(F.count_if(F.col(y) == 1).alias("p"), F.count_if(F.col(y) != 1).alias("q"))
     s = per.join(ranks, "__s").agg(
         F.sum("p").alias("n_pos"), F.sum("q").alias("n_neg"), F.sum(F.col("p") * F.col("rank")).alias("r"))
     n, m = F.col("n_pos"), F.col("n_neg")
-    return s.select("n_pos", "n_neg", ((F.col("r") - n * (n + 1) / 2) / (n * m)).alias("auc"))
+    return s.select("n_pos", "n_neg", F.try_divide(F.col("r") - n * (n + 1) / 2, n * m).alias("auc"))
 
 
 def roc_curve(df: DataFrame, y: str, score: str) -> DataFrame:
@@ -125,7 +125,7 @@ def roc_curve(df: DataFrame, y: str, score: str) -> DataFrame:
         F.count_if(F.col("side") == "pos").alias("p"), F.count_if(F.col("side") == "neg").alias("q"))
     def below(cnt: str) -> DataFrame:
         ranked = rank_counted(values.select(F.lit(cnt).alias("column"), F.col("__s").alias("value"), F.col(cnt).alias("cnt")))
-        return ranked.select(F.col("value").alias("__s"), (1 - F.col("before") / F.col("total")).alias(f"rate_{cnt}"))
+        return ranked.select(F.col("value").alias("__s"), (1 - F.try_divide("before", "total")).alias(f"rate_{cnt}"))
 
     return below("p").join(below("q"), "__s").select(
         F.col("__s").alias("threshold"), F.col("rate_p").alias("tpr"), F.col("rate_q").alias("fpr"))
@@ -159,18 +159,31 @@ def _leave_out(rows: DataFrame, z: Column, fold: str, k: int, by: list[str]) ->
 
 
 def oof_line(df: DataFrame, key: str, x: str, target: str, k: int, fold: str = "fold") -> DataFrame:
-    """Each row predicted by the one-feature line through the other folds (log target)."""
-    rows = df.filter(F.col(target).isNotNull() & F.col(x).isNotNull())
-    xs, z = F.col(x).cast("double"), F.log1p(target)
-    sums = rows.groupBy(fold).agg(F.count("*").alias("n"), F.sum(xs).alias("sx"), F.sum(z).alias("sz"),
-                                  F.sum(xs * xs).alias("sxx"), F.sum(xs * z).alias("sxz"))
-    t = expand_folds(sums, k, fold).groupBy("fit_fold").agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sz", "sxx", "sxz")])
+    """Each row predicted by the one-feature line through the other folds (log target).
+
+    A row without the feature gets the mean of the other folds' rows without it or, if there is none, of
+    all their rows; a constant feature gives the mean. Sums are taken around the overall means.
+    """
+    rows = df.filter(F.col(target).isNotNull())
+    raw, z = F.col(x).cast("double"), F.log1p(target)
+    centre = rows.agg(F.avg(raw).alias("cx"), F.avg(z).alias("cz")).first()
+    cx, cz = centre["cx"] or 0.0, centre["cz"] or 0.0
+    both = F.col(x).isNotNull()
+    xs, zs = F.when(both, raw - cx), z - cz
+    zx = F.when(both, zs)
+    sums = rows.groupBy(fold).agg(
+        F.count(xs).alias("n"), F.sum(xs).alias("sx"), F.sum(zx).alias("sz"), F.sum(xs * xs).alias("sxx"), F.sum(xs * zx).alias("sxz"),
+        F.count("*").alias("n_all"), F.sum(zs).alias("s_all"))
+    names = ("n", "sx", "sz", "sxx", "sxz", "n_all", "s_all")
+    t = expand_folds(sums, k, fold).groupBy("fit_fold").agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in names])
     n, c = F.col("n"), F.col
-    slope = (c("sxz") - c("sx") * c("sz") / n) / (c("sxx") - c("sx") * c("sx") / n)
-    line = t.select("fit_fold", slope.alias("__b"), ((c("sz") - slope * c("sx")) / n).alias("__a"))
+    mean_x, mean_z = F.try_divide("sx", "n"), F.try_divide("sz", "n")
+    slope = F.coalesce(F.try_divide(c("sxz") - c("sx") * mean_z, c("sxx") - c("sx") * mean_x), F.lit(0.0))
+    lacking = F.coalesce(F.try_divide(c("s_all") - F.col("sz"), c("n_all") - n), F.try_divide("s_all", "n_all"))
+    line = t.select("fit_fold", slope.alias("__b"), (mean_z - slope * mean_x).alias("__a"), lacking.alias("__m"))
     out = rows.join(F.broadcast(line), F.col(fold) == F.col("fit_fold"))  # k + 1 rows
-    return out.select(key, F.col(fold).alias("fold"), F.lit(f"line_{x}").alias("model"), F.col(target).alias("y"),
-                      F.expm1(F.col("__a") + F.col("__b") * xs).alias("pred"))
+    fitted = F.coalesce(F.when(both, F.col("__a") + F.col("__b") * (raw - cx)), F.col("__m")) + cz
+    return out.select(key, F.col(fold).alias("fold"), F.lit(f"line_{x}").alias("model"), F.col(target).alias("y"), F.expm1(fitted).alias("pred"))
 
 
 # Ensembles and blends -------------------------------------------------------------------------
@@ -254,12 +267,20 @@ def blend_arithmetic(weights: Mapping[str, float]) -> Column:
     return reduce(lambda a, b: a + b, [F.col(m) * w for m, w in weights.items()])
 
 
-def tail_adjust(df: DataFrame, pred: str, low: float = 0.005, high: float = 0.995, down: float = 0.77, up: float = 1.1) -> DataFrame:
-    """Scale predictions in the extreme tails; both limits are quantiles of the unadjusted column."""
-    q = exact_quantiles(df, [pred], [low, high]).agg(
+# The published quantiles and factors of the tail correction.
+TAILS = {"low": 0.005, "high": 0.995, "down": 0.77, "up": 1.1}
+
+
+def tail_adjust(df: DataFrame, pred: str, by: Sequence[str] = (), low: float = TAILS["low"], high: float = TAILS["high"],
+                down: float = TAILS["down"], up: float = TAILS["up"]) -> DataFrame:
+    """Scale predictions in the extreme tails; both limits are quantiles of the unadjusted column, per group of `by`."""
+    q = exact_quantiles(df, [pred], [low, high], by=by).groupBy(*by).agg(
         F.max(F.when(F.col("prob") == low, F.col("value"))).alias("__lo"),
         F.max(F.when(F.col("prob") == high, F.col("value"))).alias("__hi"), F.lit(1).alias("__one"))
-    rows = df.withColumn("__one", F.lit(1)).join(F.broadcast(q), "__one")
+    if by:
+        rows = attach(df.withColumn("__one", F.lit(1)), q.drop("__one"), list(by), name="tails")
+    else:
+        rows = df.withColumn("__one", F.lit(1)).join(F.broadcast(q), "__one")
     p = F.col(pred)
     first = F.when(p > F.col("__lo"), p).otherwise(p * down)
     second = F.when(first < F.col("__hi"), first).otherwise(first * up)

@@ -8,13 +8,14 @@ values map-side and then shuffles on (column, value), so no level lands on one t
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabwright.functions.joins import null_safe_join
-from tabwright.functions.order import exact_quantiles, value_counts, wide_quantiles
+from tabwright.functions.order import exact_quantiles, rank_counted, rank_levels, value_counts, wide_quantiles
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -128,18 +129,22 @@ def levels(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return counts.select("column", number.alias("level"), "cnt", (number == F.floor(number)).alias("whole"))
 
 
-def level_lists(df: DataFrame, cols: Sequence[str], max_levels: int = 10_000) -> DataFrame:
-    """Sorted level list per column for columns with few levels; wider columns keep a null list."""
-    counted = value_counts(df, cols)
-    size = counted.groupBy("column").agg(F.count("*").alias("n_levels"))
-    small = size.filter(F.col("n_levels") <= max_levels)
-    lists = counted.join(F.broadcast(small.select("column")), "column").groupBy("column").agg(
-        F.concat_ws("|", F.transform(
-            F.sort_array(F.collect_list(F.struct(F.expr("try_cast(value as double)").alias("x"), "value"))),
-            lambda s: s["value"])).alias("levels"),
-        F.max((F.expr("try_cast(value as double)") != F.floor(F.expr("try_cast(value as double)")))).alias("fractional"),
-    )
-    return size.join(lists, "column", "left")
+def level_rows(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """`(column, position, number, level)`: every distinct value at its 1-based place in its column's order.
+
+    Numbers are in number order (`level` null), strings in code point order (`number` null). Places come
+    from bucket offsets, so a column may have any number of levels.
+    """
+    numbers = [c for c in cols if c in numeric_columns(df)]
+    strings = [c for c in cols if c not in numbers]
+    parts = []
+    if numbers:
+        distinct = value_counts(df, numbers).select("column", F.col("value").cast("double").alias("value")).distinct().withColumn("cnt", F.lit(1).cast("bigint"))
+        parts.append(rank_counted(distinct).select("column", (F.col("before") + 1).cast("bigint").alias("position"), F.col("value").alias("number"), F.lit(None).cast("string").alias("level")))
+    if strings:
+        distinct = value_counts(df, strings).select("column", F.col("value").alias("level"))
+        parts.append(rank_levels(distinct).select("column", (F.col("code") + 1).cast("bigint").alias("position"), F.lit(None).cast("double").alias("number"), "level"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def case_variants(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
@@ -189,7 +194,7 @@ def group_stat(df: DataFrame, group: str, target: str) -> DataFrame:
 
 
 def extremes(df: DataFrame, key: str, col: str, n: int) -> DataFrame:
-    """The n lowest and n highest standardised values (population deviation), ties by key."""
+    """The n lowest and n highest standardised values (population deviation), ties by key; null if the column is constant."""
     stats = df.agg(F.avg(col).alias("m"), F.stddev_pop(col).alias("s"))
     present = df.filter(F.col(col).isNotNull())
     low = present.orderBy(col, key).limit(n).withColumn("tail", F.lit("low"))
@@ -197,7 +202,7 @@ def extremes(df: DataFrame, key: str, col: str, n: int) -> DataFrame:
     # 2n rows against one row of moments
     both = low.unionByName(high).select(key, col, "tail").withColumn("one", F.lit(1))
     return both.join(F.broadcast(stats.withColumn("one", F.lit(1))), "one").select(
-        key, "tail", ((F.col(col) - F.col("m")) / F.col("s")).alias("z"))
+        key, "tail", F.try_divide(F.col(col) - F.col("m"), F.col("s")).alias("z"))
 
 
 def top_rows(df: DataFrame, col: str, key: str, n: int) -> DataFrame:

@@ -29,10 +29,10 @@ def element_variances(df: DataFrame, col: str) -> DataFrame:
 
 
 def f_regression(df: DataFrame, cols: Sequence[str], target: str) -> DataFrame:
-    """F statistic of the one-feature regression, ranked."""
+    """F statistic of the one-feature regression, ranked; null for a constant side and for a perfect fit."""
     s = correlation_with(df, cols, target)
     r2 = F.col("r") * F.col("r")
-    return s.select("column", "n", "r", (r2 / (1 - r2) * (F.col("n") - 2)).alias("f")).orderBy(F.desc_nulls_last("f"), "column")
+    return s.select("column", "n", "r", F.try_divide(r2 * (F.col("n") - 2), 1 - r2).alias("f")).orderBy(F.desc_nulls_last("f"), "column")
 
 
 def target_bins(df: DataFrame, target: str, bins: int) -> DataFrame:
@@ -75,16 +75,16 @@ def _mutual(df: DataFrame, cols: Sequence[str], label: str) -> DataFrame:
 
 
 def chi2(df: DataFrame, cols: Sequence[str], label: str) -> DataFrame:
-    """Chi-squared of class sums of non-negative features against class shares, ranked."""
+    """Chi-squared of class sums of non-negative features against class shares, ranked; null for a feature that is all zero."""
     rows = df.filter(F.col(label).isNotNull())
     per = rows.groupBy(label).agg(F.count("*").alias("n"), *[F.sum(F.col(c).cast("double")).alias(c) for c in cols])
     long = per.unpivot([label, "n"], list(cols), "column", "observed")
     w = W.partitionBy("column")  # one row per class
-    expected = F.sum("observed").over(w) * F.col("n") / F.sum("n").over(w)
+    expected = F.try_divide(F.sum("observed").over(w) * F.col("n"), F.sum("n").over(w))
     gap = F.col("observed") - F.col("expected")
     return (
         long.withColumn("expected", expected).groupBy("column")
-        .agg(F.sum(gap * gap / F.col("expected")).alias("chi2")).orderBy(F.desc_nulls_last("chi2"), "column")
+        .agg(F.sum(F.try_divide(gap * gap, F.col("expected"))).alias("chi2")).orderBy(F.desc_nulls_last("chi2"), "column")
     )
 
 
@@ -105,7 +105,7 @@ def top_percent(scores: DataFrame, score: str, percent: float) -> DataFrame:
 
 
 def anova_f(df: DataFrame, cols: Sequence[str], label: str) -> DataFrame:
-    """One-way analysis of variance: F of each numeric feature over the classes."""
+    """One-way analysis of variance: F of each numeric feature over the classes; null for one class or no spread within."""
     long = melt_numeric(df.filter(F.col(label).isNotNull()), cols, [label])
     per = long.groupBy("column", label).agg(
         F.count("*").cast("double").alias("n"), F.avg("value").alias("m"), F.var_pop("value").alias("v"))
@@ -113,7 +113,7 @@ def anova_f(df: DataFrame, cols: Sequence[str], label: str) -> DataFrame:
     whole = per.groupBy("column").agg((F.sum(n * m) / F.sum(n)).alias("gm"))
     between, within = F.sum(n * (m - F.col("gm")) * (m - F.col("gm"))), F.sum(n * v)
     return per.join(whole, "column").groupBy("column").agg(
-        (between / (F.count("*") - 1) / (within / (F.sum(n) - F.count("*")))).alias("f")).orderBy(F.desc("f"), "column")
+        F.try_divide(F.try_divide(between, F.count("*") - 1), F.try_divide(within, F.sum(n) - F.count("*"))).alias("f")).orderBy(F.desc_nulls_last("f"), "column")
 
 
 def correlated_columns(df: DataFrame, cols: Sequence[str], threshold: float, signed: bool = False) -> DataFrame:
@@ -125,6 +125,13 @@ def correlated_columns(df: DataFrame, cols: Sequence[str], threshold: float, sig
     )
 
 
-def array_columns(df: DataFrame, col: str, width: int, prefix: str = "e") -> DataFrame:
-    """One double column per array position; `width` is the fixed vector length."""
+def array_width(df: DataFrame, col: str) -> int:
+    """Length of the longest array of the column, over all rows."""
+    return df.agg(F.max(F.size(col))).first()[0] or 0
+
+
+def array_columns(df: DataFrame, col: str, width: int | None = None, prefix: str = "e") -> DataFrame:
+    """One double column per array position, up to the longest array unless a width is given; shorter arrays give nulls."""
+    if width is None:
+        width = array_width(df, col)
     return df.select(*[F.get(col, F.lit(i)).cast("double").alias(f"{prefix}{i}") for i in range(width)])

@@ -6,7 +6,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabwright.functions.joins import attach
@@ -16,7 +16,13 @@ from tabwright.functions.order import (
 from tabwright.functions.scalar import normal_quantile
 from tabwright.session import few_tasks
 
-DIRECT_PAIRS = 120  # above this many column pairs the moments are summed as matrices
+
+def safe_corr(x: str, y: str) -> Column:
+    """Pearson r over the rows where both are present; null for fewer than two rows or a constant side."""
+    a, b = F.col(x).cast("double"), F.col(y).cast("double")
+    a, b = F.when(b.isNotNull(), a), F.when(a.isNotNull(), b)
+    spread = F.var_pop(a) * F.var_pop(b)
+    return F.when(spread > 0, F.try_divide(F.covar_pop(a, b), F.sqrt(F.nullif(spread, F.lit(0.0)))))
 
 
 def moments(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -67,34 +73,25 @@ def pair_sums(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return sums.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ["n", "sx", "sy", "sxx", "syy", "sxy"]])
 
 
-def correlation_pairs(df: DataFrame, cols: Sequence[str], direct: bool | None = None) -> DataFrame:
+def correlation_pairs(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Pearson r for every pair of columns, pairwise complete: `(i, j, left, right, n, r)`.
 
-    Few columns: one aggregate of built-in `corr`, fully generated code. Many columns: `pair_sums`.
+    r is null where a side is constant over the common rows or fewer than two rows have both; the
+    same sums serve any number of columns.
     """
     cols = list(cols)
-    pairs = [(i, j) for i in range(len(cols)) for j in range(i + 1, len(cols))]
-    if direct is None:
-        direct = len(pairs) <= DIRECT_PAIRS
     names = F.array(*[F.lit(c) for c in cols])
-    if direct:
-        cell = lambda i, j: F.struct(
-            F.lit(i).alias("i"), F.lit(j).alias("j"),
-            F.count_if(F.col(cols[i]).isNotNull() & F.col(cols[j]).isNotNull()).alias("n"),
-            F.corr(cols[i], cols[j]).alias("r"))
-        out = df.agg(F.array(*[cell(i, j) for i, j in pairs]).alias("a")).select(F.inline("a"))
-    else:
-        s = pair_sums(df, cols)
-        n, c = F.col("n"), F.col
-        vx, vy = c("sxx") - c("sx") * c("sx") / n, c("syy") - c("sy") * c("sy") / n
-        cov = c("sxy") - c("sx") * c("sy") / n
-        out = s.select("i", "j", n.cast("bigint").alias("n"),
-                       F.when((n > 1) & (vx > 0) & (vy > 0), cov / F.sqrt(vx * vy)).alias("r"))
+    n, c = F.nullif(F.col("n"), F.lit(0.0)), F.col
+    vx, vy = c("sxx") - c("sx") * c("sx") / n, c("syy") - c("sy") * c("sy") / n
+    cov = c("sxy") - c("sx") * c("sy") / n
+    # what rounding leaves of a constant column is not a spread
+    spread = (vx > 1e-14 * c("sxx")) & (vy > 1e-14 * c("syy")) & (vx > 0) & (vy > 0)
+    out = pair_sums(df, cols).select("i", "j", c("n").cast("bigint").alias("n"), F.when((n > 1) & spread, cov / F.sqrt(vx) / F.sqrt(vy)).alias("r"))
     return out.select("i", "j", F.get(names, F.col("i")).alias("left"), F.get(names, F.col("j")).alias("right"), "n", "r")
 
 
 def correlation_with(df: DataFrame, cols: Sequence[str], target: str) -> DataFrame:
-    row = F.array(*[F.struct(F.lit(c).alias("column"), F.corr(c, target).alias("r"),
+    row = F.array(*[F.struct(F.lit(c).alias("column"), safe_corr(c, target).alias("r"),
                              F.count_if(F.col(c).isNotNull() & F.col(target).isNotNull()).alias("n")) for c in cols])
     return df.agg(row.alias("a")).select(F.inline("a"))
 
@@ -125,7 +122,7 @@ def spearman(df: DataFrame, cols: Sequence[str], target: str) -> DataFrame:
     dx, dy = x - half, y - half
     return joined.groupBy("column").agg(
         F.sum("c").alias("n"),
-        (F.sum(c * dx * dy) / F.sqrt(F.sum(c * dx * dx) * F.sum(c * dy * dy))).alias("rho"))
+        F.try_divide(F.sum(c * dx * dy), F.sqrt(F.sum(c * dx * dx) * F.sum(c * dy * dy))).alias("rho"))
 
 
 def _ranks_of(cells: DataFrame, axis: str) -> DataFrame:
@@ -180,7 +177,7 @@ def qq_fit(df: DataFrame, cols: Sequence[str], points: int = 1000) -> DataFrame:
     q = exact_quantiles(df, cols, probs)
     z = q.withColumn("z", normal_quantile("prob"))
     return z.groupBy("column").agg(
-        F.regr_slope("value", "z").alias("slope"), F.regr_intercept("value", "z").alias("intercept"), F.corr("value", "z").alias("r"))
+        F.regr_slope("value", "z").alias("slope"), F.regr_intercept("value", "z").alias("intercept"), safe_corr("value", "z").alias("r"))
 
 
 def histogram(df: DataFrame, cols: Sequence[str], bins: int = 50) -> DataFrame:

@@ -1,9 +1,12 @@
 """Queries: models, searches, ensembles and selection that rest on fitted models."""
 
+from functools import reduce
+
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabwright.models import linear, trees
@@ -136,7 +139,7 @@ def _keep():
     return ["row_id", "fold", "part", F.col("target").alias("y")]
 
 
-TREES = 5  # rounds in the registered queries; the operators take any number
+TREES = 20  # rounds in the registered queries; the operators take any number
 
 
 def _tree_scores(spark, sf, estimators):
@@ -160,7 +163,7 @@ def model_gbt_alt(spark, sf):
 
 @query("model_random_forest")
 def model_random_forest(spark, sf):
-    return _tree_scores(spark, sf, {"forest": trees.forest(10, 6)})
+    return _tree_scores(spark, sf, {"forest": trees.forest(20, 8)})
 
 
 @query("model_compare")
@@ -179,9 +182,9 @@ def _labelled(spark, sf):
 def _classifier(spark, sf, estimator):
     rows = _labelled(spark, sf)
     stages = trees.assemble(["log_chars"], ["lang", "source"], [])
-    model = Pipeline(stages=[*stages, estimator]).fit(rows.filter("fold > 0"))
-    out = model.transform(rows.filter("fold = 0"))
-    return out.select("doc_id", "quality", F.col("prediction").cast("int").alias("pred"), vector_to_array("probability")[1].alias("prob"))
+    parts = [Pipeline(stages=[*stages, estimator]).fit(rows.filter(F.col("fold") != f)).transform(rows.filter(F.col("fold") == f)) for f in range(5)]
+    out = reduce(DataFrame.unionByName, parts)  # every labelled row is scored by the fit that has not seen it
+    return out.select("doc_id", "fold", "quality", F.col("prediction").cast("int").alias("pred"), vector_to_array("probability")[1].alias("prob"))
 
 
 @query("model_logistic")
@@ -253,11 +256,14 @@ def tune_grid_trees(spark, sf):
     return spark.createDataFrame(rows, "max_depth int, mse double")
 
 
+ROUNDS = 30  # with a patience of ten rounds
+
+
 @query("cv_early_stop")
 def cv_early_stop(spark, sf):
     t = _trainer(spark, sf)
-    est = trees.boosted("gbr", 8, stepSize=0.3)
-    best, errors = trees.early_stop_rounds(t.fit(est, 0), t.filled(t.train.filter(F.col("fold") == 0), 0))
+    est = trees.boosted("gbr", ROUNDS, stepSize=0.3)
+    best, errors = trees.mean_stop_rounds(t, est)
     final = trees.refit_at(t, est, best, WB.K)
     kept = final.stages[-1].getNumTrees
     rows = [(i + 1, float(e), i + 1 == best, kept) for i, e in enumerate(errors)]
@@ -326,7 +332,7 @@ def fs_backward(spark, sf):
 
 @query("fs_exhaustive")
 def fs_exhaustive(spark, sf):
-    best = linear.exhaustive(WB.front(spark, sf), _pool(), [2, 3])
+    best = linear.exhaustive(WB.front(spark, sf), _pool(), range(1, len(_pool()) + 1))
     return spark.createDataFrame([(i + 1, ", ".join(s), r) for i, (r, s) in enumerate(best)], "rank int, columns string, r2 double")
 
 
@@ -365,8 +371,8 @@ def fs_importance_trees(spark, sf):
 @query("fs_importance_permutation")
 def fs_importance_permutation(spark, sf):
     t = _trainer(spark, sf)
-    model = t.fit(trees.forest(5, 5), WB.K)
-    return trees.permutation_importance(model, t.filled(t.train, WB.K), ["qty_total", "acctbal", "age"], "row_id")
+    model = t.fit(trees.forest(20, 6), WB.K)
+    return trees.permutation_importance(model, t.filled(t.train, WB.K), [*WB.CONTINUOUS, *WB.CATEGORICAL, *WB.ORDINAL], "row_id")
 
 
 @query("fs_vif")
@@ -376,22 +382,22 @@ def fs_vif(spark, sf):
 
 # Structure
 
+COMPONENTS = 30  # fixed value: principal components before clustering
+
 
 @query("stat_pca")
 def stat_pca(spark, sf):
     emb = table(spark, sf, "embeddings")
-    width = len(emb.select("embedding").first()[0])  # vectors have one fixed length
-    flat = array_columns(emb, "embedding", width)
-    model = trees.cluster(flat, flat.columns, 10, 5)
-    ratios = model.stages[2].explainedVariance.toArray()
+    flat = array_columns(emb, "embedding")
+    model = trees.cluster(flat, flat.columns, COMPONENTS, 5)
+    ratios = model.stages[3].explainedVariance.toArray()
     return spark.createDataFrame([(i + 1, float(v), float(ratios[: i + 1].sum())) for i, v in enumerate(ratios)], "component int, share double, cumulative double")
 
 
 @query("stat_kmeans")
 def stat_kmeans(spark, sf):
     emb = table(spark, sf, "embeddings")
-    width = len(emb.select("embedding").first()[0])
-    flat = array_columns(emb, "embedding", width)
-    return trees.cluster(flat, flat.columns, 10, 5).transform(flat).groupBy("cluster").agg(F.count("*").alias("n"))
+    flat = array_columns(emb, "embedding")
+    return trees.cluster(flat, flat.columns, COMPONENTS, 5).transform(flat).groupBy("cluster").agg(F.count("*").alias("n"))
 
 

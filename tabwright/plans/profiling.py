@@ -112,12 +112,14 @@ def prof_levels(spark, sf):
 
 @query("prof_level_lists", """with u as (
       select 'l_linenumber' as "column", cast(l_linenumber as varchar) as v from lineitem union all
+      select 'l_extendedprice', cast(l_extendedprice as varchar) from lineitem union all
+      select 'l_shipdate', cast(l_shipdate as varchar) from lineitem union all
       select 'l_returnflag', l_returnflag from lineitem),
-    d as (select distinct "column", v from u)
-    select "column", count(*) as n_levels, string_agg(v, '|' order by v) as levels,
-      max(try_cast(v as double) <> floor(try_cast(v as double))) as fractional from d group by "column" """)
+    d as (select distinct "column", v, try_cast(v as double) as x from u)
+    select "column", row_number() over (partition by "column" order by x, v) as position, x as number,
+      case when x is null then v end as level from d""")
 def prof_level_lists(spark, sf):
-    return P.level_lists(table(spark, sf, "lineitem"), ["l_linenumber", "l_returnflag"])
+    return P.level_rows(table(spark, sf, "lineitem"), ["l_linenumber", "l_extendedprice", "l_returnflag", "l_shipdate"])
 
 
 @query("prof_case", """with t as (select p_brand, case when p_size > 25 then upper(p_type) else lower(p_type) end as p_type from part),

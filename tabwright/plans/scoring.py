@@ -17,9 +17,11 @@ OOF_SQL = f"""with {ORDER_FRAME_SQL}, {FOLD_SQL},
   m0 as (select ff, avg(z) as p from ff join t on t.fold <> ff group by ff),
   m1 as (select ff, segment, avg(z) as p from ff join t on t.fold <> ff group by 1, 2),
   m2 as (select ff, regr_slope(z, sum_qty) as b, regr_intercept(z, sum_qty) as a from ff join t on t.fold <> ff where sum_qty is not null group by ff),
+  m3 as (select ff, coalesce(avg(z) filter (where sum_qty is null), avg(z)) as p from ff join t on t.fold <> ff group by ff),
   oof as (select row_id, fold, 'mean' as model, target as y, exp(p) - 1 as pred from t join m0 on fold = ff
     union all select row_id, fold, 'mean_by_segment', target, exp(p) - 1 from t join m1 on fold = ff and t.segment = m1.segment
-    union all select row_id, fold, 'line_sum_qty', target, exp(a + b * sum_qty) - 1 from t join m2 on fold = ff where sum_qty is not null),
+    union all select row_id, fold, 'line_sum_qty', target, exp(case when sum_qty is null then p else a + b * sum_qty end) - 1
+      from t join m2 on fold = m2.ff join m3 on m3.ff = m2.ff),
   lp as (select *, ln(1 + greatest(pred, 1)) as lp, ln(1 + y) as ly from oof)"""
 
 
@@ -188,11 +190,11 @@ def blend_fixed(spark, sf):
     return rounded(_wide(spark, sf).select("row_id", M.blend_arithmetic(dict(zip(MODELS, [0.1, 0.3, 0.6]))).alias("pred")), {"pred"})
 
 
-@query("post_tail_adjust", f"""{OOF_SQL}, q as (select quantile_cont(pred, 0.005) as lo, quantile_cont(pred, 0.995) as hi from oof),
-    a as (select row_id, model, case when pred > lo then pred else pred * 0.77 end as p, hi from oof, q)
+@query("post_tail_adjust", f"""{OOF_SQL}, q as (select model, quantile_cont(pred, 0.005) as lo, quantile_cont(pred, 0.995) as hi from oof group by model),
+    a as (select row_id, model, case when pred > lo then pred else pred * 0.77 end as p, hi from oof join q using (model))
     select row_id, model, {rnd('case when p < hi then p else p * 1.1 end')} as pred from a""")
 def post_tail_adjust(spark, sf):
-    return rounded(M.tail_adjust(kept_oof(spark, sf), "pred").select("row_id", "model", "pred"), {"pred"})
+    return rounded(M.tail_adjust(kept_oof(spark, sf), "pred", ["model"]).select("row_id", "model", "pred"), {"pred"})
 
 
 @query("post_floor", f"{OOF_SQL} select row_id, model, cast(floor(exp(ln(1 + pred)) - 1) as bigint) as pred from oof")

@@ -114,6 +114,5 @@ def fs_corr_prune(spark, sf):
     select 'e' || j as "column", cast(min(i) as integer) as first_match from r where r > 0.1 group by j""")
 def fs_corr_prune_vector(spark, sf):
     emb = table(spark, sf, "embeddings")
-    width = len(emb.select("embedding").first()[0])  # vectors have one fixed length
-    flat = S.array_columns(emb, "embedding", width)
+    flat = S.array_columns(emb, "embedding")
     return S.correlated_columns(flat, flat.columns, 0.1, signed=True)

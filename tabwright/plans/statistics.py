@@ -37,7 +37,7 @@ def stat_corr_matrix(spark, sf):
 
 @query("stat_corr_matrix_wide", f"{OF} {_pairs_sql('order_frame', COLS)}")
 def stat_corr_matrix_wide(spark, sf):
-    return rounded(ST.correlation_pairs(staged_order_frame(spark, sf), COLS, direct=False), {"r"}, 6)
+    return rounded(ST.correlation_pairs(staged_order_frame(spark, sf), COLS), {"r"}, 6)
 
 
 @query("stat_corr_mask", f"{OF} select * from ({_pairs_sql('order_frame', COLS)}) where abs(r) > 0.7")

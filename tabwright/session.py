@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import os
 import tempfile
 import uuid
@@ -46,12 +47,13 @@ def new_path(spark: SparkSession, name: str) -> str:
 
 
 def few_tasks(df: DataFrame) -> DataFrame:
-    """At most three tasks per core, without a shuffle.
+    """Three tasks per core or a 64th of the input's tasks, whichever is more, without a shuffle.
 
     For jobs whose tasks each emit a block of partial sums: what is shuffled grows with the number
-    of tasks, so a very large input is better read by long tasks than by very many short ones.
+    of tasks, so several input splits are read by one longer task; the tasks still grow with the input.
     """
-    return df.coalesce(3 * df.sparkSession.sparkContext.defaultParallelism)
+    most = max(3 * df.sparkSession.sparkContext.defaultParallelism, math.ceil(df.rdd.getNumPartitions() / 64))
+    return df.coalesce(most)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
