@@ -31,10 +31,9 @@ def prof_schema(spark, sf):
 @query("prof_duplicates", """
     select cast(sum(c - 1) as bigint) as duplicates, count(*) as distinct_rows from (
       select count(*) as c from lineitem
-      group by l_quantity, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate)""")
+      group by l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate)""")
 def prof_duplicates(spark, sf):
-    cols = ["l_orderkey", "l_quantity", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
-    return P.duplicate_rows(table(spark, sf, "lineitem").select(cols), key=["l_orderkey"])
+    return P.duplicate_rows(table(spark, sf, "lineitem"), key=["l_orderkey"])
 
 
 @query("prof_dup_keys", """
@@ -67,14 +66,15 @@ def prof_missing_pattern(spark, sf):
     return P.missing_pattern(order_frame(spark, sf), ["sum_qty", "max_price", "segment_gap", "rating_absent"])
 
 
-_CONST = ["l_linestatus", "l_returnflag", "one", "none_col"]
+_CONST = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+          "l_returnflag", "l_linestatus", "l_shipdate", "one", "none_col"]
 
 
 @query("prof_constant", f"""with t as (select *, 'x' as one, cast(null as varchar) as none_col from lineitem)
     select * from ({union_sql(f"select '{c}' as \"column\", count(distinct {c}) as n_levels from t" for c in _CONST)})
     where n_levels <= 1""")
 def prof_constant(spark, sf):
-    lines = table(spark, sf, "lineitem").select("l_linestatus", "l_returnflag")
+    lines = table(spark, sf, "lineitem")
     return P.constant_columns(lines.withColumn("one", F.lit("x")).withColumn("none_col", F.lit(None).cast("string")))
 
 

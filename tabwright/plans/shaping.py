@@ -33,7 +33,8 @@ def _nc_sql(src, cols, share, null_value):
     return union_sql(one(c) for c in cols)
 
 
-_NC = ["near_const", "rating_absent", "status"]
+_NC = ["row_id", "split", "status", "priority", "month_code", "order_year", "since_year", "segment", "nation", "acctbal", "n_lines",
+       "sum_qty", "n_returned", "max_price", "segment_gap", "rating_absent", "near_const", "qty_outlier", "target"]
 
 
 @query("proj_near_constant", f"""{OF} select "column", {rnd('share', 6)} as share from (
