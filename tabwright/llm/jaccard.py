@@ -22,7 +22,7 @@ SKETCH_BITS = 18  # counters that order the shingles by frequency; only the orde
 SKETCH_BLOCK = 1 << 12
 SLICE = 4_000_000
 GROUP = 128  # texts that are compared with one hub in one place
-HUB_ROUNDS = 3
+HUB_ROUNDS = 2
 
 
 def shingle_sets(texts: list[bytes], words: int = WORDS) -> list[np.ndarray]:
@@ -176,15 +176,29 @@ def _verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> Da
     return placed.mapInArrow(run, "a long, b long")
 
 
+def _hub_pairs(rows: DataFrame, turn: int, percent: int) -> DataFrame:
+    """One pair (hub, document) at most per document: the best hub of its tokens, if that is of another component.
+
+    First the text with the most shared shingles in its prefix is the hub of a token: the original of a
+    group of altered copies has no rare ones of its own. Later turns draw hubs by hash.
+    """
+    rank = -F.col("shared") if turn == 0 else F.xxhash64("id", F.lit(turn))
+    first = F.struct(rank.cast("long").alias("h"), "id", "meta", "comp")
+    hubs = rows.groupBy("token").agg(F.min(first).alias("f")).select(
+        "token", F.col("f.h").alias("h"), F.col("f.id").alias("a"), F.col("f.meta").alias("meta2"), F.col("f.comp").alias("comp2"))
+    met = rows.join(hubs, "token").filter((F.col("comp") != F.col("comp2")) & _possible(percent))
+    return met.groupBy(F.col("id").alias("b")).agg(F.min(F.struct("h", "a")).alias("best")).select("best.a", "b")
+
+
 def _labelled(postings: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """Postings (token, id, meta, comp) of the tokens that still meet different components."""
+    """Postings (with `comp`) of the tokens that still meet different components."""
     if labels is None:
         rows = postings.withColumn("comp", F.col("id"))
     else:
         rows = attach_small(postings.drop("comp"), labels, F.col("id") == F.col("node"), name="labels").withColumn(
             "comp", F.coalesce("component", "id")).drop("node", "component")
     mixed = rows.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("token")
-    return rows.join(mixed, "token").select("token", "id", "meta", "comp")
+    return rows.join(mixed, "token")
 
 
 def linked(docs: DataFrame, words: int = WORDS, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -201,20 +215,23 @@ def linked(docs: DataFrame, words: int = WORDS, percent: int = 80, id_col: str =
     overview = materialize(_overview(singles, words), "overview")
     order = docs.sparkSession.sparkContext.broadcast(_merged(overview.filter("block is not null")).tobytes())
     postings = _postings(singles, order, words, percent)
-    rows = materialize(_labelled(postings, None), "postings")
+    rows = _labelled(postings, None)
+    shared = rows.groupBy("id").agg(F.count("*").alias("shared")).withColumnRenamed("id", "__id")
+    rows = materialize(attach_small(rows, shared, F.col("id") == F.col("__id"), name="shared").drop("__id"), "postings")
     same = keyed.filter((F.col("id") > F.col("__first")) & F.col("text").rlike(WORD)).select(F.col("__first").alias("a"), F.col("id").alias("b"))
-    found = same.limit(0)
+    known = same.limit(0)
     for turn in range(HUB_ROUNDS):
-        first = F.struct(F.xxhash64("id", F.lit(turn)).alias("h"), "id", "meta", "comp")
-        hubs = rows.groupBy("token").agg(F.min(first).alias("f")).select("token", F.col("f.id").alias("a"), F.col("f.meta").alias("meta2"), F.col("f.comp").alias("comp2"))
-        pairs = rows.join(hubs, "token").filter((F.col("comp") != F.col("comp2")) & _possible(percent)).select("a", F.col("id").alias("b")).distinct()
-        found = materialize(found.union(_verified(materialize(pairs, "pairs"), singles, words, percent)), "links")
-        labels = materialize(components(found), "labels")
+        if rows.isEmpty():
+            break
+        pairs = materialize(_hub_pairs(rows, turn, percent), "pairs")
+        links = _verified(pairs, singles, words, percent)
+        labels = materialize(components(known.union(links)), "labels")
+        known = labels.select(F.col("component").alias("a"), F.col("node").alias("b"))
         rows = materialize(_labelled(rows, labels), "postings")
     other = rows.select("token", F.col("id").alias("b"), F.col("meta").alias("meta2"), F.col("comp").alias("comp2"))
     pairs = rows.join(other, "token").filter((F.col("comp") < F.col("comp2")) & _possible(percent)).select(F.col("id").alias("a"), "b").distinct()
-    found = found.union(_verified(materialize(pairs, "pairs"), singles, words, percent)).union(same)
-    labels = components(found)
+    links = _verified(materialize(pairs, "pairs"), singles, words, percent)
+    labels = components(known.union(links).union(same))
     sizes = overview.filter("block is null").select(F.col("id").alias("__i"), F.col("th").alias("__t"), "n").distinct()
     out = keyed.select("id", F.coalesce("__first", "id").alias("__node"), "th").join(sizes, (F.col("__node") == F.col("__i")) & (F.col("th") == F.col("__t")), "left")
     out = out.join(labels, F.col("id") == F.col("node"), "left")
