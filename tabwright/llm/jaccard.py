@@ -190,6 +190,19 @@ def _hub_pairs(rows: DataFrame, turn: int, percent: int) -> DataFrame:
     return met.groupBy(F.col("id").alias("b")).agg(F.min(F.struct("h", "a")).alias("best")).select("best.a", "b")
 
 
+def _one_token_per_list(rows: DataFrame) -> DataFrame:
+    """Of tokens that stand in the same documents, the earliest: it holds for all their pairs, and its filter is the sharpest.
+
+    Lists are compared by their length and two exclusive-or sums of hashes; the order of two such tokens is
+    that of their positions in the smallest document.
+    """
+    lists = rows.groupBy("token").agg(
+        F.count("*").alias("n"), F.bit_xor(F.xxhash64("id")).alias("x"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("y"),
+        F.min(F.struct("id", F.col("meta").bitwiseAND((1 << 32) - 1).alias("at"))).alias("one"))
+    first = lists.groupBy("n", "x", "y").agg(F.min(F.struct(F.col("one.at"), "token")).alias("f")).select(F.col("f.token").alias("token"))
+    return rows.join(first, "token")
+
+
 def _labelled(postings: DataFrame, labels: DataFrame | None) -> DataFrame:
     """Postings (with `comp`) of the tokens that still meet different components."""
     if labels is None:
@@ -228,6 +241,7 @@ def linked(docs: DataFrame, words: int = WORDS, percent: int = 80, id_col: str =
         labels = materialize(components(known.union(links)), "labels")
         known = labels.select(F.col("component").alias("a"), F.col("node").alias("b"))
         rows = materialize(_labelled(rows, labels), "postings")
+    rows = materialize(_one_token_per_list(rows), "postings")
     other = rows.select("token", F.col("id").alias("b"), F.col("meta").alias("meta2"), F.col("comp").alias("comp2"))
     pairs = rows.join(other, "token").filter((F.col("comp") < F.col("comp2")) & _possible(percent)).select(F.col("id").alias("a"), "b").distinct()
     links = _verified(materialize(pairs, "pairs"), singles, words, percent)
