@@ -26,10 +26,14 @@ def holdout(df: DataFrame, key: str, share: float, seed: int = 42, out: str = "p
     return placed.withColumn(out, part).drop("__rn", "__total")
 
 
+def hash_number(key: str, seed: int) -> Column:
+    """The first 32 bits of `md5(seed:key)` as a number."""
+    return F.conv(F.substring(hash_key(key, seed), 1, 8), 16, 10).cast("bigint")
+
+
 def holdout_hash(df: DataFrame, key: str, share: float, seed: int = 42, out: str = "part") -> DataFrame:
     """About `share` of the rows marked 'val' by hash value: no shuffle at all."""
-    slot = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(1_000_000))
-    return df.withColumn(out, F.when(slot < int(share * 1_000_000), "val").otherwise("fit"))
+    return df.withColumn(out, F.when(hash_number(key, seed) < int(share * 2**32), "val").otherwise("fit"))
 
 
 def kfold(df: DataFrame, key: str, k: int, seed: int = 42, out: str = "fold") -> DataFrame:
@@ -40,7 +44,7 @@ def kfold(df: DataFrame, key: str, k: int, seed: int = 42, out: str = "fold") ->
 
 def kfold_hash(df: DataFrame, key: str, k: int, seed: int = 42, out: str = "fold") -> DataFrame:
     """Folds of about equal size by hash value: no shuffle, and a row keeps its fold when others come."""
-    return df.withColumn(out, F.pmod(F.xxhash64(F.col(key), F.lit(seed + 1)), F.lit(k)).cast("int"))
+    return df.withColumn(out, F.pmod(hash_number(key, seed + 1), F.lit(k)).cast("int"))
 
 
 def _tile(position: Column, total: Column, k: int) -> Column:

@@ -27,7 +27,15 @@ def split_holdout_third(spark, sf):
     return S.holdout(table(spark, sf, "events").select("event_id"), "event_id", 0.33, seed=7)
 
 
-@query("split_holdout_hash")
+_NUMBER = "cast('0x' || substr(md5('{seed}:' || o_orderkey), 1, 8) as bigint)"
+
+
+@query("fold_kfold_hash", f"select o_orderkey, cast({_NUMBER.format(seed=43)} % 5 as integer) as fold from orders")
+def fold_kfold_hash(spark, sf):
+    return S.kfold_hash(table(spark, sf, "orders").select("o_orderkey"), "o_orderkey", 5)
+
+
+@query("split_holdout_hash", f"select o_orderkey, case when {_NUMBER.format(seed=42)} < {int(0.2 * 2**32)} then 'val' else 'fit' end as part from orders")
 def split_holdout_hash(spark, sf):
     return S.holdout_hash(table(spark, sf, "orders").select("o_orderkey"), "o_orderkey", 0.2)
 
