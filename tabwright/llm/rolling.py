@@ -12,7 +12,7 @@ from tabwright.llm.common import by_value
 
 by_value(__name__)
 
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
 LOWER = np.arange(256, dtype=np.uint8)
