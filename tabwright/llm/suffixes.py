@@ -96,18 +96,22 @@ def _blocks(docs: DataFrame, bitmaps, bits: int, length: int, gram: int, block:
         emit, "rank long, n1 long, n2 long, n3 long, u1 long, u2 long, id long, place long, size int, inside int, block int")
 
 
-def _not_unique(rows: DataFrame, *keys: str) -> DataFrame:
-    """The rows whose key occurs twice or more; counted before the shuffle, so a frequent key is a few rows."""
-    often = rows.groupBy(*keys).agg(F.count("*").alias("n")).filter("n > 1").select(*keys)
-    return rows.join(often, list(keys), "left_semi")
+def _not_unique(rows: DataFrame, key: str = "rank") -> DataFrame:
+    """The rows whose key occurs twice or more.
+
+    Keys are counted before their shuffle; the repeated ones are written, so that the rows meet them by a
+    broadcast or, if there are too many, by a join whose frequent keys can be split.
+    """
+    often = rows.groupBy(key).agg(F.count("*").alias("n")).filter("n > 1").select(F.col(key).alias("__often"))
+    return attach_small(rows, often, F.col(key) == F.col("__often"), "left_semi", "often")
 
 
 def _doubled(rows: DataFrame) -> DataFrame:
     """Prefix doubling: rank by the pair (rank, name at the next offset), keeping positions that are not unique."""
-    rows = materialize(_not_unique(rows, "rank"), "ranks")
+    rows = materialize(_not_unique(rows), "ranks")
     for name in ("n1", "n2", "n3"):
         paired = rows.withColumn("rank", F.xxhash64("rank", name)).drop(name)
-        rows = materialize(_not_unique(paired, "rank"), "ranks")
+        rows = materialize(_not_unique(paired), "ranks")
     return rows
 
 
@@ -192,12 +196,11 @@ def repeated_runs(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, block
     unions = rows.groupBy("rank", "u1", "u2").agg(F.count("*").alias("n"), F.min(F.struct("id", "place", "inside", "block")).alias("one"))
     unions = materialize(unions, "unions")
     sure = rows.join(unions.filter("n > 1").select("rank", "u1", "u2"), ["rank", "u1", "u2"], "left_semi").select("id", "place", "size")
-    mixed = unions.groupBy("rank").agg(F.count("*").alias("m")).filter("m > 1").select("rank")
-    requests = unions.join(mixed, "rank", "left_semi").select("one.*")
+    requests = _not_unique(unions).select("one.*")
     found = materialize(_windows(docs, requests, length, block), "windows")
     spot = F.struct("id", "start")
-    twice = found.groupBy("h1", "h2").agg(F.min(spot).alias("lo"), F.max(spot).alias("hi")).filter("lo < hi").select("h1", "h2")
-    single = found.join(twice, ["h1", "h2"], "left_semi").select("id", F.col("start").alias("place"), F.lit(length).alias("size"))
+    twice = found.groupBy("h1", "h2").agg(F.min(spot).alias("lo"), F.max(spot).alias("hi")).filter("lo < hi").select(F.col("h1").alias("__h1"), F.col("h2").alias("__h2"))
+    single = attach_small(found, twice, (F.col("h1") == F.col("__h1")) & (F.col("h2") == F.col("__h2")), "left_semi", "twice").select("id", F.col("start").alias("place"), F.lit(length).alias("size"))
     return _merged(sure.union(single))
 
 
