@@ -210,8 +210,8 @@ def _labelled(postings: DataFrame, labels: DataFrame | None) -> DataFrame:
     else:
         rows = attach_small(postings.drop("comp"), labels, F.col("id") == F.col("node"), name="labels").withColumn(
             "comp", F.coalesce("component", "id")).drop("node", "component")
-    mixed = rows.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("token")
-    return rows.join(mixed, "token")
+    mixed = rows.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select(F.col("token").alias("__t"))
+    return attach_small(rows, mixed, F.col("token") == F.col("__t"), "left_semi", "mixed")
 
 
 def linked(docs: DataFrame, words: int = WORDS, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
