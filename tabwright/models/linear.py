@@ -197,11 +197,8 @@ def variance_inflation(front: FrontEnd, pool: Sequence[str]) -> list[tuple[str,
     return list(zip(pool, np.linalg.inv(q.S / np.outer(sd, sd)).diagonal().tolist()))
 
 
-def partial_error(front: FrontEnd, f: int, train: Sequence[int], family: str, params: Params) -> float:
-    """Held-out error on fold f of a fit on some of the other folds, for a learning curve.
-
-    Preparation stays that of fit f, which never saw fold f; only the normal equations shrink.
-    """
+def partial_fit(front: FrontEnd, f: int, train: Sequence[int], family: str, params: Params) -> np.ndarray:
+    """Base-vector coefficients of a fit on some folds, with the preparation of fit f; no row is read."""
     v = f if front.lam else 0
     prep, G = front.prepared[f], sum(front.grams[(v, g)] for g in train)
     n = G[0, 0]
@@ -211,5 +208,42 @@ def partial_error(front: FrontEnd, f: int, train: Sequence[int], family: str, pa
     w = FAMILIES[family](Normal(prep.names, S, r, G[-1, -1] - ysum * ysum / n, n, zsum / n, ysum / n), params)
     coef = w @ prep.T
     coef[0] += ysum / n + front.y_shift - w @ (zsum / n)
-    sse, held = front.held_out_error(f, coef)
+    return coef
+
+
+def partial_error(front: FrontEnd, f: int, train: Sequence[int], family: str, params: Params) -> float:
+    """Held-out error on fold f of a fit on some of the other folds, for a learning curve.
+
+    Preparation stays that of fit f, which never saw fold f; only the normal equations shrink.
+    """
+    sse, held = front.held_out_error(f, partial_fit(front, f, train, family, params))
     return sse / held
+
+
+def nested_meta_fits(front: FrontEnd, chosen: Mapping[str, tuple[str, Params]], alpha: float = 1.0) -> list[tuple[int, float, list[float]]]:
+    """Ridge over the base models for every fit: (fit, intercept, weights).
+
+    For the fit that leaves out fold f, the base models are refitted without f and each further fold in
+    turn, and the meta model sees their predictions of that fold only; so nothing of fold f reaches the
+    weights that score it. The sums of the predictions are products of the folds' matrices.
+    """
+    out = []
+    for f in front.fits:
+        v = f if front.lam else 0
+        inner = [g for g in range(front.k) if g != f]
+        total = 0.0
+        for g in inner:
+            rest = [h for h in inner if h != g]
+            columns = [np.eye(front.design.width + 1)[0]]
+            for family, params in chosen.values():
+                coef = np.append(partial_fit(front, f, rest, family, params), 0.0)
+                coef[0] -= front.y_shift  # predictions and target are taken around the same constant
+                columns.append(coef)
+            columns.append(np.eye(front.design.width + 1)[-1])
+            B = np.array(columns).T
+            total = total + B.T @ front.grams[(v, g)] @ B
+        n, mean = total[0, 0], total[0, 1:-1] / total[0, 0]
+        y_mean = total[0, -1] / n
+        w = solvers.ridge(total[1:-1, 1:-1] - n * np.outer(mean, mean), total[1:-1, -1] - n * mean * y_mean, alpha)
+        out.append((f, float(front.y_shift * (1 - w.sum()) + y_mean - w @ mean), [float(x) for x in w]))
+    return out

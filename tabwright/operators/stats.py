@@ -171,13 +171,26 @@ def qq_points(df: DataFrame, cols: Sequence[str]) -> DataFrame:
                     normal_quantile(p.cast("double")).alias("theoretical"))
 
 
-def qq_fit(df: DataFrame, cols: Sequence[str], points: int = 1000) -> DataFrame:
-    """Line through the plot of `points` exact quantiles against normal quantiles, per column."""
-    probs = [(i + 0.5) / points for i in range(points)]
-    q = exact_quantiles(df, cols, probs)
-    z = q.withColumn("z", normal_quantile("prob"))
-    return z.groupBy("column").agg(
-        F.regr_slope("value", "z").alias("slope"), F.regr_intercept("value", "z").alias("intercept"), safe_corr("value", "z").alias("r"))
+def qq_fit(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Line through all rows of the plot of values against normal quantiles, per column.
+
+    A run of equal values counts with its length at the quantile of its mean position. Null where a column is constant.
+    """
+    r = rank_values(df, cols)
+    n, c = F.col("total"), F.col("cnt").cast("double")
+    middle = F.col("before") + (c + 1) / 2
+    end = F.pow(F.lit(0.5), 1 / n)
+    p = F.when((middle == n) & (c == 1), end).when((middle == 1) & (c == 1), 1 - end).otherwise((middle - 0.3175) / (n + 0.365))
+    points = r.select("column", "value", c.alias("w"), normal_quantile(p.cast("double")).alias("z"))
+    mean = points.groupBy("column").agg(F.sum("w").alias("n"), (F.sum(F.col("w") * F.col("value")) / F.sum("w")).alias("mv"),
+                                        (F.sum(F.col("w") * F.col("z")) / F.sum("w")).alias("mz"))
+    around = attach(points, mean, ["column"], name="means")  # one row per column
+    w, v, z = F.col("w"), F.col("value") - F.col("mv"), F.col("z") - F.col("mz")
+    sums = around.groupBy("column").agg(F.sum(w * v * z).alias("vz"), F.sum(w * z * z).alias("zz"), F.sum(w * v * v).alias("vv"),
+                                        F.max("mv").alias("mv"), F.max("mz").alias("mz"))
+    slope = F.when(F.col("vv") > 0, F.try_divide("vz", "zz"))
+    return sums.select("column", slope.alias("slope"), (F.col("mv") - slope * F.col("mz")).alias("intercept"),
+                       F.try_divide("vz", F.sqrt(F.nullif(F.col("vv") * F.col("zz"), F.lit(0.0)))).alias("r"))
 
 
 def histogram(df: DataFrame, cols: Sequence[str], bins: int = 50) -> DataFrame:

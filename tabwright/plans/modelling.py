@@ -2,8 +2,6 @@
 
 from functools import reduce
 
-from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
@@ -244,16 +242,11 @@ def tune_zoom(spark, sf):
 
 @query("tune_grid_trees")
 def tune_grid_trees(spark, sf):
+    """Depth and step of the boosted family by cross-validation."""
     t = _trainer(spark, sf)
-    est = trees.boosted("gbr", 2)
-    grid = ParamGridBuilder().addGrid(est.maxDepth, [2, 3]).build()
-    stages = trees.assemble(*t.columns)
-    # preparation sits inside the estimator that is cross-validated: refitted for every fold
-    cv = CrossValidator(estimator=Pipeline(stages=[*stages, est]), estimatorParamMaps=grid, foldCol="fold", numFolds=WB.K,
-                        evaluator=RegressionEvaluator(labelCol="z", predictionCol="z_pred", metricName="mse"), parallelism=4)
-    model = cv.fit(t.filled(t.train, WB.K))
-    rows = [(m[est.maxDepth], float(v)) for m, v in zip(grid, model.avgMetrics)]
-    return spark.createDataFrame(rows, "max_depth int, mse double")
+    grid = [(depth, step) for depth in (3, 4) for step in (0.1, 0.3)]
+    errors = trees.grid_errors(t, [trees.boosted("gbr", 10, maxDepth=d, stepSize=s) for d, s in grid])
+    return spark.createDataFrame([(d, s, e) for (d, s), e in zip(grid, errors)], "max_depth int, step double, mse double")
 
 
 ROUNDS = 30  # with a patience of ten rounds

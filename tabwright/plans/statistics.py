@@ -106,7 +106,7 @@ def stat_qq(spark, sf):
 
 @query("stat_qq_fit")
 def stat_qq_fit(spark, sf):
-    return ST.qq_fit(table(spark, sf, "events"), ["value"], 200)
+    return ST.qq_fit(table(spark, sf, "events"), ["value"])
 
 
 def _hist_sql(c):

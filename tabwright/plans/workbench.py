@@ -115,35 +115,8 @@ def base_predictions(rows: DataFrame, fr: FrontEnd, chosen: Mapping[str, tuple[s
     return long_predictions(*wide_predictions(rows, fr, chosen), KEEP, fr.inverse)
 
 
-def meta_fits(wide: DataFrame, models: Sequence[str], k: int = K, alpha: float = 1.0) -> list[tuple[int, float, list[float]]]:
-    """Ridge over the base predictions for every fit: (fit, intercept, weights).
-
-    One aggregate gives the (models + 2)^2 sums per fold; all k + 1 fits come from them, each
-    without the fold it will score.
-    """
-    terms = [F.lit(1.0), *[F.col(m) for m in models], F.log1p("y")]
-    p = len(terms)
-    cells = F.array(*[
-        F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.sum(terms[i] * terms[j]).alias("s"))
-        for i in range(p) for j in range(i, p)])
-    sums = wide.filter(F.col("part") == "fit").groupBy("fold").agg(cells.alias("c")).select("fold", F.inline("c"))
-    grams = {f: np.zeros((p, p)) for f in range(k)}
-    for r in sums.collect():  # k * (models + 2)^2 / 2 cells
-        grams[r["fold"]][r["i"], r["j"]] = grams[r["fold"]][r["j"], r["i"]] = r["s"]
-    out = []
-    for f in range(k + 1):
-        g = sum(grams[x] for x in range(k) if x != f)
-        n, mean = g[0, 0], g[0, 1:-1] / g[0, 0]
-        s = g[1:-1, 1:-1] - n * np.outer(mean, mean)
-        y_mean = g[0, -1] / n
-        w = solvers.ridge(s, g[1:-1, -1] - n * mean * y_mean, alpha)
-        out.append((f, float(y_mean - w @ mean), [float(v) for v in w]))
-    return out
-
-
-def with_stack(wide: DataFrame, models: Sequence[str], name: str = "stacking") -> DataFrame:
-    """Adds the stacked prediction; each row uses the meta fit of its own `fold`."""
-    fits = meta_fits(wide, models)
+def with_stack(wide: DataFrame, models: Sequence[str], fits: Sequence[tuple[int, float, list[float]]], name: str = "stacking") -> DataFrame:
+    """Adds the stacked prediction; each row uses the meta fit (fit, intercept, weights) of its own `fold`."""
     by_fit = lambda values: F.get(F.array(*[F.lit(v) for v in values]), F.col("fold"))
     z = by_fit([b for _, b, _ in fits])
     for i, m in enumerate(models):
@@ -175,8 +148,10 @@ def ensemble(
     """Tuned base models written once, then stack, vote and blend as further columns."""
     rows = prepared(spark, sf_dir)
     fr = front(spark, sf_dir, scaling)
-    base, models = wide_predictions(rows, fr, linear.tuned(fr, families, n_iter))
-    wide = with_vote(with_stack(materialize(base, "base_predictions"), models), models)
+    chosen = linear.tuned(fr, families, n_iter)
+    base, models = wide_predictions(rows, fr, chosen)
+    fits = linear.nested_meta_fits(fr, {m: chosen[m] for m in models})
+    wide = with_vote(with_stack(materialize(base, "base_predictions"), models, fits), models)
     return with_blend(wide, [*models, "stacking"]), [*models, "stacking", "voting", "blend"]
 
 

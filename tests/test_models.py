@@ -10,6 +10,8 @@ from tabwright.models import linear, solvers
 from tabwright.models.front import FrontEnd, coefficient_table, collect_design, predict
 from tabwright.operators import learned as L
 from tabwright.operators import metrics as M
+from tabwright.operators import split as SP
+from tabwright.plans import workbench as WB
 
 K = 3
 
@@ -189,3 +191,42 @@ def test_sampled_candidates_are_repeatable():
     assert len(linear.candidates(grid)) == 1280
     assert linear.sampled(grid, 100) == linear.sampled(grid, 100)
     assert len(linear.sampled(linear.GRIDS["ridge"], 100)) == 7
+
+
+def test_nested_stack_equals_refits(spark):
+    """Weights and predictions of the stack against a plain nested refit of a line and a ridge line."""
+    rng = np.random.default_rng(5)
+    n, k = 600, WB.K
+    x = rng.normal(3, 2, n)
+    y = np.exp(0.3 * x + rng.normal(0, 0.5, n) + 5)
+    rows = SP.kfold(spark.createDataFrame([(i, float(a), float(b)) for i, (a, b) in enumerate(zip(x, y))], "row_id int, x double, target double"), "row_id", k)
+    rows = rows.withColumn("part", F.lit("fit"))
+    fr = WB.line_front(rows, "x", transform="log", scaling="standard")
+    chosen = {"line": ("ols", {}), "flat": ("ridge", {"alpha": 400.0})}
+    wide, models = WB.wide_predictions(rows, fr, chosen)
+    got = {r["row_id"]: r["stacking"] for r in WB.with_stack(wide, models, linear.nested_meta_fits(fr, {m: chosen[m] for m in models})).collect()}
+
+    fold = {r["row_id"]: r["fold"] for r in rows.collect()}
+    fold, z = np.array([fold[i] for i in range(n)]), np.log1p(y)
+
+    def base(train, use, outer):
+        m, s = x[outer].mean(), x[outer].std()
+        u = (x - m) / s
+        out = []
+        for alpha in (0.0, 400.0):
+            c = u[train] - u[train].mean()
+            w = c @ (z[train] - z[train].mean()) / (c @ c + alpha)
+            out.append(z[train].mean() + w * (u[use] - u[train].mean()))
+        return np.array(out).T
+
+    for f in range(k):
+        outer = fold != f
+        inner = np.zeros((n, 2))
+        for g in range(k):
+            if g != f:
+                inner[fold == g] = base(outer & (fold != g), fold == g, outer)
+        p, t = inner[outer], z[outer]
+        c = p - p.mean(axis=0)
+        w = np.linalg.solve(c.T @ c + np.eye(2), c.T @ (t - t.mean()))
+        want = t.mean() + (base(outer, fold == f, outer) - p.mean(axis=0)) @ w
+        assert np.allclose(want, [got[i] for i in np.flatnonzero(fold == f)], atol=1e-7)
