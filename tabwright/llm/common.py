@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tabwright.session import materialize
 
 WORD = r"[^\x20\x09-\x0D]+"
+BROADCAST_BYTES = 16 << 20  # bytes of the values of a table that is handed to every task
 
 
 def by_value(name: str) -> None:
@@ -42,8 +43,7 @@ def slices(texts: list, limit: int = 2_000_000) -> Iterator[tuple[int, int]]:
         yield start, len(texts)
 
 
-def attach_small(rows: DataFrame, side: DataFrame, on: Column, how: str = "left", name: str = "side",
-                 limit: int = 32 << 20) -> DataFrame:
+def attach_small(rows: DataFrame, side: DataFrame, on: Column, how: str = "left", name: str = "side") -> DataFrame:
     """Join with a table that is broadcast only if its measured bytes allow it, and shuffled by key otherwise.
 
     The table is written once; its size is the sum of its values' bytes, counted on the written rows.
@@ -59,7 +59,7 @@ def attach_small(rows: DataFrame, side: DataFrame, on: Column, how: str = "left"
             width = 8 * F.size(F.col(field.name))
         size = F.coalesce(width, F.lit(0)) + 8 if size is None else size + F.coalesce(width, F.lit(0)) + 8
     total = table.agg(F.coalesce(F.sum(size), F.lit(0)).alias("b")).first()["b"]
-    return rows.join(F.broadcast(table) if total <= limit else table, on, how)
+    return rows.join(F.broadcast(table) if total <= BROADCAST_BYTES else table, on, how)
 
 
 def copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

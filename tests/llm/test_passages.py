@@ -89,3 +89,18 @@ def test_blocks_do_not_change_hashes(monkeypatch):
     monkeypatch.setattr(rolling, "BLOCK", 64)
     assert (rolling.words(data)[0] == whole).all() and (rolling.windows(data.astype(np.uint64), 50, 3) == wide).all()
     assert (rolling.first_minimum(wide, 9) == place).all()
+
+
+def test_large_side_tables_are_shuffled(spark, sf, monkeypatch):
+    from tabwright.llm import common, jaccard, suffixes
+
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    operators = [lambda: passages.dedup_windows(docs).drop("kept_text"), lambda: suffixes.dedup_bytes(docs).drop("kept"), lambda: jaccard.linked(docs)]
+    small = [sorted(op().collect()) for op in operators]
+    monkeypatch.setattr(common, "BROADCAST_BYTES", -1)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert [sorted(op().collect()) for op in operators] == small
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
