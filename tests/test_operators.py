@@ -120,16 +120,15 @@ def test_fold_sizes_differ_by_one(spark):
     assert SP.holdout(df, "key", 0.2).filter("part = 'val'").count() == 201
 
 
-def test_wide_and_direct_correlations_agree(spark):
+def test_pair_sums_agree_with_the_built_in_correlation(spark):
     rng = np.random.default_rng(0)
     rows = [tuple(None if rng.random() < 0.1 else float(v) for v in rng.normal(1e5, 1, 4)) for _ in range(500)]
     df = frame(spark, rows, "a double, b double, c double, d double").repartition(3)
-    get = lambda direct: {(r["i"], r["j"]): (r["n"], r["r"]) for r in ST.correlation_pairs(df, list("abcd"), direct).collect()}
-    a, b = get(True), get(False)
-    assert set(a) == set(b)
-    for key in a:
-        assert a[key][0] == b[key][0]
-        assert a[key][1] == pytest.approx(b[key][1], abs=1e-9)
+    got = {(r["left"], r["right"]): (r["n"], r["r"]) for r in ST.correlation_pairs(df, list("abcd")).collect()}
+    assert len(got) == 6
+    for (x, y), (n, r) in got.items():
+        both = df.filter(F.col(x).isNotNull() & F.col(y).isNotNull())
+        assert n == both.count() and r == pytest.approx(both.agg(F.corr(x, y)).first()[0], abs=1e-9)
 
 
 def test_percentile_selection_keeps_ties_within_room(spark):
