@@ -22,9 +22,10 @@ by_value(__name__)
 
 SPACE = "▁"
 N_BEST = 3
-MAX_CACHE = 150_000
+MAX_CACHE = 100_000
+SOLVED_AT_ONCE = 8_000  # words whose lattices lie side by side in memory
 UNKNOWN_PENALTY = 10.0
-SLICE = 1_000_000
+SLICE = 250_000
 
 
 @dataclass
@@ -256,8 +257,8 @@ def encode(docs: DataFrame, model: Model, n: int = N_BEST, text_col: str = "text
                 if len(ranked) > MAX_CACHE // 10:
                     ranked.clear()
                 new = list(new)
-                if new:
-                    solved.update(zip(new, solve(model, new)))
+                for i in range(0, len(new), SOLVED_AT_ONCE):
+                    solved.update(zip(new[i : i + SOLVED_AT_ONCE], solve(model, new[i : i + SOLVED_AT_ONCE])))
                 ids, scores, others = [], [], []
                 for units in rows:
                     found = [solved[u] for u in units]
