@@ -20,7 +20,7 @@ by_value(__name__)
 WORDS = 5
 SKETCH_BITS = 18  # counters that order the shingles by frequency; only the order depends on them
 SKETCH_BLOCK = 1 << 12
-SLICE = 4_000_000
+SLICE = 1_000_000
 GROUP = 128  # texts that are compared with one hub in one place
 HUB_ROUNDS = 2
 

@@ -19,7 +19,7 @@ GRAM = 8  # words of the grams that stand for windows in the sketch
 DEPTH = 2
 BLOCK_BITS = 16  # cells of one block of a sketch
 MIN_BITS, MAX_BITS = 16, 27  # cells of a row: 2^27 are 16 MiB as a bitmap of repeated cells
-SLICE = 8_000_000
+SLICE = 4_000_000
 
 
 def _anchors(texts: list[bytes], window: int, gram: int):
