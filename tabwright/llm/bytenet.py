@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabwright.llm.common import by_value, text_or_empty
+from tabwright.llm.common import bounded_batches, by_value, text_or_empty
 
 by_value(__name__)
 
@@ -173,6 +173,7 @@ def score(docs: DataFrame, net: ByteNet, text_col: str = "text", threshold: floa
     Every byte of every text is read; a null text is empty and an empty text is scored like any other.
     Equal texts get equal scores.
     """
+    bounded_batches(docs)
     names = [c for c in docs.columns if c not in ("quality_score", "quality_predicted")]
     at = len(names)
 

@@ -23,6 +23,16 @@ def by_value(name: str) -> None:
 by_value(__name__)
 
 
+def bounded_batches(df: DataFrame, limit: int = 4 << 20) -> None:
+    """Arrow batches of at most about `limit` bytes (one row at least) for the session's Python tasks.
+
+    The session's default counts rows, or 64 MiB, which several Python workers and their JVM hold at once.
+    """
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(conf.get(key, str(1 << 26)).rstrip("b")) > limit:
+        conf.set(key, str(limit))
+
+
 def text_or_empty(col: str = "text") -> Column:
     return F.coalesce(F.col(col).cast("string"), F.lit(""))
 

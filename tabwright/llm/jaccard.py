@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabwright.llm import rolling
-from tabwright.llm.common import WORD, attach_small, by_value, slices, text_or_empty, with_copies
+from tabwright.llm.common import WORD, attach_small, bounded_batches, by_value, slices, text_or_empty, with_copies
 from tabwright.llm.components import components
 from tabwright.session import materialize
 
@@ -221,6 +221,7 @@ def linked(docs: DataFrame, words: int = WORDS, percent: int = 80, id_col: str =
     rows with one id are one document; a null id comes last and is returned as null. Texts that occur in
     several rows are compared once. Nothing but frequency counters comes to the driver.
     """
+    bounded_batches(docs)
     last = (1 << 63) - 1
     base = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(last)).alias("id"), text_or_empty(text_col).alias("text"))
     keyed = with_copies(base, "id", "text").withColumn("th", F.xxhash64("text"))

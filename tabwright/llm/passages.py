@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from tabwright.llm import rolling
-from tabwright.llm.common import attach_small, by_value, slices, text_or_empty, with_copies
+from tabwright.llm.common import attach_small, bounded_batches, by_value, slices, text_or_empty, with_copies
 
 by_value(__name__)
 
@@ -194,6 +194,7 @@ def dedup_windows(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id",
     of a whole text are recognised by digest and take no part in the grouping. The text itself is not
     shuffled unless the list of removals is too large to broadcast.
     """
+    bounded_batches(docs)
     id_type = docs.schema[id_col].dataType.simpleString()
     order = F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63)))
     base = docs.select(F.col(id_col).alias("doc"), order.alias("id"), text_or_empty(text_col).alias("text"))

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tabwright.llm.common import by_value, slices, text_or_empty
+from tabwright.llm.common import bounded_batches, by_value, slices, text_or_empty
 
 by_value(__name__)
 
@@ -234,6 +234,7 @@ def encode(docs: DataFrame, model: Model, n: int = N_BEST, text_col: str = "text
     or empty text has no pieces, score 0 and no others. Equal texts get equal results. Memory is bounded by
     slices of a batch, a bounded cache of words and the longest text.
     """
+    bounded_batches(docs)
     names = [c for c in docs.columns if c not in ("piece_ids", "piece_score", "piece_nbest")]
     width = len(names)
 
@@ -285,6 +286,7 @@ def decode(frame: DataFrame, model: Model, ids_col: str = "piece_ids", out_col:
 
     Bytes that are not UTF-8 become replacement characters. The mark of a space decodes as a space.
     """
+    bounded_batches(frame)
     names = [c for c in frame.columns if c != out_col]
     at = names.index(ids_col)
 

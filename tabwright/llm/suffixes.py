@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabwright.llm import rolling
-from tabwright.llm.common import attach_small, by_value, slices, text_or_empty, with_copies
+from tabwright.llm.common import attach_small, bounded_batches, by_value, slices, text_or_empty, with_copies
 from tabwright.llm.passages import cells_for, maybe_repeated, repeated_cells
 from tabwright.session import materialize
 
@@ -213,6 +213,7 @@ def dedup_bytes(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", t
     that share a text are found by digest, and one of them stands for all. `kept` may be cut inside a
     character.
     """
+    bounded_batches(docs)
     kind = docs.schema[id_col].dataType.simpleString()
     order = F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63)))
     base = docs.select(F.col(id_col).alias("doc"), order.alias("id"), text_or_empty(text_col).alias("text"))

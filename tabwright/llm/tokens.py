@@ -10,7 +10,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabwright.llm.common import by_value, slices, text_or_empty
+from tabwright.llm.common import bounded_batches, by_value, slices, text_or_empty
 
 by_value(__name__)
 
@@ -149,6 +149,7 @@ def count_tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     cache of words, and works through slices of a batch, so that memory does not grow with the text. The
     file is read on the driver and travels with the tasks.
     """
+    bounded_batches(docs)
     with open(path, encoding="utf-8") as f:
         spec = json.load(f)
 
