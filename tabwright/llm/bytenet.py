@@ -13,7 +13,6 @@ by_value(__name__)
 CHUNK, STEP = 1024, 960  # bytes of a chunk, and from one chunk's start to the next
 WIDTH, STRIDE, DEPTH, FILTERS = 8, 2, 6, 24
 TRAIN_ROWS = 1200  # bound of the labelled sample that the network is fitted on, half of it per label at most
-TRAIN_CHUNKS = 8  # evenly spaced chunks of a training text; scoring reads all of it
 STEPS = 600  # passes over the sample are repeated until so many batches have been seen
 THRESHOLD = 0.7
 
@@ -104,15 +103,20 @@ class ByteNet:
                     self.p[k] -= (pace * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)).astype(np.float32)
         return self
 
-    def _gradients(self, docs: list[np.ndarray], labels: np.ndarray) -> dict[str, np.ndarray]:
-        chunks = np.concatenate(docs)
+    def _gradients(self, docs: list[np.ndarray], labels: np.ndarray, block: int = 64) -> dict[str, np.ndarray]:
+        """Gradients over all chunks of the texts; only a block of chunks is spread out at a time."""
         counts = np.array([len(d) for d in docs])
         starts = np.cumsum(counts) - counts
         owner = np.repeat(np.arange(len(docs)), counts)
-        cols = self._columns(chunks)
-        answers = cols @ self.p["conv"]
-        place = answers.argmax(axis=1)
-        top = np.take_along_axis(answers, place[:, None], axis=1)[:, 0]
+        parts = [d[lo : lo + block] for d in docs for lo in range(0, len(d), block)]
+        edges = np.cumsum([0, *map(len, parts)])
+        place = np.empty((len(owner), FILTERS), np.int32)
+        top = np.empty((len(owner), FILTERS), self.p["conv"].dtype)
+        for lo, part in zip(edges, parts):
+            answers = self._columns(part) @ self.p["conv"]
+            at = answers.argmax(axis=1)
+            place[lo : lo + len(part)] = at
+            top[lo : lo + len(part)] = np.take_along_axis(answers, at[:, None], axis=1)[:, 0]
         pooled = np.maximum(top + self.p["bias"], 0)
         features = self._features(pooled, starts)
         logit = features @ self.p["out"] + self.p["base"][0]
@@ -121,13 +125,16 @@ class ByteNet:
         best = pooled == features[owner, :FILTERS]
         back = best * by_feature[owner, :FILTERS] + by_feature[owner, FILTERS:] / counts[owner][:, None]
         back = np.where(pooled > 0, back, 0).astype(np.float32)
-        rows = np.arange(len(chunks))[:, None]
-        patches = cols[rows, place]
-        spread = (back[:, :, None] * self.p["conv"].T[None]).reshape(-1, DEPTH)
-        symbols = chunks[rows[:, :, None], place[:, :, None] * STRIDE + np.arange(WIDTH)].reshape(-1)
-        emb = np.stack([np.bincount(symbols, spread[:, d], 256) for d in range(DEPTH)], axis=1)
+        emb, conv = np.zeros((256, DEPTH)), np.zeros(self.p["conv"].shape)
+        for lo, part in zip(edges, parts):
+            push, at = back[lo : lo + len(part)], place[lo : lo + len(part)]
+            symbols = part[np.arange(len(part))[:, None, None], at[:, :, None] * STRIDE + np.arange(WIDTH)]
+            patches = self.p["emb"][symbols].reshape(len(part), FILTERS, -1)
+            conv += np.einsum("nf,nfk->kf", push, patches)
+            spread = (push[:, :, None] * self.p["conv"].T[None]).reshape(-1, DEPTH)
+            emb += np.stack([np.bincount(symbols.reshape(-1), spread[:, d], 256) for d in range(DEPTH)], axis=1)
         return {
-            "emb": emb.astype(np.float32), "conv": np.einsum("nf,nfk->kf", back, patches), "bias": back.sum(axis=0),
+            "emb": emb.astype(np.float32), "conv": conv.astype(np.float32), "bias": back.sum(axis=0),
             "out": features.T.astype(np.float32) @ error + 1e-4 * self.p["out"], "base": np.array([error.sum()], np.float32),
         }
 
@@ -142,7 +149,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, steps: int
     """Fit on a sample of labelled rows that is bounded by `rows`, taken in hash order of the id, halves by label.
 
     Held-out rows, null ids and null labels are left out. The sampled ids (at most `rows`) are broadcast;
-    of their texts, `TRAIN_CHUNKS` evenly spaced chunks come to the driver.
+    their whole texts come to the driver and are learned in the chunks that scoring reads.
     """
     usable = labels.filter(F.col(id_col).isNotNull() & F.col(label_col).isNotNull() & ~held_out(id_col)).select(
         F.col(id_col).alias("__id"), F.col(label_col).cast("int").alias("__label"))
@@ -150,17 +157,14 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, steps: int
     by_hash = [usable.filter(F.col("__label") == y).orderBy(F.md5(F.col("__id").cast("string")), "__id").limit(rows // 2) for y in (0, 1)]
     sample = F.broadcast(by_hash[0].union(by_hash[1]))
     text = text_or_empty(text_col)
-    gap = F.greatest(F.lit(0.0), (F.length(text) - CHUNK) / (TRAIN_CHUNKS - 1.0))
-    n = F.least(F.lit(TRAIN_CHUNKS), F.greatest(F.lit(1), F.ceil(F.length(text) / float(CHUNK)).cast("int")))
-    parts = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.substring(text, (i * gap + 1).cast("int"), F.lit(CHUNK)))
-    found = docs.join(sample, F.col(id_col) == F.col("__id")).select("__id", "__label", parts.alias("parts"), F.md5(text).alias("h"))
+    found = docs.join(sample, F.col(id_col) == F.col("__id")).select("__id", "__label", text.cast("binary").alias("text"), F.md5(text).alias("h"))
     got = sorted(found.collect(), key=lambda r: (r["__id"], r["h"]))
     net = ByteNet()
     if len({r["__label"] for r in got}) < 2:  # nothing to tell apart: the share of label 1, smoothed
         net.p["out"][:] = 0
         net.shift = float(np.log((totals.get(1, 0) + 1) / (totals.get(0, 0) + 1)))
         return net
-    chunks = [np.concatenate([chunk_bytes(p.encode("utf-8")[:CHUNK]) for p in r["parts"]]) for r in got]
+    chunks = [chunk_bytes(bytes(r["text"])) for r in got]
     y = np.array([r["__label"] for r in got], dtype=np.float32)
     net.fit(chunks, y, steps)
     net.shift = float(np.log(totals[1] / totals[0]) - np.log(y.sum() / (len(y) - y.sum())))

@@ -65,3 +65,27 @@ def test_odd_rows(spark, text_rows):
     import zlib
     for r in ids.withColumn("h", bytenet.held_out()).collect():
         assert r["h"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2)
+
+
+def test_training_reads_whole_texts(spark, monkeypatch):
+    texts = ["".join(chr(33 + (i * i + i // 97) % 90) for i in range(n)) for n in (0, 900, 1025, 2048, 3000, 9000, 40_000)]
+    texts += ["漢字仮" * 334, "é" * 3000]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    df = df.withColumn("doc_id", F.col("doc_id") * 1000)
+    ids = [i * 1000 for i in range(len(texts))]
+    labels = spark.createDataFrame([(d, i % 2) for i, d in enumerate(ids)], "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(bytenet.ByteNet, "fit", lambda net, docs, y, steps: seen.extend(docs))
+    bytenet.train(df, labels)
+    learned = [r["doc_id"] // 1000 for r in df.filter(~bytenet.held_out()).orderBy("doc_id").collect()]
+    assert len(seen) == len(learned) >= 5
+    for i, chunks in zip(learned, seen):
+        assert np.array_equal(chunks, bytenet.chunk_bytes(texts[i].encode()))
+
+
+def test_gradients_do_not_depend_on_blocks():
+    rng = np.random.default_rng(5)
+    docs = [bytenet.chunk_bytes(rng.integers(32, 120, n).astype(np.uint8).tobytes()) for n in (0, 700, 5000, 20_000)]
+    y = np.array([0.0, 1.0, 1.0, 0.0], np.float32)
+    whole, parts = (bytenet.ByteNet(3)._gradients(docs, y, block=b) for b in (1000, 3))
+    assert all(np.allclose(whole[k], parts[k], rtol=1e-3, atol=1e-6) for k in whole)
