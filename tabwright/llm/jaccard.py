@@ -107,7 +107,7 @@ def _merged(partial: DataFrame) -> np.ndarray:
 
 
 def _postings(docs: DataFrame, order, words: int, percent: int) -> DataFrame:
-    """(token, id, meta) of every prefix: the rarest shingles of a set, as many as a similar set has to meet.
+    """(token, id, th, meta) of every prefix: the rarest shingles of a set, as many as a similar set has to meet.
 
     meta holds the set's size (upper half) and the shingle's position in the rare-first order.
     """
@@ -117,10 +117,10 @@ def _postings(docs: DataFrame, order, words: int, percent: int) -> DataFrame:
 
         counts = np.frombuffer(order.value, np.uint64)
         for batch in batches:
-            ids, texts = batch.column(0).to_numpy(), batch.column(1).to_pylist()
+            ids, hashes, texts = batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(2).to_pylist()
             for lo, hi in slices(texts, SLICE):
-                tokens, owners, metas = [], [], []
-                for key, s in zip(ids[lo:hi], shingle_sets([t.encode("utf-8") for t in texts[lo:hi]], words)):
+                tokens, owners, digests, metas = [], [], [], []
+                for key, th, s in zip(ids[lo:hi], hashes[lo:hi], shingle_sets([t.encode("utf-8") for t in texts[lo:hi]], words)):
                     n = len(s)
                     if not n:
                         continue
@@ -128,12 +128,14 @@ def _postings(docs: DataFrame, order, words: int, percent: int) -> DataFrame:
                     rare = np.lexsort((s, counts[(s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]))[:size]
                     tokens.append(s[rare])
                     owners.append(np.full(size, key, np.int64))
+                    digests.append(np.full(size, th, np.int64))
                     metas.append(np.arange(size) + (n << 32))
                 if tokens:
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tokens).astype(np.int64)), pa.array(np.concatenate(owners)),
-                                                      pa.array(np.concatenate(metas).astype(np.int64))], names=["token", "id", "meta"])
+                                                      pa.array(np.concatenate(digests)), pa.array(np.concatenate(metas).astype(np.int64))],
+                                                     names=["token", "id", "th", "meta"])
 
-    return docs.select("id", "text").mapInArrow(run, "token long, id long, meta long")
+    return docs.select("id", "th", "text").mapInArrow(run, "token long, id long, th long, meta long")
 
 
 def _possible(percent: int):
@@ -193,13 +195,18 @@ def _hub_pairs(rows: DataFrame, turn: int, percent: int) -> DataFrame:
 def _one_token_per_list(rows: DataFrame) -> DataFrame:
     """Of tokens that stand in the same documents, the earliest: it holds for all their pairs, and its filter is the sharpest.
 
-    Lists are compared by their length and two exclusive-or sums of hashes; the order of two such tokens is
-    that of their positions in the smallest document.
+    Lists are compared by their length and by sums of two hashes of (id, text): an id stands twice in a list if its row
+    repeats or two of its texts share the token, and texts of one id differ in size and order. The halves of the hashes
+    are added by themselves, so that no sum overflows. The order of two such tokens is that of their positions in the
+    smallest document.
     """
+    halves = [half for seed in (0, 1) for h in [F.xxhash64("id", "th", F.lit(seed))]
+              for half in (F.shiftright(h, 32), h.bitwiseAND((1 << 32) - 1))]
+    key = [f"s{i}" for i in range(len(halves))]
     lists = rows.groupBy("token").agg(
-        F.count("*").alias("n"), F.bit_xor(F.xxhash64("id")).alias("x"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("y"),
-        F.min(F.struct("id", F.col("meta").bitwiseAND((1 << 32) - 1).alias("at"))).alias("one"))
-    first = lists.groupBy("n", "x", "y").agg(F.min(F.struct(F.col("one.at"), "token")).alias("f")).select(F.col("f.token").alias("token"))
+        F.count("*").alias("n"), *[F.sum(half).alias(k) for k, half in zip(key, halves)],
+        F.min(F.struct("id", "th", F.col("meta").bitwiseAND((1 << 32) - 1).alias("at"))).alias("one"))
+    first = lists.groupBy("n", *key).agg(F.min(F.struct(F.col("one.at"), "token")).alias("f")).select(F.col("f.token").alias("token"))
     return rows.join(first, "token")
 
 

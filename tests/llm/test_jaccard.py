@@ -82,3 +82,17 @@ def test_components(spark):
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(chain, "a long, b long")).collect()}
     assert got == {i: 0 for i in range(41)} | {90: 90, 95: 90, 100: 90}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_repeated_rows_and_two_texts_of_an_id_keep_all_links(spark, monkeypatch):
+    rng = random.Random(8)
+    texts = _near_copies(rng, 25, 4, 40)
+    rng.shuffle(texts)
+    rows = list(enumerate(texts))
+    short = [(300 + i // 2, t) for i, t in enumerate(_near_copies(rng, 15, 2, 60) + _near_copies(rng, 15, 2, 12))]
+    rng.shuffle(short)
+    of_two = [(500 + i // 2, t) for i, (_, t) in enumerate(short)]
+    for rounds in (0, jaccard.HUB_ROUNDS):
+        monkeypatch.setattr(jaccard, "HUB_ROUNDS", rounds)
+        _check(spark, rows * 2)
+        _check(spark, of_two)
