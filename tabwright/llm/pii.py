@@ -21,8 +21,8 @@ PATTERNS = {
     "ip": r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"(?<![0-9])[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "secret": r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9])[A-Za-z0-9+/_-]{20,200}+(?![A-Za-z0-9+/_-])",
-    "number": r"(?<![0-9A-Za-z.+])[0-9](?:[\x20.-]?[0-9]){6,40}+",
+    "secret": r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9])[A-Za-z0-9+/_-]{20,}+(?![A-Za-z0-9+/_-])",
+    "number": r"(?<![0-9A-Za-z.+])[0-9](?:[\x20.-]?[0-9]){6,}+",
 }
 KINDS = list(PATTERNS)
 BASE = KINDS[:4]

@@ -87,3 +87,17 @@ def test_reliabilities_find_the_bad_voter():
     _, table, _ = pii.reliabilities(rows)
     right = [(table[k][1][1] + table[k][-1][-1]) / 2 for k in pii.VOTES]
     assert all(abs(a - b) < 0.05 for a, b in zip(right, (0.95, 0.9, 0.85, 0.55, 0.9, 0.8)))
+
+
+def test_long_tokens_and_digit_runs_are_whole_spans(spark):
+    rng = random.Random(9)
+    long = {n: "a1" + "".join(rng.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789") for _ in range(n - 2)) for n in (200, 201, 342, 5000)}
+    digits = "-".join("123456789"[i % 9] * 3 for i in range(30))
+    texts = [f'x token = "{t}" y' for t in long.values()] + [f"no {digits}, z"]
+    df = spark.createDataFrame([(-1 - i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    proposed = {r["doc_id"]: [s["span"] for s in r["__spans"]] for r in pii._with_spans(df, "text").collect()}
+    for i, t in enumerate([*long.values(), digits]):
+        assert t in proposed[-1 - i]
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").union(df)
+    got = {r["doc_id"]: r["text"] for r in pii.redacted(docs).filter("doc_id < 0").collect()}
+    assert all(got[-1 - i] == 'x token = "<SECRET>" y' for i in range(len(long)))
