@@ -85,3 +85,29 @@ def test_empty_tables(spark):
     one = spark.createDataFrame([(None, None), (None, "a b")], "doc_id long, text string")
     got = quality.measure(one, quality.log_ratios(quality.gram_counts(one, ids))).orderBy(F.col("n_words")).collect()
     assert [(r["n_words"], r["kept"]) for r in got] == [(0, False), (2, False)]
+
+
+def test_buckets_grow_and_shares_hold_on_a_larger_corpus(spark):
+    sf = "/root/testdata/sf0.1"
+    assert quality.buckets_for(spark.read.parquet(f"{sf}/documents.parquet")) > 4 * quality.BUCKETS
+    rows = quality.query(spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").filter("not base_failed").collect()
+    clean = [r["kept"] for r in rows if r["quality"] == 1]
+    junk = [r["kept"] for r in rows if r["quality"] == 0]
+    assert sum(clean) > 0.995 * len(clean) and sum(junk) < 0.02 * len(junk)
+
+
+def test_joined_ratios_equal_the_list(spark, monkeypatch, text_rows):
+    rng = random.Random(5)
+    texts = [*text_rows, *(" ".join(rng.choice("abcdefgh") * rng.randrange(1, 9) for _ in range(rng.randrange(1, 150))) for _ in range(60))]
+    df = spark.createDataFrame([(i % 50, t, 1) for i, t in enumerate(texts)], "doc_id long, text string, n int")
+    ids = spark.range(0, 40, 3).toDF("doc_id")
+    counts = quality.gram_counts(df, ids)
+    want = quality.measure(df, quality.log_ratios(counts))
+    for limit in (quality.RATIO_BYTES, 32 * 20):
+        monkeypatch.setattr(quality, "RATIO_BYTES", limit)
+        got = quality.measure(df, quality.ratio_table(counts, quality.BUCKETS), buckets=quality.BUCKETS)
+        assert got.columns == want.columns
+        key = lambda r: (r["doc_id"], r["text"] or "", r["llr"])
+        for x, y in zip(sorted(got.collect(), key=key), sorted(want.collect(), key=key), strict=True):
+            assert x["llr"] == pytest.approx(y["llr"], abs=1e-8)
+            assert {**x.asDict(), "llr": 0} == {**y.asDict(), "llr": 0}
