@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from tabwright.llm import bytenet, jaccard, mixing, passages, permutation, pieces, pii, quality, suffixes, tokens
+from tabwright.llm import bytenet, exact, jaccard, mixing, passages, permutation, pieces, pii, quality, suffixes, tokens
 
 QUERIES = {
     "op1_pii_spans": pii.query,
@@ -16,12 +16,14 @@ QUERIES = {
     "op8_quality_classifier": bytenet.query,
     "op9_suffix_dedup": suffixes.query,
     "op10_permutation_ann": permutation.query,
+    "op13_exact_dedup": exact.query,
     "pipeline": corpus_pipeline.run,
 }
 ORACLE = {
     "op4_source_mix": mixing.SQL.strip(),
     "op6_substring_dedup": passages.SQL.strip(),
     "op7_ngram_jaccard": jaccard.SQL.strip(),
+    "op13_exact_dedup": exact.SQL.strip(),
 }
 
 
