@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from tabwright.llm import bytenet, exact, jaccard, mixing, passages, permutation, pieces, pii, quality, suffixes, tokens
+from tabwright.llm import bytenet, exact, fim, jaccard, mixing, passages, permutation, pieces, pii, quality, suffixes, tokens
 
 QUERIES = {
     "op1_pii_spans": pii.query,
@@ -16,6 +16,7 @@ QUERIES = {
     "op8_quality_classifier": bytenet.query,
     "op9_suffix_dedup": suffixes.query,
     "op10_permutation_ann": permutation.query,
+    "op11_fill_in_middle": fim.query,
     "op13_exact_dedup": exact.query,
     "pipeline": corpus_pipeline.run,
 }
@@ -23,6 +24,7 @@ ORACLE = {
     "op4_source_mix": mixing.SQL.strip(),
     "op6_substring_dedup": passages.SQL.strip(),
     "op7_ngram_jaccard": jaccard.SQL.strip(),
+    "op11_fill_in_middle": fim.SQL.strip(),
     "op13_exact_dedup": exact.SQL.strip(),
 }
 
