@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from tabwright.llm import bytenet, exact, fim, jaccard, mixing, passages, permutation, pieces, pii, quality, suffixes, tokens
+from tabwright.llm import bytenet, exact, fim, jaccard, mixing, passages, permutation, phrases, pieces, pii, quality, suffixes, tokens
 
 QUERIES = {
     "op1_pii_spans": pii.query,
@@ -17,6 +17,7 @@ QUERIES = {
     "op9_suffix_dedup": suffixes.query,
     "op10_permutation_ann": permutation.query,
     "op11_fill_in_middle": fim.query,
+    "op12_phrase_collocations": phrases.query,
     "op13_exact_dedup": exact.query,
     "pipeline": corpus_pipeline.run,
 }
@@ -25,6 +26,7 @@ ORACLE = {
     "op6_substring_dedup": passages.SQL.strip(),
     "op7_ngram_jaccard": jaccard.SQL.strip(),
     "op11_fill_in_middle": fim.SQL.strip(),
+    "op12_phrase_collocations": phrases.SQL.strip(),
     "op13_exact_dedup": exact.SQL.strip(),
 }
 
