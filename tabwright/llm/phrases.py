@@ -40,29 +40,63 @@ def _gather(data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> tuple[np
     sizes = stops - starts + 1
     ends = np.cumsum(sizes)
     total = int(ends[-1]) if len(ends) else 0
-    at = np.repeat(starts - (ends - sizes), sizes) + np.arange(total)
-    lines = data[np.minimum(at, len(data) - 1)] if total else np.empty(0, np.uint8)
+    at = np.repeat(starts - (ends - sizes), sizes)
+    at += np.arange(total)
+    lines = data.take(at, mode="clip") if total else np.empty(0, np.uint8)
     lines[ends - 1] = 10
     return lines, ends
 
 
-def _line_buckets(lines: np.ndarray, buckets: int) -> np.ndarray:
-    """The bucket of every line, by a hash of its bytes."""
-    one = lines.copy()
-    one[(one == 32) | (one == 9)] = 1  # a line is one word to the hash
-    return (rolling.words(one)[0] % np.uint64(buckets)).astype(np.int32)
+def _heads(lines: np.ndarray, ends: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """`_gather` of the part of each line up to its stop, in order: one mask instead of a place for each byte."""
+    step = np.zeros(len(lines) + 1, dtype=np.int8)
+    starts = np.r_[0, ends[:-1]] if len(ends) else ends
+    step[starts] = 1
+    step[stops + 1] -= 1
+    kept = lines[np.cumsum(step[:-1], dtype=np.int8).view(bool)]
+    until = np.cumsum(stops - starts + 1)
+    kept[until - 1] = 10
+    return kept, until
+
+
+def _ordered(lines: np.ndarray, ends: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The lines in another order."""
+    data, offsets = _bytes_of(_binary(lines, ends).take(order))
+    return data, offsets[1:]
 
 
-def _numbered(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A number for each word, equal for equal words and different for others."""
+def _binary(data: np.ndarray, ends: np.ndarray):
+    """An Arrow column of byte strings that end at `ends`."""
     import pyarrow as pa
 
-    sizes = ends - starts
-    offsets = np.zeros(len(sizes) + 1, dtype=np.int64)
-    np.cumsum(sizes, out=offsets[1:])
-    at = np.repeat(starts - offsets[:-1], sizes) + np.arange(offsets[-1])
-    words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(sizes), [None, pa.py_buffer(offsets), pa.py_buffer(data[at])])
-    return words.dictionary_encode().indices.to_numpy().astype(np.int64)
+    offsets = np.zeros(len(ends) + 1, dtype=np.int64)
+    offsets[1:] = ends
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+
+
+def _bytes_of(column) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of an Arrow column of byte strings, and its offsets."""
+    if not len(column):
+        return np.empty(0, np.uint8), np.zeros(1, np.int64)
+    offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
+    return np.frombuffer(column.buffers()[2], np.uint8)[offsets[0] : offsets[-1]], offsets - offsets[0]
+
+
+def _spread(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A number for every range of bytes that spreads ranges over buckets: of its length, its first, last and middle bytes."""
+    size = ends - starts
+    total = size.astype(np.uint64)
+    for begin in (starts, np.maximum(starts, ends - 8), np.maximum(starts, starts + size // 2 - 4)):
+        at = begin[:, None] + np.arange(8)
+        eight = np.where(at < ends[:, None], data.take(at, mode="clip"), 0) if len(data) else at
+        total = rolling.mix(total + np.ascontiguousarray(eight, dtype=np.uint8).view("<u8").ravel())
+    return total
+
+
+def _line_buckets(lines: np.ndarray, ends: np.ndarray, buckets: int) -> np.ndarray:
+    """The bucket of every line, by its bytes."""
+    starts = np.r_[0, ends[:-1]] if len(ends) else ends
+    return (_spread(lines, starts, ends - 1) % np.uint64(buckets)).astype(np.int32)
 
 
 def _counted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -78,19 +112,22 @@ def edges_of(texts: list[bytes], buckets: int):
     """
     data = rolling.LOWER[rolling.joined(texts)[0]]
     kind = KIND[data]
-    blank = data.copy()
-    blank[kind > 0] = 32
-    hashes, starts, ends = rolling.words(blank)
+    inside = kind == 0
+    border = np.flatnonzero(np.diff(np.r_[False, inside, False].view(np.int8)))
+    starts, ends = border[::2], border[1::2]
     if not len(starts):
         return
-    piece = np.cumsum(kind == 2)[starts]
+    piece = np.cumsum(kind == 2, dtype=np.int32)[starts]
+    # numbers of words: equal for equal words only
+    words = _binary(data[inside], np.cumsum(ends - starts)).dictionary_encode()
+    number = words.indices.to_numpy().astype(np.int64)
+    known, offsets = _bytes_of(words.dictionary)
+    hashes = _spread(known, offsets[:-1], offsets[1:])[number]
     # words with one space after each: every phrase is a range of these bytes
-    keep = kind == 0
-    keep[ends] = True
-    clean = blank[keep]
+    inside[ends] = True
+    clean = np.where(kind > 0, np.uint8(32), data)[inside]
     stops = np.cumsum(ends - starts + 1) - 1
     begins = stops - (ends - starts)
-    number = _numbered(data, starts, ends)
     n, size = len(number), int(number.max()) + 1
     last = np.flatnonzero(np.r_[piece[1:] != piece[:-1], True])
 
@@ -113,10 +150,10 @@ def edges_of(texts: list[bytes], buckets: int):
     ending = ending[piece[ending - 1] == piece[ending]] - 1
     first, ended = _counted(pairs[ending])
     lines, line_ends = _gather(clean, begins[ending[first]], stops[ending[first] + 1])
-    yield 2, lines, line_ends, ended, _line_buckets(lines, buckets)
+    yield 2, lines, line_ends, ended, _line_buckets(lines, line_ends, buckets)
     first, ended = _counted(number[last])
     lines, line_ends = _gather(clean, begins[last[first]], stops[last[first]])
-    yield 1, lines, line_ends, ended, _line_buckets(lines, buckets)
+    yield 1, lines, line_ends, ended, _line_buckets(lines, line_ends, buckets)
 
 
 def _packs(level: int, lang: str, parts: list):
@@ -128,8 +165,7 @@ def _packs(level: int, lang: str, parts: list):
     ends = np.concatenate([p[1] + s for p, s in zip(parts, shifts)])
     counts, bucket = np.concatenate([p[2] for p in parts]).astype(np.int64), np.concatenate([p[3] for p in parts])
     order = np.argsort(bucket, kind="stable")
-    starts = np.r_[0, ends[:-1]] if len(ends) else ends
-    lines, ends = _gather(lines, starts[order], ends[order] - 1)
+    lines, ends = _ordered(lines, ends, order)
     counts, bucket = counts[order], bucket[order]
     pack = zstandard.ZstdCompressor(level=3)
     numbers, heads = np.unique(bucket, return_index=True)
@@ -160,33 +196,26 @@ def _phrases(level: int, lang: str, bucket: int, lines: np.ndarray, ends: np.nda
 
 def _summed(lines: np.ndarray, ends: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct lines with the sums of their counts."""
-    import pyarrow as pa
-
-    offsets = np.zeros(len(ends) + 1, dtype=np.int64)
-    offsets[1:] = ends
-    keys = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(lines)])
-    found = pa.table({"k": keys, "c": pa.array(counts, pa.int64())}).group_by("k").aggregate([("c", "sum")]).combine_chunks()
-    keys = found.column("k").chunk(0) if found.num_rows else keys[:0]
-    offsets = np.frombuffer(keys.buffers()[1], np.int64)[keys.offset : keys.offset + len(keys) + 1]
-    data = np.frombuffer(keys.buffers()[2], np.uint8)[offsets[0] : offsets[-1]] if len(keys) else np.empty(0, np.uint8)
-    sums = found.column("c_sum").to_numpy() if found.num_rows else np.empty(0, np.int64)
-    return data, offsets[1:] - offsets[0], sums
+    coded = _binary(lines, ends).dictionary_encode()
+    sums = np.zeros(len(coded.dictionary), dtype=np.int64)
+    np.add.at(sums, coded.indices.to_numpy(), counts)
+    data, offsets = _bytes_of(coded.dictionary)
+    return data, offsets[1:], sums
 
 
 def _reduced(lines: np.ndarray, ends: np.ndarray, counts: np.ndarray, level: int, lang: str, bucket: int, buckets: int, least: int):
     """What one bucket's lines of a level give: batches of frequent phrases, then packs of partial sums one level below."""
     lines, ends, counts = _summed(lines, ends, counts)
-    starts = np.r_[0, ends[:-1]]
 
     def frequent(k, lines, ends, counts, chosen):
-        starts = np.r_[0, ends[:-1]]
-        return _phrases(k, lang, bucket, *_gather(lines, starts[chosen], ends[chosen] - 1), counts[chosen])
+        chosen = np.flatnonzero(chosen)
+        starts = np.where(chosen > 0, ends[chosen - 1], 0)
+        return _phrases(k, lang, bucket, *_gather(lines, starts, ends[chosen] - 1), counts[chosen])
 
     if level == 3:
         space = np.flatnonzero(lines == 32).reshape(-1, 3)[:, 2]
         yield frequent(4, lines, ends, counts, (counts >= least) & (space + 2 < ends))
-        lines, ends, counts = _summed(*_gather(lines, starts, space), counts)
-        starts = np.r_[0, ends[:-1]]
+        lines, ends, counts = _summed(*_heads(lines, ends, space), counts)
     yield frequent(level, lines, ends, counts, counts >= least)
     if level == 1:
         import pyarrow as pa
@@ -197,8 +226,8 @@ def _reduced(lines: np.ndarray, ends: np.ndarray, counts: np.ndarray, level: int
             names=["level", "lang", "bucket", "phrase", "f", "packed", "counts"])
         return
     space = np.flatnonzero(lines == 32).reshape(-1, level - 1)[:, -1]
-    lines, ends, counts = _summed(*_gather(lines, starts, space), counts)
-    yield from (_batch([row]) for row in _packs(level - 1, lang, [(lines, ends, counts, _line_buckets(lines, buckets))]))
+    lines, ends, counts = _summed(*_heads(lines, ends, space), counts)
+    yield from (_batch([row]) for row in _packs(level - 1, lang, [(lines, ends, counts, _line_buckets(lines, ends, buckets))]))
 
 
 def _flow(packs: DataFrame, level: int, buckets: int, least: int) -> DataFrame:
@@ -231,7 +260,7 @@ def _flow(packs: DataFrame, level: int, buckets: int, least: int) -> DataFrame:
                 yield _batch(passed)
         yield from close()
 
-    n = max(int(packs.sparkSession.conf.get("spark.sql.shuffle.partitions")), buckets // 3)
+    n = max(int(packs.sparkSession.conf.get("spark.sql.shuffle.partitions")), buckets)
     rows = packs.filter("phrase is null and level > 0").repartition(n, "bucket", "level").sortWithinPartitions("level", "lang", "bucket")
     return rows.mapInArrow(reduce, PACKS)
 
