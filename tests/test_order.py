@@ -63,6 +63,70 @@ def test_ranks_match_pandas(skewed):
     assert got == pytest.approx(want)
 
 
+@pytest.fixture(scope="module")
+def deep(spark):
+    """One column over many powers of ten, with heavy values at both ends and in the middle."""
+    rng = np.random.default_rng(5)
+    x = np.r_[np.full(400, -9e9), np.full(300, 1e9), np.full(500, 2.5), rng.lognormal(0, 6, 1200).round(3), -rng.lognormal(0, 3, 400)]
+    rng.shuffle(x)
+    g = np.where(rng.random(len(x)) < 0.7, "hot", "cold")
+    pdf = pd.DataFrame({"g": g, "x": x, "fold": rng.integers(0, 3, len(x))})
+    return pdf, spark.createDataFrame(pdf).withColumn("fold", F.col("fold").cast("int")).repartition(6)
+
+
+def test_tiny_cells_are_split_again_and_ranks_stay_exact(deep):
+    pdf, df = deep
+    got = {r["value"]: (r["before"], r["cnt"], r["total"]) for r in O.rank_values(df, ["x"], buckets=4, cell=8).collect()}
+    order = pdf.x.value_counts().sort_index()
+    want = {v: (b, c, len(pdf)) for v, b, c in zip(order.index, order.cumsum() - order, order)}
+    assert got == want
+    by = {(r["g"], r["value"]): (r["before"], r["total"]) for r in O.rank_values(df, ["x"], ["g"], buckets=4, cell=8).collect()}
+    for g, part in pdf.groupby("g"):
+        order = part.x.value_counts().sort_index()
+        for v, b in zip(order.index, order.cumsum() - order):
+            assert by[g, v] == (b, len(part))
+
+
+def test_no_cell_stays_unsplit(deep):
+    _, df = deep
+    long = O.melt_numeric(df, ["x"], ["g"]).groupBy("g", "column", "value").agg(F.count("*").alias("cnt")).cache()
+    rows, _, local = O.cells(long, ["g"], buckets=4, cell=8, weight="cnt")
+    sizes = rows.groupBy("g", "bucket").agg(F.count("*").alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi")).collect()
+    assert not local and max(r["n"] for r in sizes) <= 8
+    digits = max(r["bucket"] for r in sizes).bit_length() / O.DIGIT_BITS
+    assert digits > 2  # three splits at least
+    ordered = sorted((r["g"], r["bucket"], r["lo"], r["hi"]) for r in sizes)
+    assert all(a[3] < b[2] for a, b in zip(ordered, ordered[1:]) if a[0] == b[0])
+
+
+@pytest.mark.parametrize("by", [[], ["g"]])
+def test_quantiles_through_several_splits(deep, by):
+    pdf, df = deep
+    probs = [0.0, 0.01, 0.25, 0.5, 0.75, 0.999, 1.0]
+    got = {(*[r[c] for c in by], r["prob"]): r["value"] for r in O.exact_quantiles(df, ["x"], probs, by=by, buckets=4, cell=8).collect()}
+    for g, part in pdf.groupby("g") if by else [((), pdf)]:
+        for p in probs:
+            assert got[(*([g] if by else []), p)] == pytest.approx(np.quantile(part.x, p), rel=1e-12)
+    folds = O.exact_quantiles(df, ["x"], [0.5], by=by, fold="fold", k=3, buckets=4, cell=8).collect()
+    for r in folds:
+        part = pdf[(pdf.fold != r["fit_fold"]) & ((pdf.g == r["g"]) if by else True)]
+        assert r["value"] == pytest.approx(np.quantile(part.x, 0.5), rel=1e-12) and r["n"] == len(part)
+    assert len(folds) == 4 * (2 if by else 1)
+
+
+def test_value_order_through_several_splits(spark):
+    ids = [int(v) for v in np.random.default_rng(2).permutation(np.r_[np.arange(700), 10**12 + np.arange(700) ** 3])]
+    df = spark.createDataFrame([(i,) for i in ids], "id long").repartition(4)
+    got = {r["id"]: r["rn"] for r in O.value_order(df, "id", buckets=4, cell=8).collect()}
+    assert got == {v: i + 1 for i, v in enumerate(sorted(ids))}
+
+
+def test_nan_counts_as_missing(spark):
+    df = spark.createDataFrame([(1.0,), (float("nan"),), (3.0,), (None,)], "x double")
+    assert O.exact_quantiles(df, ["x"], [0.5]).first()["value"] == 2.0
+    assert {r["value"]: r["total"] for r in O.rank_values(df, ["x"]).collect()} == {1.0: 2, 3.0: 2}
+
+
 def test_hash_order_is_the_global_order(skewed):
     _, df = skewed
     want = df.withColumn("h", O.hash_key("id", 9)).select(
@@ -80,8 +144,9 @@ def test_value_order_is_the_key_order(skewed):
 def test_rank_levels_many_strings(spark):
     names = [f"k{(i * 7919) % 100003:06d}" for i in range(9000)]
     df = spark.createDataFrame([("c", n) for n in set(names)], "column string, level string")
-    got = {r["level"]: r["code"] for r in O.rank_levels(df).collect()}
-    assert got == {n: i for i, n in enumerate(sorted(set(names)))}
+    for cell in (100, 1 << 20):
+        got = {r["level"]: r["code"] for r in O.rank_levels(df, cell=cell).collect()}
+        assert got == {n: i for i, n in enumerate(sorted(set(names)))}
 
 
 def test_modes_break_ties_to_the_smallest(spark):
