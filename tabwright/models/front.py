@@ -53,7 +53,7 @@ class Design:
             at += size
         self.width = at
         if self.width > MAX_WIDTH:
-            raise ValueError(f"design is {self.width} columns wide; merge levels or use the ML estimators")
+            raise ValueError(f"design is {self.width} columns wide: models/wide.py keeps the products in the cluster")
 
     def slot(self, kind: str, c: str) -> Column:
         """Position inside the block, or -1 for none."""

@@ -154,8 +154,8 @@ def level_table(df: DataFrame, cols: Sequence[str], fold: str | None = None, k:
 
 
 def collect_levels(df: DataFrame, cols: Sequence[str], limit: int = MAX_LEVELS) -> dict[str, list[str]]:
-    """Sorted levels per column, for indicator columns. A column wider than `limit` is an error:
-    indicators of that many levels would not fit a row, and must be merged or ranked first."""
+    """Sorted levels per column, for one column per level. More than `limit` is an error: wider factors
+    are coded as entries of a row (`operators/codes.py`)."""
     rows = level_table(df, cols).select("column", "level").limit(limit + 1).collect()
     if len(rows) > limit:
         raise ValueError(f"more than {limit} levels over {list(cols)}")

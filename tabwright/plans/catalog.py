@@ -7,7 +7,7 @@ import importlib
 from tabwright.plans import registry
 
 MODULES = [
-    "profiling", "shaping", "cleaning", "statistics", "selection", "splitting", "learned", "scoring", "modelling", "storage",
+    "profiling", "shaping", "cleaning", "statistics", "selection", "splitting", "learned", "scoring", "modelling", "storage", "wide",
 ]
 
 
