@@ -113,12 +113,12 @@ class FrontEnd:
 
     def __init__(
         self, df: DataFrame, design: Design, k: int, target: str, *, fold: str = "fold",
-        numeric: str = "median", scaling: str = "standard", transform: str = "log",
+        numeric: str = "median", scaling: str = "standard", transform: str = "log", fits: Sequence[int] | None = None,
     ) -> None:
         self.design, self.k, self.fold, self.target = design, k, fold, target
         self.numeric, self.scaling = numeric, scaling
         self.forward, self.inverse = target_pair(transform)
-        self.fits = list(range(k + 1))
+        self.fits = list(range(k + 1) if fits is None else fits)
         rows = df.filter(F.col(target).isNotNull() & (F.col(fold) < k))
         self._learn(rows)
         self._sum(rows)
@@ -130,7 +130,7 @@ class FrontEnd:
     def _learn(self, rows: DataFrame) -> None:
         d, k = self.design, self.k
         cols = d.continuous
-        y = self.forward(F.col(self.target).cast("double"))
+        y = self._y()
         moments = L.fit_moments(rows.withColumn("__y", y), [*cols, "__y"], self.fold, k).collect()
         self.stats = stats = {(r[L.FIT], r["column"]): r for r in moments}
         self.y_shift = stats[(k, "__y")]["mean"]
@@ -213,6 +213,12 @@ class FrontEnd:
 
     # the one pass over the rows
 
+    def _y(self) -> Column:
+        """The transformed target; a target outside the transform's domain ends the job."""
+        y = self.forward(F.col(self.target).cast("double"))
+        error = F.raise_error(F.concat(F.lit("the target transform is not defined at "), F.col(self.target).cast("string")))
+        return F.when(y.isNull() | F.isnan(y), error.cast("double")).otherwise(y)
+
     def _x(self, c: str, f: int) -> Column:
         x = F.col(c).cast("double")
         return yeo_johnson(x, self.lam[(f, c)]) if self.lam else x
@@ -226,7 +232,7 @@ class FrontEnd:
     def _sum(self, rows: DataFrame) -> None:
         d = self.design
         variants = self.fits if self.lam else [0]
-        y = self.forward(F.col(self.target).cast("double"))
+        y = self._y()
         xs = [(self._x(c, v) - self._shift(c, v)).alias(f"__x{v}_{i}") for v in variants for i, c in enumerate(d.continuous)]
         wide = rows.select(F.col(self.fold).cast("int").alias("__fold"), (y - self.y_shift).alias("__y"), *xs, *d.slots())
         nc, width = len(d.continuous), d.width

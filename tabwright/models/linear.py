@@ -170,6 +170,59 @@ def exhaustive(front: FrontEnd, pool: Sequence[str], sizes: Iterable[int], limit
     return sorted(((subset_r2(front, s), s) for s in subsets), key=lambda t: -t[0])
 
 
+def best_subsets(S: np.ndarray, r: np.ndarray, yy: float) -> list[tuple[float, tuple[int, ...]]]:
+    """For each size from 1 to p the subset of least squared error: (error, columns). Branch and bound.
+
+    The error of a set bounds that of all its subsets from below, so a branch ends when its set is
+    no better than what is known for every size it leads to (Furnival and Wilson, 1974). Strong
+    columns are fixed first: the large branches then start without one of them and end early. Dropping a
+    column updates the inverse in place of solving again.
+    """
+    p = len(r)
+    scale = np.sqrt(np.maximum(S.diagonal(), 1e-300))
+    S, r = S / np.outer(scale, scale) + 1e-12 * np.eye(p), r / scale
+    best: list[tuple[float, tuple[int, ...]]] = [(np.inf, ())] * (p + 1)
+
+    def known(error: float, columns: np.ndarray) -> None:
+        if len(columns) and error < best[len(columns)][0]:
+            best[len(columns)] = (error, tuple(sorted(int(c) for c in columns)))
+
+    def dropped(V: np.ndarray, b: np.ndarray, error: float, columns: np.ndarray, i: int):
+        keep = np.arange(len(b)) != i
+        part = V[keep, i] / V[i, i]
+        return V[np.ix_(keep, keep)] - np.outer(part, V[i, keep]), b[keep] - part * b[i], error + b[i] ** 2 / V[i, i], columns[keep]
+
+    V = np.linalg.inv(S)
+    b = V @ r
+    whole = (V, b, max(yy - b @ r, 0.0), np.arange(p))
+    known(whole[2], whole[3])
+    state = whole  # stepwise elimination gives the first bounds
+    while len(state[1]) > 1:
+        state = dropped(*state, int(np.argmin(state[1] ** 2 / state[0].diagonal())))
+        known(state[2], state[3])
+
+    stack = [(whole, 0)]
+    while stack:
+        (V, b, error, columns), fixed = stack.pop()
+        loss = b**2 / V.diagonal()
+        order = np.r_[np.arange(fixed), fixed + np.argsort(-loss[fixed:], kind="stable")]
+        V, b, columns, loss = V[np.ix_(order, order)], b[order], columns[order], loss[order]
+        for i in range(fixed, len(b)):
+            lower = error + loss[i]
+            known(lower, np.delete(columns, i))
+            if any(best[size][0] > lower for size in range(max(i, 1), len(b) - 1)):
+                stack.append((dropped(V, b, error, columns, i), i))
+    return best[1:]
+
+
+def leaps(front: FrontEnd, pool: Sequence[str]) -> list[tuple[int, tuple[str, ...], float, float]]:
+    """(size, columns, R squared on all folds, cross-validated R squared) of the best subset of each size."""
+    q = front.normal(front.k).subset(pool)
+    found = best_subsets(q.S, q.r, q.yy)
+    named = [tuple(pool[i] for i in columns) for _, columns in found]
+    return [(i + 1, names, 1 - error / q.yy, subset_r2(front, names)) for i, ((error, _), names) in enumerate(zip(found, named))]
+
+
 def eliminate(front: FrontEnd, pool: Sequence[str]) -> list[tuple[int, str, float]]:
     """Recursive elimination by the smallest absolute coefficient: (features left, dropped next, CV score)."""
     rest = list(pool)

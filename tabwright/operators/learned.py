@@ -242,10 +242,13 @@ def _power_function():
     return psi
 
 
-def _likelihood_sums(df: DataFrame, cols: Sequence[str], fold: Column, grid: dict[str, list[float]], method: str) -> list:
-    """Per (fold, column, candidate): n, sum and sum of squares of psi, and the Jacobian sum.
+def _likelihood_sums(
+    df: DataFrame, cols: Sequence[str], fold: Column, grid: dict[str, list[float]], method: str, center: dict[str, float],
+) -> list:
+    """Per (fold, column, candidate): n, sum and sum of squares of psi around psi(center), and the Jacobian sum.
 
-    One scan for all columns, folds and candidates; a task emits a few hundred rows.
+    One scan for all columns, folds and candidates; a task emits a few hundred rows. A NaN counts as missing; a
+    value outside the transform's domain ends the job, however the rows are dealt.
     """
     cols, psi = list(cols), _power_function()
 
@@ -260,9 +263,11 @@ def _likelihood_sums(df: DataFrame, cols: Sequence[str], fold: Column, grid: dic
                     x = x[~np.isnan(x)]
                     if not len(x):
                         continue
+                    if method == "boxcox1p" and x.min() <= -1:
+                        raise ValueError(f"boxcox1p needs values above -1, column {c} has {x.min()}")
                     jac = (np.log1p(x) if method == "boxcox1p" else np.sign(x) * np.log1p(np.abs(x))).sum()
                     for lam in grid[c]:
-                        p = psi(x, lam, method)
+                        p = psi(x, lam, method) - psi(np.array([center[c]]), lam, method)[0]
                         part = np.array([len(x), p.sum(), (p * p).sum(), jac])
                         key = (int(f), c, lam)
                         acc[key] = acc[key] + part if key in acc else part
@@ -288,12 +293,16 @@ def fit_power(
     """
     fits = list(range(k + 1)) if fold else [0]
     bracket = {(f, c): (low, high) for f in fits for c in cols}
+    # sums are taken around the transformed mean, so that their difference keeps its digits
+    present = lambda c: F.nanvl(F.col(c).cast("double"), F.lit(None))
+    means = df.agg(*[F.avg(present(c)).alias(f"m{i}") for i, c in enumerate(cols)]).first() if cols else []
+    center = {c: m if m is not None and (method != "boxcox1p" or m > -1) else 0.0 for c, m in zip(cols, means)}
     best: dict[tuple[int, str], float] = {}
     for last in [False] * (rounds - 1) + [True]:
         mine = {fc: np.round(np.linspace(a, b, points), 10).tolist() for fc, (a, b) in bracket.items()}
         grid = {c: sorted({lam for (f, cc), ls in mine.items() if cc == c for lam in ls}) for c in cols}
         sums: dict[tuple[str, float], dict[int, np.ndarray]] = {}
-        for r in _likelihood_sums(df, cols, F.col(fold) if fold else F.lit(0), grid, method):
+        for r in _likelihood_sums(df, cols, F.col(fold) if fold else F.lit(0), grid, method, center):
             sums.setdefault((r["column"], r["lam"]), {})[r["fold"]] = np.array([r["n"], r["s1"], r["s2"], r["jac"]])
         for (f, c), lams in mine.items():
             scores = []
@@ -301,7 +310,8 @@ def fit_power(
                 use = [v for g, v in sums.get((c, lam), {}).items() if not fold or g != f or f == k]
                 total = np.sum(use, axis=0) if use else np.zeros(4)
                 for value, weight in (constants or {}).get((f, c), []):
-                    p = float(_power_function()(np.array([value]), lam, method)[0])
+                    psi = _power_function()
+                    p = float(psi(np.array([value]), lam, method)[0] - psi(np.array([center[c]]), lam, method)[0])
                     jac = np.sign(value) * np.log1p(abs(value))
                     total = total + weight * np.array([1.0, p, p * p, jac])
                 scores.append(_log_likelihood(total, lam))

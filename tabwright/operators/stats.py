@@ -3,17 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tabwright.functions.joins import attach
 from tabwright.functions.order import (
     exact_quantiles, hash_key, melt_numeric, rank_counted, rank_values, value_counts, wide_quantiles,
 )
-from tabwright.functions.scalar import normal_quantile
+from tabwright.functions.scalar import normal_cdf, polynomial, with_normal_quantile
 from tabwright.session import few_tasks
 
 
@@ -157,6 +159,78 @@ def jarque_bera(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return m.select("column", "n", jb.alias("jb"), F.exp(-jb / 2).alias("p")).withColumn("normal", F.col("p") >= 0.01)
 
 
+def kolmogorov_smirnov(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """`(column, n, d, p)`: largest distance between a column's distribution and the normal one of its mean and deviation.
+
+    Exact ranks give both sides of every step, so the distance is a maximum over distinct values. p is the
+    limit distribution's; with an estimated mean and deviation it is too large. A constant column gives nulls.
+    """
+    ranks = rank_values(df, cols)
+    info = melt_numeric(df, cols).groupBy("column").agg(F.avg("value").alias("mean"), F.stddev_samp("value").alias("sd"))
+    placed = attach(ranks, info, ["column"], name="moments")  # one row per column
+    n = F.col("total").cast("double")
+    placed = placed.withColumn("__z", F.try_divide(F.col("value") - F.col("mean"), F.nullif(F.col("sd"), F.lit(0.0)))).withColumn("__at", normal_cdf("__z"))
+    at = F.col("__at")
+    gap = F.when(at.isNotNull(), F.greatest(at - F.col("before") / n, (F.col("before") + F.col("cnt")) / n - at))
+    out = placed.groupBy("column").agg(F.max("total").alias("n"), F.max(gap).alias("d"))
+    x = F.col("d") * F.sqrt(F.col("n"))
+    terms = [F.lit(2.0 * (-1) ** (i - 1)) * F.exp(-2.0 * i * i * x * x) for i in range(1, 31)]
+    p = F.when(F.col("d").isNotNull(), F.when(x < 0.2, 1.0).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), sum(terms, F.lit(0.0))))))
+    return out.select("column", F.col("n").cast("bigint").alias("n"), "d", p.alias("p"))
+
+
+# Polynomials of the W test (Royston, 1995), highest power first.
+_ROYSTON = {
+    "last": (-2.706056, 4.434685, -2.07119, -0.147981, 0.221157, 0.0),
+    "next": (-3.582633, 5.682633, -1.752461, -0.293762, 0.042981, 0.0),
+    "few_mean": (-6.714e-4, 0.025054, -0.39978, 0.544),
+    "few_log_sd": (-0.0020322, 0.062767, -0.77857, 1.3822),
+    "many_mean": (0.0038915, -0.083751, -0.31082, -1.5861),
+    "many_log_sd": (0.0030302, -0.082676, -0.4803),
+}
+W_ROWS = 5000  # the weights are known up to this size
+
+
+def shapiro_wilk(df: DataFrame, cols: Sequence[str], key: str, seed: int = 42) -> DataFrame:
+    """`(column, n, w, p)` of the W test on the present values of a column; null below three rows or without spread.
+
+    The test's weights are defined for at most 5,000 rows. Of a longer column the rows with the smallest
+    hashes of their key are taken: the sample is part of the test, and a second run takes the same one.
+    """
+    parts = []
+    for c in cols:
+        one = melt_numeric(df.withColumn("__h", hash_key(key, seed)), [c], ["__h"])
+        parts.append(one.orderBy("__h", "value").limit(W_ROWS).drop("__h"))
+    long = reduce(DataFrame.unionByName, parts)
+    # a few thousand rows per column: positions and sums are windows over one column each
+    w = W.partitionBy("column")
+    n, i = F.col("n").cast("double"), F.col("i").cast("double")
+    placed = long.withColumns({"i": F.row_number().over(w.orderBy("value")), "n": F.count("*").over(w)})
+    placed = with_normal_quantile(placed, (i - 0.375) / (n + 0.25), "m").withColumn("mm", F.sum(F.col("m") * F.col("m")).over(w))
+    at = lambda place: F.max(F.when(i == place, F.col("m"))).over(w)
+    placed = placed.withColumns({"m1": at(n), "m2": at(n - 1)})
+    rsn, root = 1 / F.sqrt(n), F.sqrt("mm")
+    a1 = F.when(n == 3, F.sqrt(F.lit(0.5))).otherwise(polynomial(_ROYSTON["last"], rsn) + F.col("m1") / root)
+    placed = placed.withColumns({"a1": a1, "a2": polynomial(_ROYSTON["next"], rsn) + F.col("m2") / root})
+    sq = lambda c: F.col(c) * F.col(c)
+    two = F.try_divide(F.col("mm") - 2 * sq("m1") - 2 * sq("m2"), 1 - 2 * sq("a1") - 2 * sq("a2"))
+    one = F.try_divide(F.col("mm") - 2 * sq("m1"), 1 - 2 * sq("a1"))
+    inner = F.when(n == 3, F.lit(0.0)).otherwise(F.col("m") / F.sqrt(F.when(n > 5, two).otherwise(one)))
+    weight = (F.when(i == n, F.col("a1")).when(i == 1, -F.col("a1"))
+              .when((n > 5) & (i == n - 1), F.col("a2")).when((n > 5) & (i == 2), -F.col("a2")).otherwise(inner))
+    sums = placed.groupBy("column").agg(
+        F.max("n").alias("n"), F.sum(weight * F.col("value")).alias("b"), (F.var_pop("value") * F.count("*")).alias("ss"))
+    ratio = F.try_divide(sq("b"), F.when((F.col("ss") > 0) & (F.col("n") >= 3), F.col("ss")))
+    got = sums.select("column", F.col("n").cast("bigint").alias("n"), ratio.alias("w")).withColumn("w", F.when(F.col("w") > 1, 1.0).otherwise(F.col("w")))
+    size, x = F.col("n").cast("double"), F.log(F.nullif(1 - F.col("w"), F.lit(0.0)))
+    few = F.try_divide(-F.log(-2.273 + 0.459 * size - x) - polynomial(_ROYSTON["few_mean"], size), F.exp(polynomial(_ROYSTON["few_log_sd"], size)))
+    many = F.try_divide(x - polynomial(_ROYSTON["many_mean"], F.log(size)), F.exp(polynomial(_ROYSTON["many_log_sd"], F.log(size))))
+    three = 6 / np.pi * (F.asin(F.sqrt("w")) - F.asin(F.sqrt(F.lit(0.75))))
+    got = got.withColumn("__z", F.when(size <= 11, few).otherwise(many))
+    p = F.when(F.col("w").isNull(), None).when(F.col("w") >= 1, 1.0).when(size == 3, F.greatest(three, F.lit(0.0))).otherwise(1 - normal_cdf("__z"))
+    return got.withColumn("p", p).drop("__z")
+
+
 def qq_points(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Filliben order-statistic medians and normal quantiles, one row per run of equal values.
 
@@ -167,8 +241,8 @@ def qq_points(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     rank = F.col("before") + F.col("cnt")
     p = (F.when(rank == n, F.pow(F.lit(0.5), 1 / n)).when(rank == 1, 1 - F.pow(F.lit(0.5), 1 / n))
          .otherwise((rank - 0.3175) / (n + 0.365)))
-    return r.select("column", "value", "cnt", rank.alias("rank"), p.alias("position"),
-                    normal_quantile(p.cast("double")).alias("theoretical"))
+    points = r.select("column", "value", "cnt", rank.alias("rank"), p.cast("double").alias("position"))
+    return with_normal_quantile(points, F.col("position"), "theoretical")
 
 
 def qq_fit(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -181,7 +255,7 @@ def qq_fit(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     middle = F.col("before") + (c + 1) / 2
     end = F.pow(F.lit(0.5), 1 / n)
     p = F.when((middle == n) & (c == 1), end).when((middle == 1) & (c == 1), 1 - end).otherwise((middle - 0.3175) / (n + 0.365))
-    points = r.select("column", "value", c.alias("w"), normal_quantile(p.cast("double")).alias("z"))
+    points = with_normal_quantile(r.select("column", "value", c.alias("w"), p.cast("double").alias("p")), F.col("p"), "z").drop("p")
     mean = points.groupBy("column").agg(F.sum("w").alias("n"), (F.sum(F.col("w") * F.col("value")) / F.sum("w")).alias("mv"),
                                         (F.sum(F.col("w") * F.col("z")) / F.sum("w")).alias("mz"))
     around = attach(points, mean, ["column"], name="means")  # one row per column
@@ -230,26 +304,27 @@ def density_fit(df: DataFrame, col: str) -> DataFrame:
 def density_curve(df: DataFrame, col: str, grid: int = 100, fine: int = 1000) -> DataFrame:
     """Gaussian kernel density on `grid` points from a fine histogram (Scott's bandwidth).
 
-    Rows are reduced to at most `fine` bin counts first; only those meet the grid.
+    Rows are reduced to at most `fine` bin counts first; only those meet the grid. A constant column
+    has one point at its value and no density. A NaN counts as missing.
     """
-    x = F.col(col).cast("double")
+    x = F.nanvl(F.col(col).cast("double"), F.lit(None))
     base = df.filter(x.isNotNull()).agg(
         F.min(x).alias("lo"), F.max(x).alias("hi"), F.count("*").alias("n"), F.stddev_samp(x).alias("s"))
     info = F.broadcast(base.withColumn("__one", F.lit(1)))
     width = (F.col("hi") - F.col("lo")) / fine
     counts = (
         df.filter(x.isNotNull()).select(x.alias("x"), F.lit(1).alias("__one")).join(info, "__one")
-        .withColumn("bin", F.least(F.floor((F.col("x") - F.col("lo")) / width), F.lit(fine - 1)))
+        .withColumn("bin", F.coalesce(F.least(F.floor(F.try_divide(F.col("x") - F.col("lo"), width)), F.lit(fine - 1)), F.lit(0)))
         .groupBy("bin").agg(F.count("*").alias("c"), *[F.max(c).alias(c) for c in ("lo", "hi", "n", "s")])
     )
     h = F.col("s") * F.pow(F.col("n"), F.lit(-0.2))
     at = F.col("lo") + F.col("g") * (F.col("hi") - F.col("lo")) / (grid - 1)
     mid = F.col("lo") + (F.col("bin") + 0.5) * width
-    z = (at - mid) / h
+    z = F.try_divide(at - mid, h)
     kernel = F.exp(-z * z / 2) / F.sqrt(F.lit(2 * np.pi))
     return (
-        counts.withColumn("g", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))))
-        .groupBy("g").agg(F.max(at).alias("x"), F.sum(F.col("c") * kernel / (F.col("n") * h)).alias("density"))
+        counts.withColumn("g", F.explode(F.sequence(F.lit(0), F.when(F.col("hi") > F.col("lo"), grid - 1).otherwise(0))))
+        .groupBy("g").agg(F.max(at).alias("x"), F.sum(F.try_divide(F.col("c") * kernel, F.col("n") * h)).alias("density"))
     )
 
 

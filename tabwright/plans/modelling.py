@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabwright.models import linear, trees
-from tabwright.models.front import coefficient_table, predict
+from tabwright.models.front import coefficient_table, predict, predict_wide
+from tabwright.models.stages import stage_of
 from tabwright.operators import split as SP
 from tabwright.operators.select import array_columns
 from tabwright.plans import workbench as WB
@@ -27,7 +28,7 @@ LINE_SQL = f"""with {ORDER_FRAME_SQL}, {FOLD_SQL},
 _LINE = {}
 
 
-def _line(spark, sf, transform="none"):
+def line_rows(spark, sf, transform="none"):
     """Folded training rows, and the one-feature front end on them."""
     slot = (spark.sparkContext.applicationId, sf)
     if slot not in _LINE:
@@ -39,7 +40,7 @@ def _line(spark, sf, transform="none"):
 
 
 def _line_weights(spark, sf, family, params):
-    rows, fr = _line(spark, sf)
+    rows, fr = line_rows(spark, sf)
     coef = linear.fit(fr, family, params, fr.k)
     slope, intercept = float(coef[1]), float(coef[0] - coef[1] * fr.prepared[fr.k].shift[0])
     return rows.agg(F.count("*").alias("n")).select(rnd_col(F.lit(slope), 8).alias("slope"), rnd_col(F.lit(intercept), 4).alias("intercept"), "n")
@@ -113,7 +114,7 @@ def model_scaling_variants(spark, sf):
   select row_id, fold, {rnd('exp(a + b * x) - 1', 3)} as pred from t join p on fold = ff""")
 def model_target_wrapped(spark, sf):
     """Transform the target, fit per fold, bring predictions back."""
-    rows, fr = _line(spark, sf, "log")
+    rows, fr = line_rows(spark, sf, "log")
     coefs = coefficient_table(spark, fr, linear.fit_all(fr, {"line": ("ols", {})}))
     out = predict(rows, fr.design, coefs, ["row_id", "fold"], "fold", fr.inverse)
     return rounded(out.select("row_id", "fold", "pred"), {"pred"}, 3)
@@ -130,7 +131,10 @@ def model_front_end(spark, sf):
 
 
 def _trainer(spark, sf):
-    return trees.TreeTrainer(WB.prepared(spark, sf), WB.CONTINUOUS, WB.CATEGORICAL, WB.ORDINAL, "target", WB.K)
+    """Trees behind the very preparations of the linear models: group medians, modes and ranked codes of each fit."""
+    fr = WB.front(spark, sf)
+    return trees.TreeTrainer(WB.prepared(spark, sf), WB.CONTINUOUS, WB.CATEGORICAL, WB.ORDINAL, "target", WB.K,
+                             stages={f: stage_of(fr, f) for f in fr.fits})
 
 
 def _keep():
@@ -209,7 +213,7 @@ PATH = [0.0, 1.0, 100.0, 1000.0, 10000.0]
   e as (select alpha, p.ff, avg(power(y - yb - r / (n + alpha) * (x - m) / s, 2)) as mse from a, p join r on p.ff = r.ff join t on t.fold = p.ff group by 1, 2)
   select alpha, {rnd('avg(mse)', 8)} as mse, count(*) as folds from e group by 1""")
 def tune_alpha_path(spark, sf):
-    _, fr = _line(spark, sf, "log")
+    _, fr = line_rows(spark, sf, "log")
     scored = linear.search(fr, "ridge", [{"alpha": a} for a in PATH])
     out = spark.createDataFrame([(p["alpha"], m, len(e)) for p, m, e in scored], "alpha double, mse double, folds bigint")
     return rounded(out, {"mse"}, 8)
@@ -284,20 +288,19 @@ def learning_curve(spark, sf):
 
 @query("ens_stack")
 def ens_stack(spark, sf):
-    wide, _ = WB.ensemble(spark, sf, "standard", n_iter=20)
+    wide, _ = WB.ensemble(spark, sf, "standard")
     return wide.select(*WB.KEEP, F.expm1("stacking").alias("pred"))
 
 
 @query("ens_stack_passthrough")
 def ens_stack_passthrough(spark, sf):
-    """Boosted trees that see the features and the out-of-fold predictions of two linear models."""
+    """Boosted trees that see the features and the out-of-fold predictions of two linear models; scored out of fold too."""
     rows, fr = WB.prepared(spark, sf), WB.front(spark, sf)
-    wide, _ = WB.wide_predictions(rows, fr, {f: (f, linear.DEFAULTS[f]) for f in ("ridge", "lasso")})
-    wide = wide.select("row_id", "ridge", "lasso")
-    joined = rows.join(wide, "row_id")
-    t = trees.TreeTrainer(joined, [*WB.CONTINUOUS, "ridge", "lasso"], WB.CATEGORICAL, WB.ORDINAL, "target", WB.K)
-    model = t.fit(trees.boosted("gbr", TREES, stepSize=0.3), WB.K)
-    return t.score(model, WB.K, "stack_passthrough", _keep())
+    coefs = coefficient_table(spark, fr, linear.fit_all(fr, {f: (f, linear.DEFAULTS[f]) for f in ("ridge", "lasso")}))
+    wide, bases = predict_wide(rows, fr.design, coefs, rows.columns, "fold")  # the rows themselves get the predictions
+    wide = materialize(wide, "passthrough")
+    t = trees.TreeTrainer(wide, [*WB.CONTINUOUS, *bases], WB.CATEGORICAL, WB.ORDINAL, "target", WB.K, group_of=WB.GROUP_OF)
+    return t.predictions(trees.boosted("gbr", TREES, stepSize=0.3), "stack_passthrough", _keep())
 
 
 @query("met_comparison_models")
@@ -329,6 +332,16 @@ def fs_exhaustive(spark, sf):
     return spark.createDataFrame([(i + 1, ", ".join(s), r) for i, (r, s) in enumerate(best)], "rank int, columns string, r2 double")
 
 
+@query("fs_best_subsets")
+def fs_best_subsets(spark, sf):
+    """Best subset of each size over all prepared features, indicators included: branch and bound, no limit on subsets."""
+    fr = WB.front(spark, sf)
+    names = fr.normal(fr.k).names
+    flags = [[c for c in names if c.startswith(f"{factor}=")][1:] for factor in ("status", "segment_gap")]  # one level is implied
+    pool = [*_pool(), *flags[0], *flags[1]]
+    return spark.createDataFrame([(n, ", ".join(s), a, b) for n, s, a, b in linear.leaps(fr, pool)], "size int, columns string, r2 double, cv_r2 double")
+
+
 @query("fs_rfe")
 def fs_rfe(spark, sf):
     return spark.createDataFrame(linear.eliminate(WB.front(spark, sf), _pool()), "n_features int, weakest string, r2 double")
@@ -358,14 +371,14 @@ def fs_importance(spark, sf):
 def fs_importance_trees(spark, sf):
     t = _trainer(spark, sf)
     model = t.fit(trees.boosted("gbr", TREES, stepSize=0.3), WB.K)
-    return spark.createDataFrame(trees.importances(model, t.filled(t.train, WB.K)), "feature string, importance double")
+    return spark.createDataFrame(trees.importances(model), "feature string, importance double")
 
 
 @query("fs_importance_permutation")
 def fs_importance_permutation(spark, sf):
     t = _trainer(spark, sf)
     model = t.fit(trees.forest(20, 6), WB.K)
-    return trees.permutation_importance(model, t.filled(t.train, WB.K), [*WB.CONTINUOUS, *WB.CATEGORICAL, *WB.ORDINAL], "row_id")
+    return trees.permutation_importance(model, t.train, [*WB.CONTINUOUS, *WB.CATEGORICAL, *WB.ORDINAL], "row_id")
 
 
 @query("fs_vif")

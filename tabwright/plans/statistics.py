@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from tabwright.functions import scalar as SC
 from tabwright.operators import stats as ST
 from tabwright.plans.registry import query, rnd, rounded, union_sql
 from tabwright.sources.tables import ORDER_FRAME_SQL, order_frame, staged_order_frame, table
@@ -96,12 +97,49 @@ def stat_normality(spark, sf):
     return rounded(rounded(ST.jarque_bera(order_frame(spark, sf), COLS), {"jb"}), {"p"}, 6)
 
 
+def _poly(powers, x):
+    """A polynomial as SQL, highest power first."""
+    out = repr(float(powers[0]))
+    for p in powers[1:]:
+        out = f"({out}) * {x} + {float(p)!r}"
+    return f"({out})"
+
+
+def _ks_sql():
+    upper = f"case when x < 7.07106781186547 then exp(-x * x / 2) * {_poly(SC._HART, 'x')} / {_poly(SC._HART_BELOW, 'x')} else 0 end"
+    terms = " + ".join(f"{2.0 * (-1) ** (i - 1)} * exp({-2.0 * i * i} * d * d * n)" for i in range(1, 31))
+    return f"""with r as (select value, count(*)::double as cnt, sum(count(*)) over (order by value)::double as upto, sum(count(*)) over ()::double as n from events group by value),
+      m as (select avg(value) as m, stddev_samp(value) as s from events),
+      z as (select upto, cnt, n, (value - m) / s as z, abs((value - m) / s) as x from r, m),
+      f as (select upto, cnt, n, case when z > 0 then 1 - ({upper}) else {upper} end as f from z),
+      d as (select max(n) as n, max(greatest(f - (upto - cnt) / n, upto / n - f)) as d from f)
+      select 'value' as "column", cast(n as bigint) as n, {rnd('d', 8)} as d, {rnd(f'case when d * sqrt(n) < 0.2 then 1 else greatest(0, least(1, {terms})) end', 6)} as p from d"""
+
+
+@query("stat_normality_ks", _ks_sql())
+def stat_normality_ks(spark, sf):
+    return rounded(rounded(ST.kolmogorov_smirnov(table(spark, sf, "events"), ["value"]), {"d"}, 8), {"p"}, 6)
+
+
+@query("stat_normality_w")
+def stat_normality_w(spark, sf):
+    """The W test of order columns: weights joined on exact ranks, the longest columns by their first 5,000 rows in hash order."""
+    return ST.shapiro_wilk(order_frame(spark, sf), COLS, "row_id")
+
+
+_R = "sqrt(-ln(least(position, 1 - position)))"
+_THEORETICAL = f"""case when abs(position - 0.5) <= 0.425 then (position - 0.5) * {_poly(SC._CENTRE, 'c')} / {_poly(SC._CENTRE_BELOW, 'c')}
+    else (case when position < 0.5 then -1 else 1 end) * (case when t <= 5 then {_poly(SC._MIDDLE, '(t - 1.6)')} / {_poly(SC._MIDDLE_BELOW, '(t - 1.6)')}
+    else {_poly(SC._TAIL, '(t - 5)')} / {_poly(SC._TAIL_BELOW, '(t - 5)')} end) end"""
+
+
 @query("stat_qq", f"""with r as (select value, count(*) as cnt, cast(sum(count(*)) over (order by value) as bigint) as rank,
-      cast(sum(count(*)) over () as double) as n from events group by value)
-    select value, cnt, rank, {rnd('case when rank = n then power(0.5, 1 / n) when rank = 1 then 1 - power(0.5, 1 / n) else (rank - 0.3175) / (n + 0.365) end', 8)} as position from r""")
+      cast(sum(count(*)) over () as double) as n from events group by value),
+    p as (select *, case when rank = n then power(0.5, 1 / n) when rank = 1 then 1 - power(0.5, 1 / n) else (rank - 0.3175) / (n + 0.365) end as position from r),
+    t as (select *, 0.180625 - (position - 0.5) * (position - 0.5) as c, {_R} as t from p)
+    select value, cnt, rank, {rnd('position', 8)} as position, {rnd(_THEORETICAL, 8)} as theoretical from t""")
 def stat_qq(spark, sf):
-    points = ST.qq_points(table(spark, sf, "events"), ["value"])
-    return rounded(points.select("value", "cnt", "rank", "position"), {"position"}, 8)
+    return rounded(ST.qq_points(table(spark, sf, "events"), ["value"]).drop("column"), {"position", "theoretical"}, 8)
 
 
 @query("stat_qq_fit")

@@ -5,8 +5,10 @@ from pyspark.sql import functions as F
 
 from tabwright.models import linear, trees
 from tabwright.models.front import coefficient_table
+from tabwright.models.stages import stage_of
 from tabwright.plans import workbench as WB
-from tabwright.plans.registry import query, rnd, rnd_col
+from tabwright.plans.modelling import LINE_SQL, line_rows
+from tabwright.plans.registry import query, rnd, rnd_col, rounded
 from tabwright.session import new_path
 from tabwright.sources import readers as R
 from tabwright.sources import sinks as K
@@ -89,7 +91,9 @@ def src_model(spark, sf):
 
 @query("src_model_trees")
 def src_model_trees(spark, sf):
-    t = trees.TreeTrainer(WB.prepared(spark, sf), WB.CONTINUOUS, WB.CATEGORICAL, WB.ORDINAL, "target", WB.K)
+    """Preparation and trees stored as one pipeline, loaded, and applied."""
+    fr = WB.front(spark, sf)
+    t = trees.TreeTrainer(WB.prepared(spark, sf), WB.CONTINUOUS, WB.CATEGORICAL, WB.ORDINAL, "target", WB.K, stages={f: stage_of(fr, f) for f in fr.fits})
     path = new_path(spark, "tree_model")
     t.fit(trees.forest(5, 5), WB.K).write().overwrite().save(path)
     return t.score(PipelineModel.load(path), WB.K, "forest", ["row_id"])
@@ -105,6 +109,39 @@ def score_batch(spark, sf):
     return R.read_csv(spark, path, "row_id bigint, pred double")
 
 
+def _two_lines_sql():
+    one = "case when p < 1 then 1 else p end"
+    return f"""{LINE_SQL},
+      w as (select r / n / s as b1, yb - r / n / s * m as a1, r / (n + 1000) / s as b2, yb - r / (n + 1000) / s * m as a2 from r),
+      z as (select row_id, a1 + b1 * x as l, a2 + b2 * x as d from t, w),
+      v as (select row_id, 5 + 0.25 * l + 0.5 * d as stack, (l + d) / 2 as vote, 0.3 * {one.replace('p', 'l')} + 0.7 * {one.replace('p', 'd')} as blend, d as ridge from z)
+      select row_id, {rnd('stack', 4)} as stack, {rnd('vote', 4)} as vote, {rnd('blend', 4)} as blend, {rnd('ridge', 4)} as ridge from v"""
+
+
+@query("score_batch_ensemble", _two_lines_sql())
+def score_batch_ensemble(spark, sf):
+    """A stored ensemble of two models: stack, vote, blend and best from one artefact in one map."""
+    rows, fr = line_rows(spark, sf)
+    coefs = coefficient_table(spark, fr, linear.fit_all(fr, {"line": ("ols", {}), "ridge": ("ridge", {"alpha": 1000.0})}))
+    parts = {"stack": {"kind": "stack", "intercept": 5.0, "weights": {"line": 0.25, "ridge": 0.5}},
+             "vote": {"kind": "vote", "weights": {"line": 0.5, "ridge": 0.5}},
+             "blend": {"kind": "blend", "weights": {"line": 0.3, "ridge": 0.7}}}
+    path = new_path(spark, "ensemble")
+    K.EnsembleScorer(fr.design, coefs, "none", fr.k, parts, "ridge").save(path)
+    wide, _ = K.EnsembleScorer.load(spark, path).wide(rows, ["row_id"])
+    return rounded(wide.drop("line"), {"stack", "vote", "blend", "ridge"}, 4)
+
+
+@query("score_batch_best")
+def score_batch_best(spark, sf):
+    """The whole workflow stored as one model; raw test rows get the predictions of every combination."""
+    path = new_path(spark, "composite")
+    WB.composite(spark, sf, "standard").save(path)
+    scorer = K.EnsembleScorer.load(spark, path)
+    raw = order_frame(spark, sf).filter(F.col("split") == "test")
+    return scorer.score(WB.clean(raw), ["row_id"], [*scorer.parts, scorer.best] if scorer.best not in scorer.parts else list(scorer.parts))
+
+
 @query("score_stream")
 def score_stream(spark, sf):
     """The same scoring over a stream of raw files."""

@@ -15,6 +15,7 @@ from tabwright.operators import metrics as M
 from tabwright.operators import shape as S
 from tabwright.operators import split as SP
 from tabwright.session import materialize
+from tabwright.sources.sinks import EnsembleScorer, combined
 from tabwright.sources.tables import staged_order_frame
 
 K = 5
@@ -129,12 +130,14 @@ def with_vote(wide: DataFrame, models: Sequence[str], name: str = "voting") -> D
     return wide.withColumn(name, sum((F.col(m) for m in models), F.lit(0.0)) / len(models))
 
 
-def with_blend(wide: DataFrame, models: Sequence[str], name: str = "blend") -> DataFrame:
-    """Adds the non-negative blend, weighted on out-of-fold rows by one aggregate."""
-    as_pred = wide.filter(F.col("part") == "fit").select("y", *[F.expm1(m).alias(m) for m in models])
-    weights = M.blend_weights(as_pred, models)
-    z = sum((F.log1p(S.clip_floor(F.expm1(m))) * w for m, w in weights.items()), F.lit(0.0))
-    return wide.withColumn(name, z)
+def blend_weights(wide: DataFrame, models: Sequence[str]) -> dict[str, float]:
+    """Non-negative weights fitted on out-of-fold rows by one aggregate."""
+    return M.blend_weights(wide.filter(F.col("part") == "fit").select("y", *[F.expm1(m).alias(m) for m in models]), models)
+
+
+def with_blend(wide: DataFrame, weights: Mapping[str, float], name: str = "blend") -> DataFrame:
+    """Adds the weighted blend of the given columns."""
+    return wide.withColumn(name, combined({"kind": "blend", "weights": weights}, F.log1p, F.expm1))
 
 
 def split_scores(preds: DataFrame) -> DataFrame:
@@ -142,17 +145,38 @@ def split_scores(preds: DataFrame) -> DataFrame:
     return M.comparison(preds.filter(F.col("part") == "fit"), preds.filter(F.col("part") == "val"))
 
 
-def ensemble(
-    spark: SparkSession, sf_dir: str, scaling: str = "yeo-johnson", families: Sequence[str] = FAMILIES, n_iter: int = 100,
-) -> tuple[DataFrame, list[str]]:
-    """Tuned base models written once, then stack, vote and blend as further columns."""
+def _ensemble(spark: SparkSession, sf_dir: str, scaling: str, families: Sequence[str], n_iter: int):
     rows = prepared(spark, sf_dir)
     fr = front(spark, sf_dir, scaling)
     chosen = linear.tuned(fr, families, n_iter)
-    base, models = wide_predictions(rows, fr, chosen)
+    coefs = coefficient_table(spark, fr, linear.fit_all(fr, chosen))
+    base, models = predict_wide(rows.withColumn("y", F.col("target")), fr.design, coefs, KEEP, "fold")
     fits = linear.nested_meta_fits(fr, {m: chosen[m] for m in models})
     wide = with_vote(with_stack(materialize(base, "base_predictions"), models, fits), models)
-    return with_blend(wide, [*models, "stacking"]), [*models, "stacking", "voting", "blend"]
+    weights = blend_weights(wide, [*models, "stacking", "voting"])
+    return fr, coefs, fits, weights, with_blend(wide, weights), models
+
+
+def ensemble(
+    spark: SparkSession, sf_dir: str, scaling: str = "yeo-johnson", families: Sequence[str] = FAMILIES, n_iter: int = 100,
+) -> tuple[DataFrame, list[str]]:
+    """Tuned base models written once, then stack, vote and blend as further columns."""
+    *_, wide, models = _ensemble(spark, sf_dir, scaling, families, n_iter)
+    return wide, [*models, "stacking", "voting", "blend"]
+
+
+def composite(
+    spark: SparkSession, sf_dir: str, scaling: str = "yeo-johnson", families: Sequence[str] = FAMILIES, n_iter: int = 100,
+) -> EnsembleScorer:
+    """The final fit of the workflow as one model that can be stored: base models, stack, vote, blend, and the best of them."""
+    fr, coefs, fits, weights, wide, models = _ensemble(spark, sf_dir, scaling, families, n_iter)
+    names = [*models, "stacking", "voting", "blend"]
+    best = split_scores(long_predictions(wide, names, KEEP)).orderBy("oof_rmsle", "model").first()["model"]
+    intercept, stack = next((b, w) for f, b, w in fits if f == fr.k)
+    parts = {"stacking": {"kind": "stack", "intercept": intercept, "weights": dict(zip(models, stack))},
+             "voting": {"kind": "vote", "weights": {m: 1.0 / len(models) for m in models}},
+             "blend": {"kind": "blend", "weights": weights}}
+    return EnsembleScorer(fr.design, coefs, "log", fr.k, parts, best)
 
 
 def all_predictions(spark: SparkSession, sf_dir: str, scaling: str = "yeo-johnson", families: Sequence[str] = FAMILIES, n_iter: int = 100) -> DataFrame:
