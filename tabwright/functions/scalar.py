@@ -117,3 +117,12 @@ def with_normal_quantile(df: DataFrame, p: Column, out: str) -> DataFrame:
     value = (F.when(F.abs(q) <= 0.425, q * polynomial(_CENTRE, near) / polynomial(_CENTRE_BELOW, near))
              .when(q < 0, -F.col("__tail")).otherwise(F.col("__tail")))
     return staged.withColumn(out, F.when((F.col("__p") > 0) & (F.col("__p") < 1), value)).drop("__p", "__q", "__near", "__r", "__far", "__tail")
+
+
+def digamma(x: Column | str) -> Column:
+    """Derivative of the logarithm of the gamma function for x >= 1, to about 12 digits."""
+    x = F.col(x) if isinstance(x, str) else x
+    z = x + 8
+    w = 1 / (z * z)
+    series = F.log(z) - 1 / (2 * z) - w * (1 / 12 - w * (1 / 120 - w * (1 / 252 - w * (1 / 240 - w / 132))))
+    return series - sum((1 / (x + i) for i in range(1, 8)), 1 / x)

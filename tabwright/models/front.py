@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabwright.functions.order import exact_quantiles, expand_folds, long_quantiles
-from tabwright.functions.scalar import target_pair, yeo_johnson
+from tabwright.functions.scalar import inv_yeo_johnson, target_pair, yeo_johnson
 from tabwright.operators import learned as L
 from tabwright.session import few_tasks
 
@@ -117,23 +117,45 @@ class FrontEnd:
     ) -> None:
         self.design, self.k, self.fold, self.target = design, k, fold, target
         self.numeric, self.scaling = numeric, scaling
-        self.forward, self.inverse = target_pair(transform)
+        self.transform, self.y_lam = transform, {}
         self.fits = list(range(k + 1) if fits is None else fits)
         rows = df.filter(F.col(target).isNotNull() & (F.col(fold) < k))
+        if transform == "yeojohnson":  # learned like everything else: each fit has a lambda of its own
+            self.y_lam = {f: lam for (f, _), lam in L.fit_power(rows, [target], fold, k).items() if f in self.fits}
+        self.forward, self.inverse = self.pair()
         self._learn(rows)
         self._sum(rows)
         self.prepared = {f: self._prepare(f) for f in self.fits}
         self._normal: dict[int, Normal] = {}
 
+    def pair(self, fit: str | None = None):
+        """Forward and inverse target transform; a learned one is that of the fit that the row's `fit` column names."""
+        if not self.y_lam:
+            return target_pair(self.transform)
+        known = [F.lit(self.y_lam.get(f, 1.0)) for f in range(self.k + 1)]
+        lam = F.get(F.array(*known), F.col(fit or self.fold).cast("int"))
+        col = lambda c: F.col(c) if isinstance(c, str) else c
+        return (lambda y: yeo_johnson(col(y), lam)), (lambda z: inv_yeo_johnson(col(z), lam))
+
+    def variant(self, f: int) -> int:
+        """Which set of sums fit f reads: one of its own if a transform differs per fit."""
+        return f if self.lam or self.y_lam else 0
+
+    def variants_of_target(self) -> list[int]:
+        return self.fits if self.y_lam else [0]
+
+    def variants(self) -> list[int]:
+        return self.fits if self.lam or self.y_lam else [0]
+
     # what cannot be read off the Gram matrices: medians, extremes, quartiles, lambdas
 
     def _learn(self, rows: DataFrame) -> None:
         d, k = self.design, self.k
         cols = d.continuous
-        y = self._y()
-        moments = L.fit_moments(rows.withColumn("__y", y), [*cols, "__y"], self.fold, k).collect()
+        ys = {f"__y{f}": self._y(f) for f in self.variants_of_target()}
+        moments = L.fit_moments(rows.withColumns(ys), [*cols, *ys], self.fold, k).collect()
         self.stats = stats = {(r[L.FIT], r["column"]): r for r in moments}
-        self.y_shift = stats[(k, "__y")]["mean"]
+        self.y_shifts = {f: stats[(k, f"__y{f if self.y_lam else 0}")]["mean"] for f in {0, *self.fits} if f in self.fits or not self.y_lam}
         self.center = {c: stats[(k, c)]["mean"] if (k, c) in stats else 0.0 for c in cols}
         self.fill: dict[tuple[int, str], float] = {}
         self.group_fill: dict[tuple[int, str], dict[str, float]] = {}
@@ -145,7 +167,7 @@ class FrontEnd:
             else:
                 self.group_fill.setdefault((r[L.FIT], r["column"]), {})[r["member"]] = r["value"]
         if self.numeric == "mean":
-            plain = {key: r["mean"] for key, r in stats.items() if key[1] != "__y" and key[1] not in d.group_of}
+            plain = {key: r["mean"] for key, r in stats.items() if key[1] not in ys and key[1] not in d.group_of}
             self.fill |= plain
         self.quart: dict[tuple[int, str], tuple[float, float]] = {}
         self.lam: dict[tuple[int, str], float] = {}
@@ -213,9 +235,10 @@ class FrontEnd:
 
     # the one pass over the rows
 
-    def _y(self) -> Column:
-        """The transformed target; a target outside the transform's domain ends the job."""
-        y = self.forward(F.col(self.target).cast("double"))
+    def _y(self, f: int) -> Column:
+        """The target as fit f transforms it; a target outside the transform's domain ends the job."""
+        forward = target_pair("yeojohnson", self.y_lam[f])[0] if self.y_lam else self.forward
+        y = forward(F.col(self.target).cast("double"))
         error = F.raise_error(F.concat(F.lit("the target transform is not defined at "), F.col(self.target).cast("string")))
         return F.when(y.isNull() | F.isnan(y), error.cast("double")).otherwise(y)
 
@@ -231,10 +254,10 @@ class FrontEnd:
 
     def _sum(self, rows: DataFrame) -> None:
         d = self.design
-        variants = self.fits if self.lam else [0]
-        y = self._y()
+        variants = self.variants()
+        ys = [(self._y(v) - self.y_shifts[v]).alias(f"__y{v}") for v in variants]
         xs = [(self._x(c, v) - self._shift(c, v)).alias(f"__x{v}_{i}") for v in variants for i, c in enumerate(d.continuous)]
-        wide = rows.select(F.col(self.fold).cast("int").alias("__fold"), (y - self.y_shift).alias("__y"), *xs, *d.slots())
+        wide = rows.select(F.col(self.fold).cast("int").alias("__fold"), *ys, *xs, *d.slots())
         nc, width = len(d.continuous), d.width
         starts = [d.start[(kind, c)] for kind, c, _ in d.blocks]
 
@@ -248,10 +271,10 @@ class FrontEnd:
                     slot = batch[f"__s{i}"].to_numpy()
                     hit = np.flatnonzero(slot >= 0)
                     base[hit, s + slot[hit]] = 1.0
-                base[:, width] = batch["__y"].to_numpy()
                 folds = batch["__fold"].to_numpy()
                 parts = [(int(f), np.flatnonzero(folds == f)) for f in np.unique(folds)]
                 for v in variants:
+                    base[:, width] = batch[f"__y{v}"].to_numpy()
                     for i in range(nc):
                         base[:, 1 + i] = np.nan_to_num(batch[f"__x{v}_{i}"].to_numpy(dtype="float64"), nan=0.0)
                     for f, idx in parts:
@@ -272,7 +295,7 @@ class FrontEnd:
             g[j, i] = s
 
     def base_gram(self, f: int, held_out: bool = False) -> np.ndarray:
-        v = f if self.lam else 0
+        v = self.variant(f)
         if held_out:
             return self.grams[(v, f)]
         return sum(self.grams[(v, g)] for g in range(self.k) if g != f)
@@ -354,14 +377,14 @@ class FrontEnd:
             full[[prep.names.index(c) for c in names]] = w
             w = full
         out = w @ prep.T
-        out[0] += eq.y_mean + self.y_shift - w @ eq.z_mean
+        out[0] += eq.y_mean + self.y_shifts[f] - w @ eq.z_mean
         return out
 
     def held_out_error(self, f: int, coef: np.ndarray) -> tuple[float, float]:
         """(sum of squared errors, rows) of a fit on the fold it left out, in the transformed target."""
         G = self.base_gram(f, held_out=True)
         a = np.append(-coef, 1.0)
-        a[0] += self.y_shift
+        a[0] += self.y_shifts[f]
         return float(a @ G @ a), float(G[0, 0])
 
     def held_out_variance(self, f: int) -> float:

@@ -220,7 +220,7 @@ def leaps(front: FrontEnd, pool: Sequence[str]) -> list[tuple[int, tuple[str, ..
     q = front.normal(front.k).subset(pool)
     found = best_subsets(q.S, q.r, q.yy)
     named = [tuple(pool[i] for i in columns) for _, columns in found]
-    return [(i + 1, names, 1 - error / q.yy, subset_r2(front, names)) for i, ((error, _), names) in enumerate(zip(found, named))]
+    return [(i + 1, names, float(1 - error / q.yy), subset_r2(front, names)) for i, ((error, _), names) in enumerate(zip(found, named))]
 
 
 def eliminate(front: FrontEnd, pool: Sequence[str]) -> list[tuple[int, str, float]]:
@@ -252,7 +252,7 @@ def variance_inflation(front: FrontEnd, pool: Sequence[str]) -> list[tuple[str,
 
 def partial_fit(front: FrontEnd, f: int, train: Sequence[int], family: str, params: Params) -> np.ndarray:
     """Base-vector coefficients of a fit on some folds, with the preparation of fit f; no row is read."""
-    v = f if front.lam else 0
+    v = front.variant(f)
     prep, G = front.prepared[f], sum(front.grams[(v, g)] for g in train)
     n = G[0, 0]
     zsum, ysum = prep.T @ G[:-1, 0], G[-1, 0]
@@ -260,7 +260,7 @@ def partial_fit(front: FrontEnd, f: int, train: Sequence[int], family: str, para
     r = prep.T @ G[:-1, -1] - zsum * ysum / n
     w = FAMILIES[family](Normal(prep.names, S, r, G[-1, -1] - ysum * ysum / n, n, zsum / n, ysum / n), params)
     coef = w @ prep.T
-    coef[0] += ysum / n + front.y_shift - w @ (zsum / n)
+    coef[0] += ysum / n + front.y_shifts[f] - w @ (zsum / n)
     return coef
 
 
@@ -282,7 +282,7 @@ def nested_meta_fits(front: FrontEnd, chosen: Mapping[str, tuple[str, Params]],
     """
     out = []
     for f in front.fits:
-        v = f if front.lam else 0
+        v = front.variant(f)
         inner = [g for g in range(front.k) if g != f]
         total = 0.0
         for g in inner:
@@ -290,7 +290,7 @@ def nested_meta_fits(front: FrontEnd, chosen: Mapping[str, tuple[str, Params]],
             columns = [np.eye(front.design.width + 1)[0]]
             for family, params in chosen.values():
                 coef = np.append(partial_fit(front, f, rest, family, params), 0.0)
-                coef[0] -= front.y_shift  # predictions and target are taken around the same constant
+                coef[0] -= front.y_shifts[f]  # predictions and target are taken around the same constant
                 columns.append(coef)
             columns.append(np.eye(front.design.width + 1)[-1])
             B = np.array(columns).T
@@ -298,5 +298,5 @@ def nested_meta_fits(front: FrontEnd, chosen: Mapping[str, tuple[str, Params]],
         n, mean = total[0, 0], total[0, 1:-1] / total[0, 0]
         y_mean = total[0, -1] / n
         w = solvers.ridge(total[1:-1, 1:-1] - n * np.outer(mean, mean), total[1:-1, -1] - n * mean * y_mean, alpha)
-        out.append((f, float(front.y_shift * (1 - w.sum()) + y_mean - w @ mean), [float(x) for x in w]))
+        out.append((f, float(front.y_shifts[f] * (1 - w.sum()) + y_mean - w @ mean), [float(x) for x in w]))
     return out

@@ -16,7 +16,7 @@ from tabwright.functions.order import (
     exact_quantiles, hash_key, melt_numeric, rank_counted, rank_values, value_counts, wide_quantiles,
 )
 from tabwright.functions.scalar import normal_cdf, polynomial, with_normal_quantile
-from tabwright.session import few_tasks
+from tabwright.session import few_tasks, materialize
 
 
 def safe_corr(x: str, y: str) -> Column:
@@ -41,55 +41,67 @@ def moments(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     )
 
 
-def _means(df: DataFrame, cols: Sequence[str]) -> list[float]:
-    row = df.agg(*[F.avg(F.col(c).cast("double")).alias(f"m{i}") for i, c in enumerate(cols)]).first()
-    return [m if m is not None else 0.0 for m in row]
+NARROW = 8  # columns whose pairs are plain aggregates of one generated stage
 
 
 def pair_sums(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Sums over the rows where both columns are present, for every pair i < j, in one pass.
+    """`(i, j, n, xx, yy, xy)`: centred sums over the rows where both columns are present, for every pair i < j.
 
-    Tasks multiply masked matrices and emit one row per pair; Spark adds the rows up. Values are
-    taken around the column means so that the later differences keep their digits.
+    One pass. Tasks multiply masked matrices around the means of their first batch and emit, per pair, their
+    own means and centred sums; these are put together by the pairwise formula, which keeps their digits.
     """
-    center = np.array(_means(df, cols))
     p = len(cols)
     left, right = np.triu_indices(p, 1)
 
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = None
+        total, center = None, None
         for batch in batches:
-            x = batch.to_numpy(dtype="float64") - center
+            x = batch.to_numpy(dtype="float64")
+            if center is None and len(x):
+                present = ~np.isnan(x)
+                center = np.where(present, x, 0.0).sum(axis=0) / np.maximum(present.sum(axis=0), 1)
+            x = x - center if len(x) else x
             seen = ~np.isnan(x)
             x = np.where(seen, x, 0.0)
             m = seen.astype("float64")
             part = np.stack([m.T @ m, x.T @ m, m.T @ x, (x * x).T @ m, m.T @ (x * x), x.T @ x])
             total = part if total is None else total + part
-        if total is not None:
-            yield pd.DataFrame({"i": left.astype("int32"), "j": right.astype("int32")} | {
-                name: total[k][left, right] for k, name in enumerate(["n", "sx", "sy", "sxx", "syy", "sxy"])})
+        if center is not None:
+            n, sx, sy, xx, yy, xy = (t[left, right] for t in total)
+            some = np.maximum(n, 1.0)
+            yield pd.DataFrame({"i": left.astype("int32"), "j": right.astype("int32"), "n": n, "mx": center[left] + sx / some, "my": center[right] + sy / some,
+                                "xx": xx - sx * sx / some, "yy": yy - sy * sy / some, "xy": xy - sx * sy / some})
 
-    schema = "i int, j int, n double, sx double, sy double, sxx double, syy double, sxy double"
+    schema = "i int, j int, n double, mx double, my double, xx double, yy double, xy double"
     rows = few_tasks(df.select(*[F.col(c).cast("double").alias(c) for c in cols]))
-    sums = rows.mapInPandas(partial, schema)
-    return sums.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ["n", "sx", "sy", "sxx", "syy", "sxy"]])
+    parts = rows.mapInPandas(partial, schema)
+    w = W.partitionBy("i", "j")  # one row per task and pair
+    n, c = F.col("n"), F.col
+    whole = F.nullif(F.sum("n").over(w), F.lit(0.0))
+    around = parts.withColumns({"gx": c("mx") - F.sum(n * c("mx")).over(w) / whole, "gy": c("my") - F.sum(n * c("my")).over(w) / whole})
+    return around.groupBy("i", "j").agg(
+        F.sum("n").alias("n"), F.sum(c("xx") + n * c("gx") * c("gx")).alias("xx"), F.sum(c("yy") + n * c("gy") * c("gy")).alias("yy"),
+        F.sum(c("xy") + n * c("gx") * c("gy")).alias("xy"))
 
 
 def correlation_pairs(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Pearson r for every pair of columns, pairwise complete: `(i, j, left, right, n, r)`.
 
-    r is null where a side is constant over the common rows or fewer than two rows have both; the
-    same sums serve any number of columns.
+    r is null where a side is constant over the common rows or fewer than two rows have both. A few columns
+    are aggregated in generated code; more are multiplied as matrices inside the tasks. Both read the rows once.
     """
     cols = list(cols)
-    names = F.array(*[F.lit(c) for c in cols])
-    n, c = F.nullif(F.col("n"), F.lit(0.0)), F.col
-    vx, vy = c("sxx") - c("sx") * c("sx") / n, c("syy") - c("sy") * c("sy") / n
-    cov = c("sxy") - c("sx") * c("sy") / n
-    # what rounding leaves of a constant column is not a spread
-    spread = (vx > 1e-14 * c("sxx")) & (vy > 1e-14 * c("syy")) & (vx > 0) & (vy > 0)
-    out = pair_sums(df, cols).select("i", "j", c("n").cast("bigint").alias("n"), F.when((n > 1) & spread, cov / F.sqrt(vx) / F.sqrt(vy)).alias("r"))
-    return out.select("i", "j", F.get(names, F.col("i")).alias("left"), F.get(names, F.col("j")).alias("right"), "n", "r")
+    if 2 <= len(cols) <= NARROW:
+        d = lambda c: F.col(c).cast("double")
+        cells = [F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.lit(cols[i]).alias("left"), F.lit(cols[j]).alias("right"),
+                          F.count_if(d(cols[i]).isNotNull() & d(cols[j]).isNotNull()).alias("n"), safe_corr(cols[i], cols[j]).alias("r"))
+                 for i in range(len(cols)) for j in range(i + 1, len(cols))]
+        return df.agg(F.array(*cells).alias("cells")).select(F.inline("cells"))
+    names, c = F.array(*[F.lit(x) for x in cols]), F.col
+    sums = pair_sums(df, cols)
+    r = F.when((c("n") > 1) & (c("xx") > 0) & (c("yy") > 0), c("xy") / F.sqrt("xx") / F.sqrt("yy"))
+    # what rounding leaves of a constant column is not a spread: its parts have no sum of their own in any task
+    return sums.select("i", "j", F.get(names, c("i")).alias("left"), F.get(names, c("j")).alias("right"), c("n").cast("bigint").alias("n"), r.alias("r"))
 
 
 def correlation_with(df: DataFrame, cols: Sequence[str], target: str) -> DataFrame:
@@ -116,6 +128,7 @@ def spearman(df: DataFrame, cols: Sequence[str], target: str) -> DataFrame:
         pairs.unpivot(["y"], list(cols), "column", "x").filter(F.col("x").isNotNull())
         .groupBy("column", "x", "y").agg(F.count("*").alias("c"))
     )
+    cells = materialize(cells, "pairs")  # read by both rankings and by the sums
     x_ranks = _ranks_of(cells, "x")
     y_ranks = _ranks_of(cells, "y")
     joined = attach(attach(cells, x_ranks, ["column", "x"], name="ranks"), y_ranks, ["column", "y"], name="ranks")

@@ -309,6 +309,14 @@ def met_comparison_models(spark, sf):
     return WB.split_scores(WB.all_predictions(spark, sf))
 
 
+@query("met_comparison_transforms")
+def met_comparison_transforms(spark, sf):
+    """Two linear families, stack, vote and blend behind each target transform; Yeo-Johnson's lambda is refitted in every fold."""
+    parts = [WB.split_scores(WB.all_predictions(spark, sf, "standard", ["ridge", "lasso"], transform=t)).withColumn("transform", F.lit(t))
+             for t in ("log", "boxcox", "yeojohnson", "none")]
+    return reduce(DataFrame.unionByName, parts)
+
+
 # Selection
 
 

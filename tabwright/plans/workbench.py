@@ -82,15 +82,15 @@ def prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _PREPARED[slot]
 
 
-def make_front(rows: DataFrame, scaling: str = "yeo-johnson") -> FrontEnd:
+def make_front(rows: DataFrame, scaling: str = "yeo-johnson", transform: str = "log") -> FrontEnd:
     design = collect_design(rows.filter(F.col("part") == "fit"), CONTINUOUS, CATEGORICAL, ORDINAL, GROUP_OF)
-    return FrontEnd(rows.filter(F.col("part") == "fit"), design, K, "target", scaling=scaling)
+    return FrontEnd(rows.filter(F.col("part") == "fit"), design, K, "target", scaling=scaling, transform=transform)
 
 
-def front(spark: SparkSession, sf_dir: str, scaling: str = "standard") -> FrontEnd:
-    slot = (spark.sparkContext.applicationId, sf_dir, scaling)
+def front(spark: SparkSession, sf_dir: str, scaling: str = "standard", transform: str = "log") -> FrontEnd:
+    slot = (spark.sparkContext.applicationId, sf_dir, scaling, transform)
     if slot not in _FRONTS:
-        _FRONTS[slot] = make_front(prepared(spark, sf_dir), scaling)
+        _FRONTS[slot] = make_front(prepared(spark, sf_dir), scaling, transform)
     return _FRONTS[slot]
 
 
@@ -130,14 +130,14 @@ def with_vote(wide: DataFrame, models: Sequence[str], name: str = "voting") -> D
     return wide.withColumn(name, sum((F.col(m) for m in models), F.lit(0.0)) / len(models))
 
 
-def blend_weights(wide: DataFrame, models: Sequence[str]) -> dict[str, float]:
+def blend_weights(wide: DataFrame, models: Sequence[str], inverse) -> dict[str, float]:
     """Non-negative weights fitted on out-of-fold rows by one aggregate."""
-    return M.blend_weights(wide.filter(F.col("part") == "fit").select("y", *[F.expm1(m).alias(m) for m in models]), models)
+    return M.blend_weights(wide.filter(F.col("part") == "fit").select("y", *[inverse(F.col(m)).alias(m) for m in models]), models)
 
 
-def with_blend(wide: DataFrame, weights: Mapping[str, float], name: str = "blend") -> DataFrame:
-    """Adds the weighted blend of the given columns."""
-    return wide.withColumn(name, combined({"kind": "blend", "weights": weights}, F.log1p, F.expm1))
+def with_blend(wide: DataFrame, weights: Mapping[str, float], pair, name: str = "blend") -> DataFrame:
+    """Adds the weighted blend of the given columns; `pair` is the target transform and its inverse."""
+    return wide.withColumn(name, combined({"kind": "blend", "weights": weights}, *pair))
 
 
 def split_scores(preds: DataFrame) -> DataFrame:
@@ -145,40 +145,48 @@ def split_scores(preds: DataFrame) -> DataFrame:
     return M.comparison(preds.filter(F.col("part") == "fit"), preds.filter(F.col("part") == "val"))
 
 
-def _ensemble(spark: SparkSession, sf_dir: str, scaling: str, families: Sequence[str], n_iter: int):
+def _ensemble(spark: SparkSession, sf_dir: str, scaling: str, families: Sequence[str], n_iter: int, transform: str = "log"):
     rows = prepared(spark, sf_dir)
-    fr = front(spark, sf_dir, scaling)
+    fr = front(spark, sf_dir, scaling, transform)
     chosen = linear.tuned(fr, families, n_iter)
     coefs = coefficient_table(spark, fr, linear.fit_all(fr, chosen))
     base, models = predict_wide(rows.withColumn("y", F.col("target")), fr.design, coefs, KEEP, "fold")
     fits = linear.nested_meta_fits(fr, {m: chosen[m] for m in models})
     wide = with_vote(with_stack(materialize(base, "base_predictions"), models, fits), models)
-    weights = blend_weights(wide, [*models, "stacking", "voting"])
-    return fr, coefs, fits, weights, with_blend(wide, weights), models
+    weights = blend_weights(wide, [*models, "stacking", "voting"], fr.inverse)
+    return fr, coefs, fits, weights, with_blend(wide, weights, (fr.forward, fr.inverse)), models
 
 
 def ensemble(
-    spark: SparkSession, sf_dir: str, scaling: str = "yeo-johnson", families: Sequence[str] = FAMILIES, n_iter: int = 100,
+    spark: SparkSession, sf_dir: str, scaling: str = "yeo-johnson", families: Sequence[str] = FAMILIES, n_iter: int = 100, transform: str = "log",
 ) -> tuple[DataFrame, list[str]]:
-    """Tuned base models written once, then stack, vote and blend as further columns."""
-    *_, wide, models = _ensemble(spark, sf_dir, scaling, families, n_iter)
+    """Tuned base models written once, then stack, vote and blend as further columns, all in the transformed target."""
+    *_, wide, models = _ensemble(spark, sf_dir, scaling, families, n_iter, transform)
     return wide, [*models, "stacking", "voting", "blend"]
 
 
 def composite(
-    spark: SparkSession, sf_dir: str, scaling: str = "yeo-johnson", families: Sequence[str] = FAMILIES, n_iter: int = 100,
+    spark: SparkSession, sf_dir: str, scaling: str = "yeo-johnson", families: Sequence[str] = FAMILIES, n_iter: int = 100, transform: str = "log",
 ) -> EnsembleScorer:
-    """The final fit of the workflow as one model that can be stored: base models, stack, vote, blend, and the best of them."""
-    fr, coefs, fits, weights, wide, models = _ensemble(spark, sf_dir, scaling, families, n_iter)
+    """The final fit of the workflow as one model that can be stored: base models, stack, vote, blend, and the best of them.
+
+    The transform is one without a learned lambda: `log`, `boxcox` or `none`.
+    """
+    fr, coefs, fits, weights, wide, models = _ensemble(spark, sf_dir, scaling, families, n_iter, transform)
+    if fr.y_lam:
+        raise ValueError("a stored ensemble needs a target transform without a learned lambda")
     names = [*models, "stacking", "voting", "blend"]
-    best = split_scores(long_predictions(wide, names, KEEP)).orderBy("oof_rmsle", "model").first()["model"]
+    best = split_scores(long_predictions(wide, names, KEEP, fr.inverse)).orderBy("oof_rmsle", "model").first()["model"]
     intercept, stack = next((b, w) for f, b, w in fits if f == fr.k)
     parts = {"stacking": {"kind": "stack", "intercept": intercept, "weights": dict(zip(models, stack))},
              "voting": {"kind": "vote", "weights": {m: 1.0 / len(models) for m in models}},
              "blend": {"kind": "blend", "weights": weights}}
-    return EnsembleScorer(fr.design, coefs, "log", fr.k, parts, best)
+    return EnsembleScorer(fr.design, coefs, transform, fr.k, parts, best)
 
 
-def all_predictions(spark: SparkSession, sf_dir: str, scaling: str = "yeo-johnson", families: Sequence[str] = FAMILIES, n_iter: int = 100) -> DataFrame:
-    """`ensemble` in long form."""
-    return long_predictions(*ensemble(spark, sf_dir, scaling, families, n_iter), KEEP)
+def all_predictions(
+    spark: SparkSession, sf_dir: str, scaling: str = "yeo-johnson", families: Sequence[str] = FAMILIES, n_iter: int = 100, transform: str = "log",
+) -> DataFrame:
+    """`ensemble` in long form, predictions on the target's own scale."""
+    fr, *_, wide, models = _ensemble(spark, sf_dir, scaling, families, n_iter, transform)
+    return long_predictions(wide, [*models, "stacking", "voting", "blend"], KEEP, fr.inverse)

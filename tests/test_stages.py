@@ -111,3 +111,33 @@ def test_parts_must_be_known(spark, rows):
             K.EnsembleScorer(fr.design, coefs, "none", fr.k, parts, best)
     with pytest.raises(ValueError):
         K.EnsembleScorer(fr.design, coefs, "none", fr.k, {}, "a").score(rows, ["id"], ["nobody"])
+
+
+def test_a_learned_target_transform_is_refitted_in_every_fold(spark):
+    from tabwright.functions.scalar import inv_yeo_johnson, yeo_johnson
+    from tabwright.models.front import Design, FrontEnd
+    from tabwright.operators import learned as L
+
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=300)
+    y = np.exp(1 + x + rng.normal(size=300) / 4)
+    df = spark.createDataFrame([(i, float(a), float(b), i % 3) for i, (a, b) in enumerate(zip(x, y))], "id int, x double, y double, fold int")
+    fr = FrontEnd(df, Design(["x"], [], [], {}), 3, "y", transform="yeojohnson")
+    coefs = coefficient_table(spark, fr, linear.fit_all(fr, {"m": ("ridge", {"alpha": 3.0})}))
+    wide, _ = predict_wide(df, fr.design, coefs, ["id", "fold"], "fold")
+    got = {r["id"]: r for r in wide.withColumn("pred", fr.inverse("m")).collect()}
+    for f in range(3):
+        train = df.filter(F.col("fold") != f)
+        lam = L.fit_power(train, ["y"])[0, "y"]
+        assert fr.y_lam[f] == pytest.approx(lam, abs=1e-9)
+        mine = np.arange(300) % 3 != f
+        z = np.array([r["z"] for r in train.orderBy("id").select(yeo_johnson(F.col("y"), lam).alias("z")).collect()])
+        s = (x - x[mine].mean()) / x[mine].std()
+        w = (s[mine] @ (z - z.mean())) / (mine.sum() + 3.0)
+        want = z.mean() + w * s
+        back = spark.createDataFrame([(float(v),) for v in want[~mine]], "z double").select(inv_yeo_johnson(F.col("z"), lam).alias("p")).collect()
+        for i, b in zip(np.flatnonzero(~mine), back):
+            assert got[i]["m"] == pytest.approx(want[i], abs=1e-6) and got[i]["pred"] == pytest.approx(b["p"], rel=1e-6)
+    # another target in fold 1 changes nothing in the fit that leaves fold 1 out
+    other = FrontEnd(df.withColumn("y", F.when(F.col("fold") == 1, F.col("y") * 9).otherwise(F.col("y"))), Design(["x"], [], [], {}), 3, "y", transform="yeojohnson")
+    assert other.y_lam[1] == pytest.approx(fr.y_lam[1], abs=1e-6) and abs(other.y_lam[3] - fr.y_lam[3]) > 1e-4
