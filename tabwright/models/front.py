@@ -434,7 +434,7 @@ def predict(df: DataFrame, design: Design, coefs: DataFrame, keep: Sequence[str]
 
 def long_predictions(wide: DataFrame, models: Sequence[str], keep: Sequence[str], inverse=F.expm1) -> DataFrame:
     cells = F.array(*[F.struct(F.lit(m).alias("model"), F.col(m).alias("z")) for m in models])
-    return wide.select(*keep, F.inline(cells)).withColumn("pred", inverse("z"))
+    return wide.select(*keep, F.inline(cells)).withColumn("pred", inverse(F.col("z")))
 
 
 def predict_wide(

@@ -20,8 +20,9 @@ Params = Mapping[str, float]
 
 
 def _net(q: Normal, alpha: float, l1_ratio: float) -> np.ndarray:
-    """Elastic net, started from the last solution of the same mixing ratio."""
-    q.warm[l1_ratio] = solvers.elastic_net(q.S, q.r, q.n, alpha, l1_ratio, start=q.warm.get(l1_ratio))
+    """Elastic net, started from the last solution of the same mixing ratio; settled to a part of the target's deviation."""
+    tol = 1e-7 * max(1.0, float(np.sqrt(q.yy / q.n)))
+    q.warm[l1_ratio] = solvers.elastic_net(q.S, q.r, q.n, alpha, l1_ratio, start=q.warm.get(l1_ratio), tol=tol)
     return q.warm[l1_ratio]
 
 
