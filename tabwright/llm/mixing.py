@@ -18,7 +18,7 @@ ROWS_PER_RANGE = 5_000
 def _sized(docs: DataFrame, seed: str, id_col: str, source_col: str, text_col: str) -> DataFrame:
     """The document's columns, its words (a null text has none) and its key.
 
-    The key is a hash of the id and, for repeated ids, of the text, so that it needs no row order."""
+    The key is a hash of the id, so that it needs no row order; rows that repeat an id share a key."""
     key = F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col(id_col).cast("string"), F.lit("null"))))
     return docs.withColumns({"__size": word_count(text_col), "__key": key, "__source": F.col(source_col)})
 
@@ -77,9 +77,25 @@ def _cuts(sized: DataFrame, targets: DataFrame, cap: int) -> DataFrame:
         "__s", "source_size", "target", "epochs", "cut_key", "cut_size", "cut_words")
 
 
+RESULTS = ["mix_size", "mix_source_size", "mix_target", "mix_taken"]
+
+
+def _taken(docs: DataFrame, weights, cap: int, seed: str, id_col: str, source_col: str, text_col: str) -> DataFrame:
+    """`docs` with __size, __source_size, __target and __taken; whatever other names it has."""
+    sized = _sized(docs, seed, id_col, source_col, text_col)
+    slim = materialize(sized.select(F.col("__source").alias("source"), F.col("__key").alias("key"), F.col("__size").alias("size")), "mix-sizes")
+    targets = source_targets(slim.groupBy("source").agg(F.sum("size").alias("source_size")), weights, cap)
+    cuts = _cuts(slim, materialize(targets, "mix-targets"), cap)
+    cuts = cuts.withColumnsRenamed({c: f"__{c}" for c in ("source_size", "target", "epochs", "cut_key", "cut_size", "cut_words")})
+    joined = attach_small(sized, cuts, F.col("__source").eqNullSafe(F.col("__s")), name="mix-cuts")
+    here, at = F.struct("__key", "__size"), F.struct(F.col("__cut_key").alias("__key"), F.col("__cut_size").alias("__size"))
+    part = F.when(F.col("__cut_key").isNull(), 0).when(here < at, F.col("__size")).when(here == at, F.col("__cut_words")).otherwise(0)
+    return joined.withColumn("__taken", (F.col("__epochs") * F.col("__size") + part).cast("long"))
+
+
 def mix(docs: DataFrame, weights=(1, 2, 3), cap: int = 3, seed: str = SEED, id_col: str = "doc_id",
         source_col: str = "source", text_col: str = "text") -> DataFrame:
-    """`docs` with `mix_size`, `mix_source_size`, `mix_target`, `mix_taken` (long, long, double, long).
+    """`docs` with `mix_size`, `mix_source_size`, `mix_target`, `mix_taken` (long, long, double, long); columns of these names go.
 
     `mix_taken` counts the words that the mix takes from the row: full epochs of its source repeat it, the
     last epoch takes rows in key order until the source's budget (the rounded target) is used exactly,
@@ -87,26 +103,20 @@ def mix(docs: DataFrame, weights=(1, 2, 3), cap: int = 3, seed: str = SEED, id_c
     source's cut. A null text has no words and is not taken; a null source is a source of its own; rows
     with equal key and size share a cut evenly, rounded down; an empty table gives an empty result.
     """
-    sized = _sized(docs, seed, id_col, source_col, text_col)
-    slim = materialize(sized.select(F.col("__source").alias("source"), F.col("__key").alias("key"), F.col("__size").alias("size")), "mix-sizes")
-    targets = source_targets(slim.groupBy("source").agg(F.sum("size").alias("source_size")), weights, cap)
-    cuts = _cuts(slim, materialize(targets, "mix-targets"), cap)
-    joined = attach_small(sized, cuts, F.col("__source").eqNullSafe(F.col("__s")), name="mix-cuts")
-    here, at = F.struct("__key", "__size"), F.struct(F.col("cut_key").alias("__key"), F.col("cut_size").alias("__size"))
-    part = F.when(F.col("cut_key").isNull(), 0).when(here < at, F.col("__size")).when(here == at, F.col("cut_words")).otherwise(0)
-    return joined.select(
-        *docs.columns, F.col("__size").alias("mix_size"), F.col("source_size").alias("mix_source_size"),
-        F.col("target").alias("mix_target"), (F.col("epochs") * F.col("__size") + part).cast("long").alias("mix_taken"))
+    taken = _taken(docs, weights, cap, seed, id_col, source_col, text_col)
+    return taken.select(*[F.col(f"`{c}`") for c in docs.columns if c not in RESULTS], F.col("__size").alias("mix_size"),
+                        F.col("__source_size").alias("mix_source_size"), F.col("__target").alias("mix_target"), F.col("__taken").alias("mix_taken"))
 
 
-def mixed_documents(docs: DataFrame, **options) -> DataFrame:
+def mixed_documents(docs: DataFrame, weights=(1, 2, 3), cap: int = 3, seed: str = SEED, id_col: str = "doc_id",
+                    source_col: str = "source", text_col: str = "text") -> DataFrame:
     """The mix as documents: each row once per epoch in which at least half of its words are taken.
 
     Texts stay whole; the columns are those of `docs`. Rows without words are not part of the mix.
     """
-    taken = mix(docs, **options).filter(F.col("mix_taken") > 0)
-    copies = F.floor(F.col("mix_taken") / F.col("mix_size") + 0.5).cast("int")
-    return taken.filter(copies > 0).withColumn("__copy", F.explode(F.sequence(F.lit(1), copies))).select(*docs.columns)
+    taken = _taken(docs, weights, cap, seed, id_col, source_col, text_col).filter(F.col("__taken") > 0)
+    copies = F.floor(F.col("__taken") / F.col("__size") + 0.5).cast("int")
+    return taken.filter(copies > 0).withColumn("__copy", F.explode(F.sequence(F.lit(1), copies))).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -47,3 +47,16 @@ def test_odd_rows(spark):
     assert mixing.mix(_rows(spark, []).drop("mix_size")).count() == 0
     mixed = mixing.mixed_documents(df)
     assert mixed.columns == df.columns and {r["text"] for r in mixed.collect()} <= {r[1] for r in rows}
+
+
+def test_clashing_names(spark):
+    names = ["target", "epochs", "source_size", "cut_key", "cut_size", "cut_words", "key", "size", "span", "weight", "level", *mixing.RESULTS]
+    df = _rows(spark, [(i, "w " * (1 + i % 5), "ab"[i % 2], "x") for i in range(60)])
+    wide = df.select("doc_id", "text", "source", *[F.lit(n).alias(n) for n in names])
+    plain = sorted(mixing.mix(df).select("doc_id", *mixing.RESULTS).collect())
+    out = mixing.mix(wide)
+    assert out.columns == ["doc_id", "text", "source", *names]
+    assert sorted(out.select("doc_id", *mixing.RESULTS).collect()) == plain
+    mixed = mixing.mixed_documents(wide)
+    assert mixed.columns == wide.columns and {r["mix_taken"] for r in mixed.collect()} == {"mix_taken"}
+    assert sorted(r["doc_id"] for r in mixed.collect()) == sorted(r["doc_id"] for r in mixing.mixed_documents(df).collect())
