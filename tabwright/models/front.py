@@ -155,7 +155,9 @@ class FrontEnd:
         ys = {f"__y{f}": self._y(f) for f in self.variants_of_target()}
         moments = L.fit_moments(rows.withColumns(ys), [*cols, *ys], self.fold, k).collect()
         self.stats = stats = {(r[L.FIT], r["column"]): r for r in moments}
-        self.y_shifts = {f: stats[(k, f"__y{f if self.y_lam else 0}")]["mean"] for f in {0, *self.fits} if f in self.fits or not self.y_lam}
+        # a constant near the mean of each fit's transformed target, and of the one set of sums that fits share
+        own = (lambda f: f) if self.y_lam else (lambda f: 0)
+        self.y_shifts = {f: stats[(k, f"__y{own(f)}")]["mean"] for f in {*self.fits, *map(own, self.fits)}}
         self.center = {c: stats[(k, c)]["mean"] if (k, c) in stats else 0.0 for c in cols}
         self.fill: dict[tuple[int, str], float] = {}
         self.group_fill: dict[tuple[int, str], dict[str, float]] = {}
