@@ -19,7 +19,6 @@ from tabwright.session import materialize
 
 by_value(__name__)
 
-LONGEST = 4
 MIN_COUNT = 30
 TOP = 2000
 SCALE = 2_000_000
