@@ -6,8 +6,11 @@ tried first, and only pairs between different components are listed after that.
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tabwright.llm import rolling
@@ -18,8 +21,10 @@ from tabwright.session import materialize
 by_value(__name__)
 
 WORDS = 5
-SKETCH_BITS = 18  # counters that order the shingles by frequency; only the order depends on them
-SKETCH_BLOCK = 1 << 12
+SKETCH_BITS = 24  # counters that order the shingles by frequency, a byte each when they are broadcast
+SKETCH_BLOCK = 1 << 14
+STEPS = 8  # steps of a counter's byte for each doubling
+HOT = 200_000  # postings of one token that may meet in one task
 SLICE = 1_000_000
 GROUP = 128  # texts that are compared with one hub in one place
 HUB_ROUNDS = 2
@@ -74,13 +79,13 @@ def _overview(docs: DataFrame, words: int) -> DataFrame:
             for lo, hi in slices(texts, SLICE):
                 sets = shingle_sets([t.encode("utf-8") for t in texts[lo:hi]], words)
                 sizes += map(len, sets)
-                cells = (np.concatenate(sets) >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
-                total += np.bincount(cells, minlength=len(total)).astype(np.uint32)
+                np.add.at(total, (np.concatenate(sets) >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), np.uint32(1))
             none = pa.nulls(len(texts))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sizes, pa.int64()),
                                               none.cast(pa.int32()), none.cast(pa.binary())], names=names)
-        blocks = [i for i in range(len(total) // SKETCH_BLOCK) if total[i * SKETCH_BLOCK : (i + 1) * SKETCH_BLOCK].any()]
-        counts = [total[i * SKETCH_BLOCK : (i + 1) * SKETCH_BLOCK].tobytes() for i in blocks]
+        parts = total.reshape(-1, SKETCH_BLOCK)
+        blocks = np.flatnonzero(parts.any(axis=1)).tolist()
+        counts = [zlib.compress((parts[i].astype(np.uint8) if parts[i].max() < 256 else parts[i]).tobytes(), 1) for i in blocks]
         none = [None] * len(blocks)
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip((none, none, none, blocks, counts), kinds)], names=names)
 
@@ -88,34 +93,45 @@ def _overview(docs: DataFrame, words: int) -> DataFrame:
 
 
 def _merged(partial: DataFrame) -> np.ndarray:
-    """The sum of all tasks' sketches, added block by block in the cluster; 2^SKETCH_BITS counters."""
+    """The sum of all tasks' sketches, added block by block in the cluster; 2^SKETCH_BITS bytes.
+
+    A byte q stands for a count of at most 2^(q / STEPS): enough for the order, and a bound on a token's postings.
+    """
 
     def add(batches):
         import pyarrow as pa
 
         totals: dict = {}
         for batch in batches:
-            for block, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                totals[block] = totals.get(block, 0) + np.frombuffer(counts, np.uint32).astype(np.uint64)
-        yield pa.RecordBatch.from_arrays([pa.array(totals.keys(), pa.int32()), pa.array([t.tobytes() for t in totals.values()], pa.binary())],
-                                         names=["block", "counts"])
-
-    total = np.zeros(1 << SKETCH_BITS, np.uint64)
+            for block, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                raw = zlib.decompress(packed)
+                counts = np.frombuffer(raw, np.uint8 if len(raw) == SKETCH_BLOCK else np.uint32)
+                totals[block] = totals.get(block, 0) + counts.astype(np.uint64)
+        levels = [np.minimum(np.ceil(STEPS * np.log2(np.maximum(t, 1))), 255).astype(np.uint8).tobytes() for t in totals.values()]
+        yield pa.RecordBatch.from_arrays([pa.array(totals.keys(), pa.int32()), pa.array(levels, pa.binary())], names=["block", "counts"])
+
+    total = np.zeros(1 << SKETCH_BITS, np.uint8)
     for r in partial.select("block", "counts").repartition("block").mapInArrow(add, "block int, counts binary").collect():
-        total[r["block"] * SKETCH_BLOCK : (r["block"] + 1) * SKETCH_BLOCK] = np.frombuffer(r["counts"], np.uint64)
+        total[r["block"] * SKETCH_BLOCK : (r["block"] + 1) * SKETCH_BLOCK] = np.frombuffer(r["counts"], np.uint8)
     return total
 
 
-def _postings(docs: DataFrame, order, words: int, percent: int) -> DataFrame:
+def _most(hot: int) -> int:
+    """The largest byte of a counter that stands for `hot` texts at most."""
+    return int(np.floor(STEPS * np.log2(hot)))
+
+
+def _postings(docs: DataFrame, order, words: int, percent: int, least: int, most: int) -> DataFrame:
     """(token, id, th, meta) of every prefix: the rarest shingles of a set, as many as a similar set has to meet.
 
-    meta holds the set's size (upper half) and the shingle's position in the rare-first order.
+    meta holds the set's size (upper half) and the shingle's position in the rare-first order. Tokens whose counter's
+    byte is outside `least` to `most` are left to another call.
     """
 
     def run(batches):
         import pyarrow as pa
 
-        counts = np.frombuffer(order.value, np.uint64)
+        counts = np.frombuffer(order.value, np.uint8)
         for batch in batches:
             ids, hashes, texts = batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(2).to_pylist()
             for lo, hi in slices(texts, SLICE):
@@ -125,11 +141,13 @@ def _postings(docs: DataFrame, order, words: int, percent: int) -> DataFrame:
                     if not n:
                         continue
                     size = n - (percent * n + 99) // 100 + 1
-                    rare = np.lexsort((s, counts[(s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]))[:size]
-                    tokens.append(s[rare])
-                    owners.append(np.full(size, key, np.int64))
-                    digests.append(np.full(size, th, np.int64))
-                    metas.append(np.arange(size) + (n << 32))
+                    level = counts[(s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
+                    rare = np.argsort(level, kind="stable")[:size]  # equal levels stay in the order of their hashes
+                    at = np.flatnonzero((level[rare] >= least) & (level[rare] <= most))
+                    tokens.append(s[rare[at]])
+                    owners.append(np.full(len(at), key, np.int64))
+                    digests.append(np.full(len(at), th, np.int64))
+                    metas.append(at + (n << 32))
                 if tokens:
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tokens).astype(np.int64)), pa.array(np.concatenate(owners)),
                                                       pa.array(np.concatenate(digests)), pa.array(np.concatenate(metas).astype(np.int64))],
@@ -221,7 +239,27 @@ def _labelled(postings: DataFrame, labels: DataFrame | None) -> DataFrame:
     return attach_small(rows, mixed, F.col("token") == F.col("__t"), "left_semi", "mixed")
 
 
-def linked(docs: DataFrame, words: int = WORDS, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def _shared_postings(docs: DataFrame, order, words: int, percent: int, hot: int) -> DataFrame:
+    """Postings (with `comp` and `shared`) of the tokens that stand in several documents.
+
+    Most tokens stand in one. Those whose counter proves `hot` postings at most meet in one task each, so postings are
+    shuffled once; the others are written and met by counts that are combined before the shuffle.
+    """
+    bound = _most(hot)
+    token = W.partitionBy("token")
+    cold = _postings(docs, order, words, percent, 0, bound).withColumns(
+        {"comp": F.col("id"), "__lo": F.min("id").over(token), "__hi": F.max("id").over(token)})
+    rows = cold.filter("__lo < __hi").drop("__lo", "__hi")
+    if np.frombuffer(order.value, np.uint8).max(initial=0) > bound:
+        crowded = materialize(_postings(docs, order, words, percent, bound + 1, 255), "postings")
+        rows = rows.unionByName(_labelled(crowded, None))
+    rows = materialize(rows, "postings")
+    shared = rows.groupBy("id").agg(F.count("*").alias("shared")).withColumnRenamed("id", "__id")
+    return attach_small(rows, shared, F.col("id") == F.col("__id"), name="shared").drop("__id")
+
+
+def linked(docs: DataFrame, words: int = WORDS, percent: int = 80, id_col: str = "doc_id", text_col: str = "text",
+           hot: int = HOT) -> DataFrame:
     """`id_col`, n_shingles and component_id for every row of `docs`.
 
     ASCII letters are compared in lower case. A null text is empty; texts without words link with nothing;
@@ -235,10 +273,7 @@ def linked(docs: DataFrame, words: int = WORDS, percent: int = 80, id_col: str =
     singles = keyed.filter("__first is null or id = __first").select("id", "th", "text")
     overview = materialize(_overview(singles, words), "overview")
     order = docs.sparkSession.sparkContext.broadcast(_merged(overview.filter("block is not null")).tobytes())
-    postings = _postings(singles, order, words, percent)
-    rows = _labelled(postings, None)
-    shared = rows.groupBy("id").agg(F.count("*").alias("shared")).withColumnRenamed("id", "__id")
-    rows = materialize(attach_small(rows, shared, F.col("id") == F.col("__id"), name="shared").drop("__id"), "postings")
+    rows = materialize(_shared_postings(singles, order, words, percent, hot), "postings")
     same = keyed.filter((F.col("id") > F.col("__first")) & F.col("text").rlike(WORD)).select(F.col("__first").alias("a"), F.col("id").alias("b"))
     known = same.limit(0)
     for turn in range(HUB_ROUNDS):

@@ -33,9 +33,9 @@ def brute(rows):
     return sorted((k, len(s), find(k)) for k, s in sets)
 
 
-def _check(spark, rows):
+def _check(spark, rows, **options):
     df = spark.createDataFrame([(k, t, "x") for k, t in rows], "doc_id long, text string, id string").repartition(5)
-    got = sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in jaccard.linked(df).collect())
+    got = sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in jaccard.linked(df, **options).collect())
     assert got == brute(rows)
 
 
@@ -96,3 +96,18 @@ def test_repeated_rows_and_two_texts_of_an_id_keep_all_links(spark, monkeypatch)
         monkeypatch.setattr(jaccard, "HUB_ROUNDS", rounds)
         _check(spark, rows * 2)
         _check(spark, of_two)
+
+
+def test_crowded_tokens_take_the_way_of_combined_counts(spark):
+    rng = random.Random(11)
+    texts = [*_near_copies(rng, 3, 40, 30), *_near_copies(rng, 30, 2, 20), *["one two three four five six"] * 30]
+    rng.shuffle(texts)
+    for hot in (1, 8):  # every token that several texts share, and the tokens of the large groups
+        _check(spark, list(enumerate(texts)), hot=hot)
+
+
+def test_a_counter_bounds_the_postings_of_its_tokens():
+    for n in (1, 2, 3, 100, 200_000, 200_001, 10**9):
+        level = int(min(np.ceil(jaccard.STEPS * np.log2(n)), 255))
+        assert 2 ** (level / jaccard.STEPS) >= n * (1 - 1e-12)
+        assert n <= 200_000 or level > jaccard._most(200_000)
