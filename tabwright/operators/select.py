@@ -8,8 +8,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tabwright.functions.order import exact_quantiles, melt_numeric
+from tabwright.functions.joins import attach
+from tabwright.functions.order import CELL, exact_quantiles, melt_numeric, rank_counted
 from tabwright.operators.stats import correlation_pairs, correlation_with
+from tabwright.session import materialize
+
+STRIDE = 4096  # distinct values per range of the neighbour search
 
 
 def variances(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -74,6 +78,78 @@ def _mutual(df: DataFrame, cols: Sequence[str], label: str) -> DataFrame:
     )
 
 
+def digamma(n: Column) -> Column:
+    """The digamma function of a positive number: five steps up, then the asymptotic series."""
+    n = n.cast("double")
+    x = n + 5
+    tail = F.log(x) - 1 / (2 * x) - 1 / (12 * x**2) + 1 / (120 * x**4) - 1 / (252 * x**6) + 1 / (240 * x**8) - 1 / (132 * x**10)
+    for i in range(5):
+        tail = tail - 1 / (n + i)
+    return tail
+
+
+def neighbour_radii(values: DataFrame, by: Sequence[str], k: int, stride: int = STRIDE, cell: int = CELL) -> DataFrame:
+    """`values` with `k` and `radius`: the distance of each value to the nearest `k` others of its `(by..., column)`.
+
+    `values` are distinct values `(by..., column, value, cnt)`; other rows of the same value are at distance 0. Groups
+    with fewer than k + 1 rows use all their rows, those with one row are left out. The values of a group are dealt by
+    position to ranges of `stride`; each range borrows the k values beyond its borders, so a large group is many tasks.
+    """
+    stride = max(stride, k)
+    keys = [*by, "column"]
+    counted = materialize(values, "neighbours")
+    places = rank_counted(counted.withColumn("cnt", F.lit(1).cast("long")), by, cell=cell).select(*keys, "value", F.col("before").alias("pos"))
+    sizes = counted.groupBy(*keys).agg(F.sum("cnt").alias("rows")).filter("rows > 1")
+    placed = places.join(counted.select(*keys, "value", "cnt"), [*keys, "value"])
+    placed = attach(placed, sizes, keys, name="sizes").withColumn("k", F.least(F.lit(k), F.col("rows") - 1))
+    home, at = F.floor(F.col("pos") / stride), F.col("pos") % stride
+    lends = F.array_compact(F.array(home, F.when(at < k, home - 1), F.when(at >= stride - k, home + 1)))
+    dealt = placed.withColumn("home", home).withColumn("range", F.explode(lends))
+    w = W.partitionBy(*keys, "range").orderBy("value")
+    near = [F.struct(F.lit(0.0).alias("d"), (F.col("cnt") - 1).alias("c"))]
+    for step in range(1, k + 1):
+        for there, sign in ((F.lag, 1), (F.lead, -1)):
+            gap = (F.col("value") - there("value", step).over(w)) * sign
+            near.append(F.when(gap.isNotNull(), F.struct(gap.alias("d"), there("cnt", step).over(w).alias("c"))))
+    listed = dealt.withColumn("near", F.array_sort(F.array_compact(F.array(*near)))).filter(F.col("range") == F.col("home"))
+    start = F.struct(F.lit(0).cast("long").alias("seen"), F.lit(0.0).alias("d"))
+    reached = F.aggregate("near", start, lambda a, x: F.when(a["seen"] >= F.col("k"), a).otherwise(
+        F.struct((a["seen"] + x["c"]).alias("seen"), x["d"].alias("d"))))
+    return listed.select(*keys, "value", "cnt", "rows", "k", reached["d"].alias("radius"))
+
+
+def mutual_information_neighbours(
+    df: DataFrame, cols: Sequence[str], target: str, k: int = 3, stride: int = STRIDE, cell: int = CELL
+) -> DataFrame:
+    """Nearest-neighbour mutual information (nats) of each discrete column with a continuous target, ranked.
+
+    Ross's estimator: each row's distance to its k-th neighbour among rows of its level, and the rows of any level that
+    lie nearer (itself included; strictly between `value - radius` and `value + radius`, or equal at radius 0).
+    Rows without a level or a finite target and levels of one row take no part; no negative estimates; a column without
+    rows gives none. Nothing is drawn at random: ties stay ties. Neighbours come from ranges with borrowed borders, rows
+    within a radius from the running sums of one value order in which each interval's ends stand among the values.
+    """
+    parts = [F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("level"), F.col(target).cast("double").alias("value")) for c in cols]
+    finite = F.abs("value") < float("inf")  # a NaN is the largest number
+    long = df.select(F.inline(F.array(*parts))).filter(F.col("level").isNotNull() & finite)
+    counted = long.groupBy("column", "level", "value").agg(F.count("*").alias("cnt"))
+    points = materialize(neighbour_radii(counted, ["level"], k, stride, cell), "radii")
+    low, high = F.col("value") - F.col("radius"), F.col("value") + F.col("radius")
+    ends = points.select("column", F.explode(F.array(low, high)).alias("value"), F.lit(0).cast("long").alias("cnt"))
+    line = points.select("column", "value", "cnt").union(ends).groupBy("column", "value").agg(F.sum("cnt").alias("cnt"))
+    sums = materialize(rank_counted(line, cell=cell).select("column", "value", "before", (F.col("before") + F.col("cnt")).alias("upto")), "sums")
+    below = sums.select("column", F.col("value").alias("low"), F.col("before").alias("lt"), F.col("upto").alias("le"))
+    above = sums.select("column", F.col("value").alias("high"), F.col("before").alias("ht"), F.col("upto").alias("he"))
+    met = points.withColumns({"low": low, "high": high}).join(below, ["column", "low"]).join(above, ["column", "high"])
+    inside = F.when(F.col("radius") > 0, F.col("ht") - F.col("le")).otherwise(F.col("he") - F.col("lt"))
+    term = F.col("cnt") * (digamma(F.col("k")) - digamma(F.col("rows")) - digamma(inside))
+    return (
+        met.groupBy("column").agg(F.sum(term).alias("s"), F.sum("cnt").alias("n"))
+        .select("column", F.greatest(F.lit(0.0), digamma(F.col("n")) + F.col("s") / F.col("n")).alias("mi"))
+        .orderBy(F.desc("mi"), "column")
+    )
+
+
 def chi2(df: DataFrame, cols: Sequence[str], label: str) -> DataFrame:
     """Chi-squared of class sums of non-negative features against class shares, ranked; null for a feature that is all zero."""
     rows = df.filter(F.col(label).isNotNull())

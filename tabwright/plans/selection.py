@@ -47,6 +47,29 @@ def fs_mutual_info(spark, sf):
     return rounded(S.mutual_information(staged_order_frame(spark, sf), DISCRETE, "target"), {"mi"}, 8)
 
 
+_GAPS = ", ".join(f"y - lag(y, {i}) over v, lead(y, {i}) over v - y" for i in (1, 2, 3))
+_LEVELS = " union all ".join(
+    f"""select '{c}' as col, cast({c} as varchar) as lvl, cast(target as double) as y from order_frame
+    where {c} is not null and target is not null""" for c in DISCRETE)
+
+
+@query("fs_mutual_info_neighbours", f"""{OF}, l as ({_LEVELS}),
+    w as (select *, count(*) over (partition by col, lvl) as nx, [{_GAPS}] as g from l window v as (partition by col, lvl order by y)),
+    r as materialized (select *, least(3, nx - 1) as k, list_sort(list_filter(g, lambda x: x is not null))[least(3, nx - 1)] as rad
+      from w where nx > 1),
+    c as materialized (select col, y, count(*) as own, sum(count(*)) over (partition by col order by y) as le from r group by 1, 2),
+    m as (select r.*, case when rad > 0 then b.le - coalesce(a.le, 0) else o.own end as m
+      from r join c o on r.col = o.col and r.y = o.y
+      asof left join c a on r.col = a.col and r.y - r.rad >= a.y asof left join c b on r.col = b.col and r.y + r.rad > b.y),
+    i as (select unnest(range(1, (select count(*) + 2 from order_frame))) as i),
+    h as materialized (select i, coalesce(sum(1.0::double / i) over (order by i rows between unbounded preceding and 1 preceding), 0) - 0.5772156649015329 as p from i)
+    select col as "column", {rnd('greatest(0.0, max(n.p) + avg(hk.p - hx.p - hm.p))', 8)} as mi
+    from m join h hk on hk.i = k join h hx on hx.i = nx join h hm on hm.i = m.m
+    join (select col, count(*) as n from r group by 1) s using (col) join h n on n.i = s.n group by col""")
+def fs_mutual_info_neighbours(spark, sf):
+    return rounded(S.mutual_information_neighbours(staged_order_frame(spark, sf), DISCRETE, "target"), {"mi"}, 8)
+
+
 def _chi_sql(c):
     return f"""select '{c}' as "column", {rnd('sum(power(o - e, 2) / e)')} as chi2 from (
       select o, sum(o) over () * n / sum(n) over () as e from (select quality, sum({c})::double as o, count(*)::double as n
