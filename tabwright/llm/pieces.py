@@ -10,6 +10,7 @@ from __future__ import annotations
 import heapq
 import re
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -90,7 +91,16 @@ def load(path: str) -> Model:
 
 
 def solve(model: Model, units: list[str]) -> list[tuple[list[int], float, float]]:
-    """(piece ids, score, loss of the second best) of each unit, all lattices side by side.
+    """(piece ids, score, loss of the second best) of each unit."""
+    ids, sizes, score, loss = lattices(model, units)
+    ends = np.cumsum(sizes)
+    return [(ids[b - n : b].tolist(), s, d) for b, n, s, d in zip(ends.tolist(), sizes.tolist(), score.tolist(), loss.tolist())]
+
+
+def lattices(model: Model, units: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Piece ids of all units one after the other, number of ids, score and loss of the second best of each unit.
+
+    All lattices lie side by side.
 
     Among equal scores the path whose last piece is longer wins, position by position from the end; a
     character without a piece costs a fixed score and becomes its bytes. Without a second path the loss is infinite.
@@ -162,17 +172,45 @@ def solve(model: Model, units: list[str]) -> list[tuple[list[int], float, float]
     owners, found = np.concatenate([s[0] for s in steps[::-1]]), np.concatenate([s[1] for s in steps[::-1]])
     where = np.concatenate([s[2] for s in steps[::-1]])
     order = np.argsort(owners, kind="stable")
-    flat, where = found[order].tolist(), where[order].tolist()
-    bounds = np.r_[0, np.cumsum(np.bincount(owners, minlength=len(units)))].tolist()
-    out = []
-    for i, (u, s, d) in enumerate(zip(units, score.tolist(), loss.tolist())):
-        mine = flat[bounds[i] : bounds[i + 1]]
-        if -1 in mine:
-            offset = int(first[i]) + i
-            mine = [p for j, w in zip(mine, where[bounds[i] : bounds[i + 1]])
-                    for p in ((j,) if j >= 0 else [model.byte_ids[b] for b in u[w - offset].encode()])]
-        out.append((mine, s, d))
-    return out
+    owners, found, where = owners[order], found[order], where[order]
+    lost = np.flatnonzero(found < 0)
+    if len(lost):  # a character without a piece becomes the pieces of its bytes
+        coded = [[model.byte_ids[b] for b in units[u][w].encode()] for u, w in
+                 zip(owners[lost].tolist(), (where[lost] - first[owners[lost]] - owners[lost]).tolist())]
+        width = np.ones(len(found), dtype=np.int64)
+        width[lost] = [len(c) for c in coded]
+        spread = np.repeat(found, width)
+        spread[spread < 0] = [x for c in coded for x in c]
+        owners, found = np.repeat(owners, width), spread
+    return found.astype(np.int32), np.bincount(owners, minlength=len(units)), score, loss
+
+
+@dataclass
+class Solved:
+    """Solved words in flat arrays, found by their number."""
+
+    number: dict
+    ids: np.ndarray
+    start: np.ndarray
+    size: np.ndarray
+    score: np.ndarray
+    loss: np.ndarray
+
+    @staticmethod
+    def empty() -> "Solved":
+        return Solved({}, np.zeros(0, np.int32), *(np.zeros(0, np.int64) for _ in range(2)), *(np.zeros(0) for _ in range(2)))
+
+    def add(self, model: Model, words: list[str]) -> None:
+        parts = [lattices(model, words[i : i + SOLVED_AT_ONCE]) for i in range(0, len(words), SOLVED_AT_ONCE)]
+        if parts:
+            ids, size, score, loss = map(np.concatenate, zip(*parts))
+            self.number.update(zip(words, range(len(self.number), len(self.number) + len(words))))
+            self.start = np.concatenate([self.start, len(self.ids) + np.cumsum(size) - size])
+            self.ids, self.size = np.concatenate([self.ids, ids]), np.concatenate([self.size, size])
+            self.score, self.loss = np.concatenate([self.score, score]), np.concatenate([self.loss, loss])
+
+    def own(self, number: int) -> list[int]:
+        return self.ids[self.start[number] : self.start[number] + self.size[number]].tolist()
 
 
 def n_best(model: Model, text: str, n: int) -> list[tuple[float, list[int]]]:
@@ -204,21 +242,34 @@ def n_best(model: Model, text: str, n: int) -> list[tuple[float, list[int]]]:
     return out
 
 
-def alternatives(model: Model, units: list[str], solved: list[tuple], n: int, cache: dict) -> list[tuple[float, list]]:
-    """The second to n-th best segmentation of a text: (score, [(unit number, ids), ...])."""
-    losses = np.array([s[2] for s in solved])
-    few = np.lexsort((np.arange(len(losses)), losses))[: n - 1] if len(losses) > n else np.argsort(losses, kind="stable")[: n - 1]
-    total = sum(s[1] for s in solved)
-    plans = [(0.0, [])]
-    for i in few.tolist():
-        if losses[i] == float("inf"):
-            continue
-        word = units[i]
+def smallest_losses(loss: np.ndarray, bounds: np.ndarray, n: int) -> list[list[int]]:
+    """Per row (`bounds` in `loss`) the places of its n smallest finite losses, in their order, ties to the earlier place."""
+    out: list[list[int]] = [[] for _ in range(len(bounds) - 1)]
+    lengths = np.diff(bounds)
+    rows = np.flatnonzero(lengths)
+    owner, left = np.repeat(rows, lengths[rows]), loss.copy()
+    for _ in range(n if len(rows) else 0):
+        low = np.minimum.reduceat(left, bounds[rows])
+        place = np.flatnonzero((left == np.repeat(low, lengths[rows])) & np.isfinite(left))
+        place = place[np.r_[True, owner[place[1:]] != owner[place[:-1]]]] if len(place) else place
+        for r, p in zip(owner[place].tolist(), place.tolist()):
+            out[r].append(p)
+        left[place] = np.inf
+    return out
+
+
+def alternatives(model: Model, words: list[tuple], total: float, n: int, cache: dict) -> list[tuple[float, list]]:
+    """The second to n-th best segmentation of a text: (score, [(place of the word, ids), ...]).
+
+    `words` are those of smallest loss: (place, word, its best ids, their score).
+    """
+    plans: list[tuple[float, list]] = [(0.0, [])]
+    for place, word, best, score in words:
         if word not in cache:
             ranked = n_best(model, word, n)
-            mine = next((k for k, r in enumerate(ranked) if r[1] == solved[i][0]), len(ranked) - 1)
-            cache[word] = [r for k, r in enumerate(ranked) if k != mine]
-        options = [(0.0, [])] + [(solved[i][1] - s, [(i, ids)]) for s, ids in cache[word]]
+            mine = next((k for k, r in enumerate(ranked) if r[1] == best), len(ranked) - 1)
+            cache[word] = [(score - s, ids) for k, (s, ids) in enumerate(ranked) if k != mine]
+        options = [(0.0, [])] + [(lost, [(place, ids)]) for lost, ids in cache[word]]
         plans = sorted(((a + b, x + y) for a, x in plans for b, y in options), key=lambda p: p[0])[:n]
     return [(total - loss, edits) for loss, edits in plans[1:]]
 
@@ -242,37 +293,49 @@ def encode(docs: DataFrame, model: Model, n: int = N_BEST, text_col: str = "text
         import pyarrow as pa
 
         pattern = re.compile(model.word)
-        solved: dict = {}
+        solved = Solved.empty()
         ranked: dict = {}
-        nbest_type = pa.list_(pa.struct([("score", pa.float64()), ("edits", pa.list_(pa.struct([
-            ("start", pa.int32()), ("drop", pa.int32()), ("ids", pa.list_(pa.int32()))])))]))
+
+        def lists(sizes, values):
+            return pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(sizes, dtype=np.int64)], pa.int32()), values)
+
         for batch in batches:
             texts = batch.column(width).to_pylist()
             for lo, hi in slices(texts, SLICE):
                 rows = [pattern.findall(SPACE + t.replace(" ", SPACE)) if t else [] for t in texts[lo:hi]]
-                wanted = set().union(*rows)
-                new = wanted.difference(solved)
-                if len(solved) + len(new) > MAX_CACHE:
-                    solved.clear()
-                    new = wanted
+                units = list(chain.from_iterable(rows))
+                wanted = set(units)
+                new = wanted.difference(solved.number)
+                if len(solved.number) + len(new) > MAX_CACHE:
+                    solved, new = Solved.empty(), wanted
                 if len(ranked) > MAX_CACHE // 10:
                     ranked.clear()
-                new = list(new)
-                for i in range(0, len(new), SOLVED_AT_ONCE):
-                    solved.update(zip(new[i : i + SOLVED_AT_ONCE], solve(model, new[i : i + SOLVED_AT_ONCE])))
-                ids, scores, others = [], [], []
-                for units in rows:
-                    found = [solved[u] for u in units]
-                    best: list = []
-                    for s in found:
-                        best += s[0]
-                    ids.append(best)
-                    scores.append(sum(s[1] for s in found))
-                    more = alternatives(model, units, found, n, ranked) if found and n > 1 else []
-                    begins = np.cumsum([0, *(len(s[0]) for s in found)]) if more else None
-                    others.append([{"score": s, "edits": [{"start": int(begins[i]), "drop": len(found[i][0]), "ids": x} for i, x in sorted(edits)]} for s, edits in more])
+                solved.add(model, list(new))
+                num = np.fromiter(map(solved.number.__getitem__, units), dtype=np.int64, count=len(units))
+                bounds = np.r_[0, np.cumsum([len(r) for r in rows], dtype=np.int64)]
+                size = solved.size[num]
+                begin = np.r_[0, np.cumsum(size)]
+                ids = solved.ids[np.arange(begin[-1]) + np.repeat(solved.start[num] - begin[:-1], size)]
+                each, spans = solved.score[num].tolist(), bounds.tolist()
+                scores = [sum(each[a:b]) for a, b in zip(spans, spans[1:])]
+                few = smallest_losses(solved.loss[num], bounds, n - 1)
+                more, drops, starts, edited = [], [], [], []  # flat: segmentations, their edits, the edits' ids
+                per_row, per_plan = [], []
+                for first, total, places in zip(begin[bounds[:-1]].tolist(), scores, few):
+                    plans = alternatives(model, [(i, units[i], solved.own(num[i]), each[i]) for i in places], total, n, ranked)
+                    per_row.append(len(plans))
+                    for value, edits in plans:
+                        more.append(value)
+                        per_plan.append(len(edits))
+                        for i, x in sorted(edits):
+                            starts.append(int(begin[i]) - first)
+                            drops.append(int(size[i]))
+                            edited.append(x)
+                edits = pa.StructArray.from_arrays([pa.array(starts, pa.int32()), pa.array(drops, pa.int32()), pa.array(edited, pa.list_(pa.int32()))], ["start", "drop", "ids"])
+                others = pa.StructArray.from_arrays([pa.array(more, pa.float64()), lists(per_plan, edits)], ["score", "edits"])
                 yield pa.RecordBatch.from_arrays(
-                    [*(c.slice(lo, hi - lo) for c in batch.columns[:width]), pa.array(ids, pa.list_(pa.int32())), pa.array(scores, pa.float64()), pa.array(others, nbest_type)],
+                    [*(c.slice(lo, hi - lo) for c in batch.columns[:width]), lists(np.diff(begin[bounds]), pa.array(ids, pa.int32())),
+                     pa.array(scores, pa.float64()), lists(per_row, others)],
                     names=[*names, "piece_ids", "piece_score", "piece_nbest"])
 
     schema = docs.select(*[F.col(f"`{c}`") for c in names]).schema
@@ -293,12 +356,15 @@ def decode(frame: DataFrame, model: Model, ids_col: str = "piece_ids", out_col:
     def run(batches):
         import pyarrow as pa
 
-        surface = model.surface
+        surface = np.array(model.surface, dtype=object)
         for batch in batches:
-            texts = []
-            for ids in batch.column(at).to_pylist():
-                data = None if ids is None else b"".join([surface[i] for i in ids])
-                texts.append(None if data is None else (data[1:] if data[:1] == b" " else data).decode("utf-8", "replace"))
+            column, texts = batch.column(at), []
+            found = surface[column.flatten().to_numpy(zero_copy_only=False)].tolist()
+            sizes = column.value_lengths().fill_null(0).to_numpy()
+            ends = np.cumsum(sizes, dtype=np.int64)
+            for known, a, b in zip(column.is_valid().to_pylist(), (ends - sizes).tolist(), ends.tolist()):
+                data = b"".join(found[a:b])
+                texts.append((data[1:] if data[:1] == b" " else data).decode("utf-8", "replace") if known else None)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*names, out_col])
 
     rows = frame.select(*[F.col(f"`{c}`") for c in names])
