@@ -26,7 +26,7 @@ N_BEST = 3
 MAX_CACHE = 100_000
 SOLVED_AT_ONCE = 8_000  # words whose lattices lie side by side in memory
 UNKNOWN_PENALTY = 10.0
-SLICE = 250_000
+SLICE = 500_000
 
 
 @dataclass
@@ -42,6 +42,7 @@ class Model:
     n_chars: int
     edges: np.ndarray
     child: np.ndarray
+    entry: np.ndarray  # number of a character -> node of the first level, 0 if no piece starts with it
     ending: np.ndarray  # node -> piece id or -1
     scores: np.ndarray
     longest: int
@@ -85,9 +86,13 @@ def load(path: str) -> Model:
         ending[at] = i
     edges = np.array([a * width + c for a, c in nodes], dtype=np.int64)
     order = np.argsort(edges)
+    entry = np.zeros(width, dtype=np.int64)
+    for (a, c), node in nodes.items():
+        if a == 0:
+            entry[c] = node
     usual = [scores[i] for i in normal if scores[i] > -1e8]
     return Model({names[i]: (i, float(scores[i])) for i in normal}, surface, byte_ids, float(min(usual)) - UNKNOWN_PENALTY, word, chars, width,
-                 edges[order], np.array(list(nodes.values()), dtype=np.int64)[order], np.array(ending), scores, max(len(names[i]) for i in normal))
+                 edges[order], np.array(list(nodes.values()), dtype=np.int64)[order], entry, np.array(ending), scores, max(len(names[i]) for i in normal))
 
 
 def solve(model: Model, units: list[str]) -> list[tuple[list[int], float, float]]:
@@ -114,12 +119,16 @@ def lattices(model: Model, units: list[str]) -> tuple[np.ndarray, np.ndarray, np
     node = np.zeros(len(codes), dtype=np.int64)
     starts, ends, ids, values = [], [], [], []
     for step in range(model.longest):
-        key = node * model.n_chars + codes[pos + step]
-        at = np.searchsorted(model.edges, key)
-        at[at == len(model.edges)] = 0
-        found = model.edges[at] == key
-        reached = np.where(found, model.child[at], 0)
-        piece = np.where(found, model.ending[reached], -1)
+        if step == 0:
+            reached = model.entry[codes]
+            found = reached > 0
+        else:
+            key = node * model.n_chars + codes[pos + step]
+            at = np.searchsorted(model.edges, key)
+            at[at == len(model.edges)] = 0
+            found = model.edges[at] == key
+            reached = np.where(found, model.child[at], 0)
+        piece = model.ending[reached]
         if step == 0:
             lost = piece < 0
             starts.append(pos[lost])
@@ -135,11 +144,12 @@ def lattices(model: Model, units: list[str]) -> tuple[np.ndarray, np.ndarray, np
         pos, node = pos[go], reached[go]
         if not len(pos):
             break
-    start, end, piece, value = map(np.concatenate, (starts, ends, ids, values))
+    # Longest arcs first: among the arcs into a node, a stable sort then keeps the sources in their order.
+    start, end, piece, value = (np.concatenate(parts[::-1]) for parts in (starts, ends, ids, values))
     owner = unit[start]
     depth = end - first[owner]
     source, target = start + owner, end + owner  # one node more than characters in every unit
-    order = np.lexsort((source, target, depth))
+    order = np.argsort(depth * (len(codes) + len(units)) + target, kind="stable")
     source, target, piece, value, depth = source[order], target[order], piece[order], value[order], depth[order]
     n = len(codes) + len(units)
     best, second = np.full(n, -np.inf), np.full(n, -np.inf)
