@@ -27,6 +27,8 @@ PATTERNS = {
 KINDS = list(PATTERNS)
 BASE = KINDS[:4]
 LEFT, RIGHT = 32, 16  # code points of context that labelers see
+STEPS = 30  # halving steps of a search: an array holds fewer than 2^30 spans
+BLOCK = 4096  # code points of a text that are cut at a time
 
 # Word lists of the labelers (our own choice).
 DOMAINS = "com org net edu gov io info biz co de fr es it uk eu us".split()
@@ -35,19 +37,38 @@ CUES = "token key secret password passwd api mail email e-mail phone tel telepho
 PLAIN = "version license licensed section chapter page year figure table isbn v no nr by-nc".split()
 
 
-def running_sums(values: Column, block: int = 64) -> Column:
-    """Inclusive prefix sums of an array of longs; blocks keep the copying far from quadratic."""
+def let(value: Column, body) -> Column:
+    """`body(value)` with the value computed once: inside lambdas an expression would be computed for every element."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def running(values: Column, join, block: int = 64) -> Column:
+    """Inclusive prefix results of `join` (associative, zero changes nothing) over an array of longs that are not
+    negative; blocks keep the copying far from quadratic."""
+    zero = F.lit(0).cast("long")
 
     def scan(items: Column, start: Column) -> Column:
-        first = F.struct(start.cast("long").alias("at"), F.array().cast("array<long>").alias("out"))
+        first = F.struct(start.alias("at"), F.array().cast("array<long>").alias("out"))
         return F.aggregate(items, first, lambda a, x: F.struct(
-            (a["at"] + x).alias("at"), F.concat(a["out"], F.array(a["at"] + x)).alias("out")))["out"]
+            join(a["at"], x).alias("at"), F.concat(a["out"], F.array(join(a["at"], x))).alias("out")))["out"]
+
+    def blocks(v: Column) -> Column:
+        starts = F.sequence(F.lit(0), F.size(v) - 1, F.lit(block))
+        totals = F.transform(starts, lambda b: F.aggregate(F.slice(v, b + 1, block), zero, join))
+        inside = let(scan(totals, zero), lambda ends: F.transform(starts, lambda b, i: scan(
+            F.slice(v, b + 1, block), F.when(i > 0, F.element_at(ends, F.greatest(i, F.lit(1)))).otherwise(zero))))
+        return F.when(F.size(v) > 0, F.flatten(inside)).otherwise(F.array().cast("array<long>"))
+
+    return let(values, blocks)
 
-    starts = F.sequence(F.lit(0), F.size(values) - 1, F.lit(block))
-    totals = F.transform(starts, lambda b: F.aggregate(F.slice(values, b + 1, block), F.lit(0).cast("long"), lambda a, x: a + x))
-    ends = scan(totals, F.lit(0))
-    inside = F.transform(starts, lambda b, i: scan(F.slice(values, b + 1, block), F.element_at(ends, i + 1) - F.element_at(totals, i + 1)))
-    return F.when(F.size(values) > 0, F.flatten(inside)).otherwise(F.array().cast("array<long>"))
+
+def running_sums(values: Column, block: int = 64) -> Column:
+    """Inclusive prefix sums of an array of longs."""
+    return running(values, lambda a, x: a + x, block)
+
+
+def _further(a: Column, b: Column) -> Column:
+    return F.greatest(a, b)
 
 
 def _digits(span: Column) -> Column:
@@ -70,14 +91,29 @@ def _found(kind: str) -> Column:
     """Array of (start, kind_no, end, base, span, left, right) of one pattern, from the gaps between its matches."""
     gaps, hits, ends = F.col(f"__gap_{kind}"), F.col(f"__hit_{kind}"), F.col(f"__end_{kind}")
 
-    def one(span: Column, i: Column) -> Column:
+    def one(span: Column, i: Column, gaps: Column, ends: Column) -> Column:
         end = F.element_at(ends, i + 1)
         return F.struct(
             (end - F.length(span)).cast("long").alias("start"), F.lit(KINDS.index(kind)).alias("kind_no"), end.alias("end"),
             F.coalesce(_valid(kind, span), F.lit(False)).alias("base"), span.alias("span"),
             F.right(F.element_at(gaps, i + 1), F.lit(LEFT)).alias("left"), F.left(F.element_at(gaps, i + 2), F.lit(RIGHT)).alias("right"))
 
-    return F.transform(hits, one)
+    return let(gaps, lambda g: let(ends, lambda e: F.transform(hits, lambda span, i: one(span, i, g, e))))
+
+
+def _clear_of(spans: Column, certain: Column) -> Column:
+    """The spans that overlap none of the certain ones, found by halving steps over these in order of their starts."""
+    ordered = F.sort_array(F.transform(certain, lambda y: F.struct(y["start"].alias("start"), y["end"].alias("end"))))
+
+    def search(known: Column, ends: Column) -> Column:  # ends: the furthest end so far
+        def clear(x: Column) -> Column:
+            before = F.aggregate(F.array(*[F.lit(1 << k) for k in reversed(range(STEPS))]), F.lit(0), lambda at, step: F.when(
+                (at + step <= F.size(known)) & (F.try_element_at(known, at + step)["start"] < x["end"]), at + step).otherwise(at))
+            return let(before, lambda n: (n == 0) | (F.try_element_at(ends, F.greatest(n, F.lit(1))) <= x["start"]))
+
+        return F.filter(spans, clear)
+
+    return let(ordered, lambda known: let(running(F.transform(known, lambda y: y["end"]), _further), lambda ends: search(known, ends)))
 
 
 def _with_spans(docs: DataFrame, text_col: str) -> DataFrame:
@@ -93,8 +129,7 @@ def _with_spans(docs: DataFrame, text_col: str) -> DataFrame:
     out = out.withColumns({f"__found_{k}": _found(k) for k in KINDS})
     certain = F.concat(*[F.filter(F.col(f"__found_{k}"), lambda x: x["base"]) for k in BASE])
     out = out.withColumn("__certain", certain)
-    added = F.filter(F.concat(F.col("__found_secret"), F.col("__found_number")),
-                     lambda x: ~F.exists(F.col("__certain"), lambda y: (y["start"] < x["end"]) & (x["start"] < y["end"])))
+    added = _clear_of(F.concat(F.col("__found_secret"), F.col("__found_number")), F.col("__certain"))
     out = out.withColumn("__spans", F.sort_array(F.concat(F.col("__certain"), added)))
     return out.drop("__text", "__certain", *[f"__{part}_{k}" for part in ("hit", "gap", "end", "found") for k in KINDS])
 
@@ -255,22 +290,33 @@ def redacted(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """
     found = find_spans(docs, text_col)
     names = F.array(*[F.lit(f"<{k.upper()}>") for k in KINDS])
-    kind = "array<struct<start:bigint,end:bigint,kind_no:int>>"
-    merged = F.aggregate(F.col("__pii"), F.array().cast(kind), lambda acc, x: F.when(
-        (F.size(acc) > 0) & (F.try_element_at(acc, F.lit(-1))["end"] > x["start"]),
-        F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.struct(
-            F.try_element_at(acc, F.lit(-1))["start"].alias("start"), F.greatest(F.try_element_at(acc, F.lit(-1))["end"], x["end"]).alias("end"),
-            F.try_element_at(acc, F.lit(-1))["kind_no"].alias("kind_no"))))).otherwise(
-        F.concat(acc, F.array(F.struct(x["start"], x["end"], x["kind_no"])))))
+
+    def merged(spans: Column, ends: Column) -> Column:  # ends: the furthest end so far
+        heads = F.filter(F.sequence(F.lit(1), F.size(spans)), lambda i: (i == 1) | (
+            F.element_at(spans, i)["start"] >= F.element_at(ends, F.greatest(i - 1, F.lit(1)))))
+        return let(heads, lambda h: F.transform(h, lambda i, j: F.struct(
+            F.element_at(spans, i)["start"].alias("start"),
+            F.element_at(ends, F.coalesce(F.try_element_at(h, j + 2) - 1, F.size(spans))).alias("end"),
+            F.element_at(spans, i)["kind_no"].alias("kind_no"))))
+
+    whole = F.when(F.size("__pii") > 0, let(F.col("__pii"), lambda spans: let(
+        running(F.transform(spans, lambda x: x["end"]), _further), lambda ends: merged(spans, ends))))
     text, spans = F.col(text_col).cast("string"), F.col("__merged")
-    last = F.coalesce(F.try_element_at(spans, F.lit(-1))["end"], F.lit(0))
-    parts = F.transform(spans, lambda x, i: F.concat(
-        F.substring(text, (F.when(i > 0, F.element_at(spans, F.greatest(i, F.lit(1)))["end"]).otherwise(0) + 1).cast("int"),
-                    (x["start"] - F.when(i > 0, F.element_at(spans, F.greatest(i, F.lit(1)))["end"]).otherwise(0)).cast("int")),
-        F.element_at(names, x["kind_no"] + 1)))
-    rest = F.substring(text, (last + 1).cast("int"), F.length(text))
-    new = F.when(F.size(spans) > 0, F.concat(F.array_join(parts, ""), rest)).otherwise(text)
-    return found.withColumn("__merged", merged).withColumn(text_col, new).select(*docs.columns)
+
+    def cut(blocks: Column, start: Column, end: Column) -> Column:
+        at = F.floor(start / BLOCK).cast("int")
+        near = F.array_join(F.slice(blocks, at + 1, F.floor(end / BLOCK).cast("int") - at + 1), "")
+        return F.substring(near, (start % BLOCK + 1).cast("int"), (end - start).cast("int"))
+
+    def rebuilt(spans: Column, blocks: Column) -> Column:
+        parts = F.transform(spans, lambda x, i: F.concat(
+            cut(blocks, F.when(i > 0, F.element_at(spans, F.greatest(i, F.lit(1)))["end"]).otherwise(F.lit(0).cast("long")), x["start"]),
+            F.element_at(names, x["kind_no"] + 1)))
+        return F.concat(F.array_join(parts, ""), cut(blocks, F.element_at(spans, -1)["end"], F.length(text).cast("long")))
+
+    blocks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}+"), F.lit(0))
+    new = F.when(spans.isNotNull(), let(spans, lambda x: let(blocks, lambda y: rebuilt(x, y)))).otherwise(text)
+    return found.withColumn("__merged", whole).withColumn(text_col, new).select(*docs.columns)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -101,3 +101,45 @@ def test_long_tokens_and_digit_runs_are_whole_spans(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").union(df)
     got = {r["doc_id"]: r["text"] for r in pii.redacted(docs).filter("doc_id < 0").collect()}
     assert all(got[-1 - i] == 'x token = "<SECRET>" y' for i in range(len(long)))
+
+
+def _redacted(text, spans):
+    """The text with merged spans replaced, span by span."""
+    merged = []
+    for start, end, kind in spans:
+        if merged and merged[-1][1] > start:
+            merged[-1] = (merged[-1][0], max(merged[-1][1], end), merged[-1][2])
+        else:
+            merged.append((start, end, kind))
+    out, at = [], 0
+    for start, end, kind in merged:
+        out += [text[at:start], f"<{kind.upper()}>"]
+        at = end
+    return "".join([*out, text[at:]])
+
+
+def test_many_matches_in_one_text(spark):
+    many = "".join(f"üser{i}@mail{i % 90}.com 😀 " for i in range(50_000))
+    mixed = "".join(f"call +44 20 {i:04d} 7788, 10.{i % 300}.2.9, 123-45-{i:04d} key=aB3{i:05d}xYzKlMnOpQr4s5T6u7 " for i in range(1000, 3000))
+    df = spark.createDataFrame([(1, many), (2, mixed), (3, "x" * 9000 + " a@b.co " + "y" * 9000)], "doc_id long, text string")
+    texts = {1: many, 2: mixed, 3: df.collect()[2]["text"]}
+    found = {r["doc_id"]: [(x["start"], x["end"], pii.KINDS[x["kind_no"]], x["base"]) for x in r["__pii"]] for r in pii.find_spans(df).collect()}
+    assert len(found[1]) == 50_000 and len(found[3]) == 1
+    for i, text in texts.items():
+        assert {(a, b, k) for a, b, k, base in found[i] if base} == {(a, b, k) for a, _, b, k in base_spans(text)}
+    got = {r["doc_id"]: r["text"] for r in pii.redacted(df).collect()}
+    assert got == {i: _redacted(t, [x[:3] for x in found[i]]) for i, t in texts.items()}
+
+
+def test_spans_clear_of_certain_ones(spark):
+    rng = random.Random(4)
+
+    def some(n):
+        return [(a, a + rng.randrange(1, 9)) for a in (rng.randrange(120) for _ in range(n))]
+
+    rows = [(i, some(rng.randrange(12)), some(rng.randrange(12))) for i in range(200)]
+    span = "array<struct<start:bigint,end:bigint>>"
+    df = spark.createDataFrame(rows, f"i int, added {span}, certain {span}")
+    for r in df.select("i", pii._clear_of(F.col("added"), F.col("certain")).alias("kept")).collect():
+        _, added, certain = rows[r["i"]]
+        assert [tuple(x) for x in r["kept"]] == [(a, b) for a, b in added if not any(c < b and a < d for c, d in certain)]
