@@ -149,7 +149,8 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, steps: int
     """Fit on a sample of labelled rows that is bounded by `rows`, taken in hash order of the id, halves by label.
 
     Held-out rows, null ids and null labels are left out. The sampled ids (at most `rows`) are broadcast;
-    their whole texts come to the driver and are learned in the chunks that scoring reads.
+    one whole text of each (of an id that stands several times, the one with the smallest digest) comes to
+    the driver and is learned in the chunks that scoring reads.
     """
     usable = labels.filter(F.col(id_col).isNotNull() & F.col(label_col).isNotNull() & ~held_out(id_col)).select(
         F.col(id_col).alias("__id"), F.col(label_col).cast("int").alias("__label"))
@@ -157,8 +158,9 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, steps: int
     by_hash = [usable.filter(F.col("__label") == y).orderBy(F.md5(F.col("__id").cast("string")), "__id").limit(rows // 2) for y in (0, 1)]
     sample = F.broadcast(by_hash[0].union(by_hash[1]))
     text = text_or_empty(text_col)
-    found = docs.join(sample, F.col(id_col) == F.col("__id")).select("__id", "__label", text.cast("binary").alias("text"), F.md5(text).alias("h"))
-    got = sorted(found.collect(), key=lambda r: (r["__id"], r["h"]))
+    found = docs.join(sample, F.col(id_col) == F.col("__id")).groupBy("__id", "__label").agg(
+        F.min(F.struct(F.md5(text).alias("h"), text.cast("binary").alias("text"))).alias("one")).select("__id", "__label", "one.text", "one.h")
+    got = sorted(found.collect(), key=lambda r: (r["__id"], r["__label"], r["h"]))
     net = ByteNet()
     if len({r["__label"] for r in got}) < 2:  # nothing to tell apart: the share of label 1, smoothed
         net.p["out"][:] = 0

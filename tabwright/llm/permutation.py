@@ -7,14 +7,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from tabwright.llm.common import by_value
+from tabwright.llm.common import attach_small, by_value
 from tabwright.session import materialize
 
 by_value(__name__)
 
 PIVOTS = 256
 PREFIX = 64  # nearest pivots that represent a vector
-SAMPLE = 4096  # rows in hash order from which distinct pivots are taken
+SAMPLE = 8  # vectors that are looked at for each pivot wanted
 SHARE, LEAST = 0.2, 256  # of a shard's distinct vectors, those with the smallest footrule distance are reranked exactly
 SHARD_ROWS, QUERY_BLOCK = 4096, 1024
 
@@ -83,37 +83,43 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "v
            pivots: int = PIVOTS, prefix: int = PREFIX, share: float = SHARE, least: int = LEAST) -> DataFrame:
     """query_id, rank, vec_id, score: for each query row the `k` nearest found by inner product, ties to smaller ids.
 
-    Rows without id or vector, with null or non-finite components or only zeros take no part, nor do vectors
-    whose length is not the most frequent one (the smallest of several). A query finds every row but those
-    of its own id; rows that repeat id and vector are one; with fewer candidates all are returned. Vectors
-    are dealt to shards by a hash and queries to blocks; every block meets every shard, both of
-    bounded size. Pivots are distinct vectors of a sample of `SAMPLE` rows in hash order; every row is
-    indexed. Equal vectors are one entry of a shard.
+    Rows without id or vector, with null or non-finite components or only zeros take no part. Vectors are
+    searched among those of their own length. A query finds every row but those of its own id; rows that
+    repeat id and vector are one; with fewer candidates all are returned. Vectors are dealt to shards by a
+    hash and queries to blocks; every block meets every shard of its length, both of bounded size. Pivots
+    are the `pivots` distinct vectors of a length with the smallest hashes; every row is indexed. Equal
+    vectors are one entry of a shard.
     """
-    rows = materialize(usable(vectors, id_col, vector_col).dropDuplicates(["id", "v"]), "vectors")
-    lengths = rows.groupBy("dims").count().orderBy(F.desc("count"), "dims").limit(1).collect()
-    result = "query_id long, key long, vec_id long, score double"
-    if not lengths:
-        return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    dims, total = lengths[0]["dims"], lengths[0]["count"]
-    rows = rows.filter(F.col("dims") == dims)
-    asked = materialize(usable(queries, id_col, vector_col).filter(F.col("dims") == dims).withColumn("key", F.xxhash64("v")).dropDuplicates(["id", "key"]), "queries")
-    sample = rows.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).collect()
-    points = np.array([r["v"] for r in sorted(sample, key=lambda r: (r["id"], r["v"]))])
-    _, first = np.unique(points, axis=0, return_index=True)
-    points = points[np.sort(first)]
-    points = points[np.random.default_rng(17).permutation(len(points))[:pivots]]
-    near = min(prefix, len(points), 255)
-    shards = max(1, -(-total // SHARD_ROWS))
-    blocks = max(1, -(-asked.count() // QUERY_BLOCK))
-    side = rows.select(F.pmod(F.xxhash64("id", "v"), F.lit(shards)).cast("int").alias("shard"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), "id", "v")
-    wanted = asked.select(F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), F.pmod(F.xxhash64("key"), F.lit(blocks)).cast("int").alias("block"), "id", "key", "v")
+    rows = materialize(usable(vectors, id_col, vector_col).withColumn("key", F.xxhash64("v")).dropDuplicates(["id", "v"]), "vectors")
+    asked = materialize(usable(queries, id_col, vector_col).withColumn("key", F.xxhash64("v")).dropDuplicates(["id", "key"]), "queries")
+    sizes = rows.groupBy("dims").agg(F.count("*").alias("n"), F.approx_count_distinct("key").alias("distinct"))
+    sizes = sizes.join(asked.groupBy("dims").agg(F.count("*").alias("wanted")), "dims").select(
+        F.col("dims").alias("d"), F.ceil(F.col("n") / SHARD_ROWS).cast("int").alias("shards"), F.ceil(F.col("wanted") / QUERY_BLOCK).cast("int").alias("blocks"),
+        F.least(F.lit(1.0), F.lit(float(SAMPLE * pivots)) / F.greatest(F.col("distinct"), F.lit(1))).alias("part"))
+    sizes = materialize(sizes, "lengths")
+    rows = attach_small(rows, sizes, F.col("dims") == F.col("d"), "inner", "lengths")
+    asked = attach_small(asked, sizes, F.col("dims") == F.col("d"), "inner", "lengths")
+    # Keys are spread evenly, so that this part of their range holds about SAMPLE distinct vectors for each pivot.
+    low = rows.filter(F.col("key") / 2.0**64 + 0.5 <= F.col("part")).groupBy("dims", "shards", "blocks", "key").agg(F.min("v").alias("v"))
+    points = low.withColumn("at", F.row_number().over(W.partitionBy("dims").orderBy("key"))).filter(F.col("at") <= pivots)
+
+    def every(n: str):
+        return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+
+    side = rows.select("dims", F.pmod(F.xxhash64("id", "v"), F.col("shards")).cast("int").alias("shard"), every("blocks").alias("block"), "id", "v")
+    wanted = asked.select("dims", every("shards").alias("shard"), F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int").alias("block"), "id", "key", "v", F.lit(False).alias("pivot"))
+    marks = points.select("dims", every("shards").alias("shard"), "blocks", "key", "v").select(
+        "dims", "shard", every("blocks").alias("block"), F.lit(0).cast("long").alias("id"), "key", "v", F.lit(True).alias("pivot"))
+    wanted = wanted.unionByName(marks)
 
     def match(right, left):
         import pandas as pd
 
-        if not len(left) or not len(right):
+        marks, left = left[left["pivot"]].sort_values("key"), left[~left["pivot"]]
+        if not len(left) or not len(right) or not len(marks):
             return pd.DataFrame({"query_id": [], "key": [], "vec_id": [], "score": []}).astype({"query_id": "int64", "key": "int64", "vec_id": "int64", "score": "float64"})
+        points = np.stack(marks["v"].to_numpy())
+        near = min(prefix, len(points), 255)
         index = Index(right["id"].to_numpy(), np.stack(right["v"].to_numpy()), points, near, k)
         q = np.stack(left["v"].to_numpy())
         nearest = Index.nearest(q, points, near)
@@ -123,7 +129,8 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "v
             parts.append(pd.DataFrame({"query_id": own, "key": key, "vec_id": ids, "score": scores}))
         return pd.concat(parts)
 
-    pairs = side.groupBy("shard", "block").cogroup(wanted.groupBy("shard", "block")).applyInPandas(match, result)
+    keys = ("dims", "shard", "block")
+    pairs = side.groupBy(*keys).cogroup(wanted.groupBy(*keys)).applyInPandas(match, "query_id long, key long, vec_id long, score double")
     order = W.partitionBy("query_id", "key").orderBy(F.desc("score"), "vec_id")
     ranked = pairs.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

@@ -381,6 +381,16 @@ def decode(frame: DataFrame, model: Model, ids_col: str = "piece_ids", out_col:
     return rows.mapInArrow(run, frame.select(*[F.col(f"`{c}`") for c in names]).schema.add(out_col, "string"))
 
 
+def verified(coded: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """`coded` with `piece_round_trip`: whether decoding `piece_ids` gives the text (a null one: the empty text) back.
+
+    A mark of a space in the text decodes as a space. The column replaces one of its name; the rest stays.
+    """
+    name = "piece_round_trip"
+    same = F.col(name) == F.translate(text_or_empty(text_col), SPACE, " ")
+    return decode(coded, model, out_col=name).withColumn(name, same)
+
+
 def digest(docs: DataFrame, model: Model, n: int = N_BEST, text_col: str = "text") -> DataFrame:
     """Per row: pieces of the best segmentation, the n best scores, a hash of the ids, and whether decoding gives the text back."""
     coded = decode(encode(docs, model, n, text_col), model)

@@ -89,3 +89,14 @@ def test_gradients_do_not_depend_on_blocks():
     y = np.array([0.0, 1.0, 1.0, 0.0], np.float32)
     whole, parts = (bytenet.ByteNet(3)._gradients(docs, y, block=b) for b in (1000, 3))
     assert all(np.allclose(whole[k], parts[k], rtol=1e-3, atol=1e-6) for k in whole)
+
+
+def test_sample_is_bounded_when_an_id_repeats(spark, monkeypatch):
+    docs = spark.range(3000).selectExpr("1L as doc_id", "concat('text ', id) as text").union(
+        spark.range(2, 40).selectExpr("id as doc_id", "concat('other ', id) as text"))
+    labels = spark.range(1, 40).selectExpr("id as doc_id", "cast(id % 2 as int) as quality")
+    seen = []
+    monkeypatch.setattr(bytenet.ByteNet, "fit", lambda self, chunks, y, steps: seen.append((len(chunks), sum(y))))
+    bytenet.train(docs, labels, rows=30)
+    bytenet.train(docs, labels, rows=4)
+    assert 0 < seen[0][0] <= 30 and seen[1] == (4, 2)

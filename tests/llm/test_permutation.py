@@ -51,8 +51,11 @@ def test_odd_vectors_and_ties(spark):
     few = df.filter("vec_id < 5 or vec_id = 20")
     assert {q: len(v) for q, v in _found(permutation.search(few, few.filter("vec_id % 20 = 0"))).items()} == {0: 5, 20: 5}
     assert permutation.search(df.limit(0), df.limit(0)).count() == 0
-    wide = df.union(spark.createDataFrame([(400, [1.0, 2.0])], "vec_id long, embedding array<float>"))
-    assert 400 not in _found(permutation.search(wide, wide.filter("vec_id % 20 = 0")))
+    other = [(400, [1.0, 2.0]), (401, [3.0, 1.0]), (402, [0.0, 2.0]), (420, [1.0, 2.0]), (440, [5.0])]
+    wide = df.union(spark.createDataFrame(other, "vec_id long, embedding array<float>"))
+    mixed = _found(permutation.search(wide, wide.filter("vec_id % 20 = 0"), share=1.0))
+    assert [i for i, _ in mixed[400]] == [401, 420, 402] and [i for i, _ in mixed[420]] == [400, 401, 402]
+    assert 440 not in mixed and all([i for i, _ in mixed[q]] == [i for i, _ in want[q]] for q in want)
 
 
 def test_footrule_order():

@@ -1,7 +1,10 @@
+import functools
+import re
 from collections import Counter
 
 import corpus_pipeline as pipeline
-from tabwright.llm import bytenet, mixing
+import pytest
+from tabwright.llm import bytenet, mixing, pieces
 
 from tests.llm.test_jaccard import brute
 from tests.llm.test_pii import base_spans
@@ -36,7 +39,24 @@ def test_stages_against_brute_force(spark):
     assert copies == Counter({k: int(t / s + 0.5) for k, (t, s) in taken.items() if s})
 
     coded = pipeline.encoded(spark, mixed, SF).collect()
-    assert len(coded) == mixed.count() and all(r["piece_ids"] for r in coded)
+    assert Counter(r["doc_id"] for r in coded) == copies
+    model = pieces.load(pipeline.TOKENIZER)
+    pattern = re.compile(model.word)
+    best = functools.cache(lambda unit: pieces.n_best(model, unit, 1)[0][0])
+
+    def text_of(ids):
+        return b"".join(model.surface[i] for i in ids).decode()
+
+    for r in coded:
+        text = " " + r["text"].replace(pieces.SPACE, " ")
+        assert r["piece_round_trip"] and text_of(r["piece_ids"]) == text
+        assert r["piece_score"] == pytest.approx(sum(best(u) for u in pattern.findall(text.replace(" ", pieces.SPACE))))
+        assert len(r["piece_nbest"]) == pieces.N_BEST - 1
+        for other in r["piece_nbest"]:
+            ids = list(r["piece_ids"])
+            for e in sorted(other["edits"], key=lambda e: -e["start"]):
+                ids[e["start"] : e["start"] + e["drop"]] = e["ids"]
+            assert other["score"] <= r["piece_score"] and ids != r["piece_ids"] and text_of(ids) == text
 
 
 def test_run_equals_the_stages_and_survives_odd_rows(spark, text_rows):
