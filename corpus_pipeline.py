@@ -1,7 +1,7 @@
 """From documents to encoded training text: five stages, each a function (spark, docs, sf_dir) -> DataFrame.
 
 Every stage gets what its predecessor kept, written as Parquet and read again. All but the last return the
-columns of `documents`; the last adds the best segmentation of every text and its next best scores.
+columns of `documents`; the last adds the best segmentation of every text, the next best ones and a round trip.
 """
 
 from __future__ import annotations
@@ -39,9 +39,9 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents with their pieces and the scores of the next best segmentations."""
-    coded = pieces.encode(docs, pieces.load(TOKENIZER))
-    return coded.withColumn("piece_nbest", F.transform("piece_nbest", lambda x: x["score"])).withColumnRenamed("piece_nbest", "piece_next_scores")
+    """The documents with their pieces, the next best segmentations as edits, and whether decoding gives the text back."""
+    model = pieces.load(TOKENIZER)
+    return pieces.verified(pieces.encode(docs, model), model)
 
 
 STAGES = [
