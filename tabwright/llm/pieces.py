@@ -287,22 +287,35 @@ def alternatives(model: Model, words: list[tuple], total: float, n: int, cache:
 NBEST = "array<struct<score:double,edits:array<struct<start:int,drop:int,ids:array<int>>>>>"
 
 
-def encode(docs: DataFrame, model: Model, n: int = N_BEST, text_col: str = "text") -> DataFrame:
+def texts_of(surface: np.ndarray, ids: np.ndarray, ends: np.ndarray) -> list[str]:
+    """The texts of rows of ids that lie one after the other, without the leading space that encoding adds."""
+    found, out, start = surface[ids].tolist(), [], 0
+    for end in ends.tolist():
+        data = b"".join(found[start:end])
+        out.append((data[1:] if data[:1] == b" " else data).decode("utf-8", "replace"))
+        start = end
+    return out
+
+
+def encode(docs: DataFrame, model: Model, n: int = N_BEST, text_col: str = "text", verify: bool = False) -> DataFrame:
     """`docs` with `piece_ids` (best segmentation), `piece_score` and `piece_nbest` (columns of these names are replaced).
 
     `piece_nbest` holds the following n - 1 segmentations, best first, fewer if there are no more: each with
     its score and its edits, which replace `drop` ids from `start` on (both counted in `piece_ids`). A null
     or empty text has no pieces, score 0 and no others. Equal texts get equal results. Memory is bounded by
-    slices of a batch, a bounded cache of words and the longest text.
+    slices of a batch, a bounded cache of words and the longest text. With `verify` a further column,
+    `piece_round_trip`, says whether decoding the ids gives the text back (a mark of a space decodes as a space).
     """
     bounded_batches(docs)
-    names = [c for c in docs.columns if c not in ("piece_ids", "piece_score", "piece_nbest")]
+    new_names = ["piece_ids", "piece_score", "piece_nbest", *(["piece_round_trip"] if verify else [])]
+    names = [c for c in docs.columns if c not in new_names]
     width = len(names)
 
     def run(batches):
         import pyarrow as pa
 
         pattern = re.compile(model.word)
+        surface = np.array(model.surface, dtype=object)
         solved = Solved.empty()
         ranked: dict = {}
 
@@ -343,13 +356,14 @@ def encode(docs: DataFrame, model: Model, n: int = N_BEST, text_col: str = "text
                             edited.append(x)
                 edits = pa.StructArray.from_arrays([pa.array(starts, pa.int32()), pa.array(drops, pa.int32()), pa.array(edited, pa.list_(pa.int32()))], ["start", "drop", "ids"])
                 others = pa.StructArray.from_arrays([pa.array(more, pa.float64()), lists(per_plan, edits)], ["score", "edits"])
-                yield pa.RecordBatch.from_arrays(
-                    [*(c.slice(lo, hi - lo) for c in batch.columns[:width]), lists(np.diff(begin[bounds]), pa.array(ids, pa.int32())),
-                     pa.array(scores, pa.float64()), lists(per_row, others)],
-                    names=[*names, "piece_ids", "piece_score", "piece_nbest"])
+                added = [lists(np.diff(begin[bounds]), pa.array(ids, pa.int32())), pa.array(scores, pa.float64()), lists(per_row, others)]
+                if verify:
+                    back = texts_of(surface, ids, begin[bounds[1:]])
+                    added.append(pa.array([a == t.replace(SPACE, " ") for a, t in zip(back, texts[lo:hi])], pa.bool_()))
+                yield pa.RecordBatch.from_arrays([*(c.slice(lo, hi - lo) for c in batch.columns[:width]), *added], names=[*names, *new_names])
 
     schema = docs.select(*[F.col(f"`{c}`") for c in names]).schema
-    added = StructType.fromDDL(f"piece_ids array<int>, piece_score double, piece_nbest {NBEST}")
+    added = StructType.fromDDL(f"piece_ids array<int>, piece_score double, piece_nbest {NBEST}" + (", piece_round_trip boolean" if verify else ""))
     schema = StructType([*schema.fields, *added.fields])
     return docs.select(*[F.col(f"`{c}`") for c in names], text_or_empty(text_col).alias("__text")).mapInArrow(run, schema)
 
@@ -368,36 +382,23 @@ def decode(frame: DataFrame, model: Model, ids_col: str = "piece_ids", out_col:
 
         surface = np.array(model.surface, dtype=object)
         for batch in batches:
-            column, texts = batch.column(at), []
-            found = surface[column.flatten().to_numpy(zero_copy_only=False)].tolist()
-            sizes = column.value_lengths().fill_null(0).to_numpy()
-            ends = np.cumsum(sizes, dtype=np.int64)
-            for known, a, b in zip(column.is_valid().to_pylist(), (ends - sizes).tolist(), ends.tolist()):
-                data = b"".join(found[a:b])
-                texts.append((data[1:] if data[:1] == b" " else data).decode("utf-8", "replace") if known else None)
+            column = batch.column(at)
+            ends = np.cumsum(column.value_lengths().fill_null(0).to_numpy(), dtype=np.int64)
+            found = texts_of(surface, column.flatten().to_numpy(zero_copy_only=False), ends)
+            texts = [text if known else None for text, known in zip(found, column.is_valid().to_pylist())]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*names, out_col])
 
     rows = frame.select(*[F.col(f"`{c}`") for c in names])
     return rows.mapInArrow(run, frame.select(*[F.col(f"`{c}`") for c in names]).schema.add(out_col, "string"))
 
 
-def verified(coded: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """`coded` with `piece_round_trip`: whether decoding `piece_ids` gives the text (a null one: the empty text) back.
-
-    A mark of a space in the text decodes as a space. The column replaces one of its name; the rest stays.
-    """
-    name = "piece_round_trip"
-    same = F.col(name) == F.translate(text_or_empty(text_col), SPACE, " ")
-    return decode(coded, model, out_col=name).withColumn(name, same)
-
-
 def digest(docs: DataFrame, model: Model, n: int = N_BEST, text_col: str = "text") -> DataFrame:
     """Per row: pieces of the best segmentation, the n best scores, a hash of the ids, and whether decoding gives the text back."""
-    coded = decode(encode(docs, model, n, text_col), model)
-    same = F.col("decoded") == F.translate(text_or_empty(text_col), SPACE, " ")
     keep = [c for c in docs.columns if c != text_col]
+    coded = encode(docs, model, n, text_col, verify=True)
     return coded.select(*keep, F.size("piece_ids").cast("long").alias("n_pieces"), F.col("piece_score").alias("best_score"),
-                        F.transform("piece_nbest", lambda x: x["score"]).alias("next_scores"), F.xxhash64("piece_ids").alias("ids_hash"), same.alias("round_trip"))
+                        F.transform("piece_nbest", lambda x: x["score"]).alias("next_scores"), F.xxhash64("piece_ids").alias("ids_hash"),
+                        F.col("piece_round_trip").alias("round_trip"))
 
 
 def query(spark, sf_dir: str) -> DataFrame:
