@@ -40,8 +40,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents with their pieces, the next best segmentations as edits, and whether decoding gives the text back."""
-    model = pieces.load(TOKENIZER)
-    return pieces.verified(pieces.encode(docs, model), model)
+    return pieces.encode(docs, pieces.load(TOKENIZER), verify=True)
 
 
 STAGES = [
