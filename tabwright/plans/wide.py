@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tabwright.models.wide import WideFront
+from tabwright.models.factors import FactorRidge
 from tabwright.operators.codes import LevelCodes
 from tabwright.plans.registry import query, rnd, rounded
 from tabwright.sources.tables import table
@@ -28,9 +28,9 @@ def enc_onehot_wide(spark, sf):
   select l_orderkey, l_linenumber, t.l_partkey, fold, {rnd('b + coalesce(n / (n + 10) * (m - b), 0)', 3)} as pred
   from t join b on b.f = fold left join g on g.f = fold and g.l_partkey = t.l_partkey""")
 def model_ridge_wide(spark, sf):
-    """Ridge on one indicator per part, out of fold: the products are tiles, each step of the solver is a multiplication."""
+    """Ridge on one indicator per part, out of fold: sums, weights and the solver's steps stay in rows of the cluster."""
     lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", F.col("l_extendedprice").cast("double").alias("y"),
                                                 (F.col("l_orderkey") % 2).cast("int").alias("fold"))
-    front = WideFront(lines, [], ["l_partkey"], 2, "y", transform="none")
-    out = front.predict(lines, {"pred": front.fit("ridge", {"alpha": 10.0})}, ["l_orderkey", "l_linenumber", "l_partkey", "fold"])
+    weights = FactorRidge(lines, [], ["l_partkey"], 2, "y", transform="none").fit(10.0)
+    out = weights.predict(lines, "pred", ["l_orderkey", "l_linenumber", "l_partkey", "fold"])
     return rounded(out, {"pred"}, 3)
