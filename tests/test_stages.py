@@ -141,3 +141,34 @@ def test_a_learned_target_transform_is_refitted_in_every_fold(spark):
     # another target in fold 1 changes nothing in the fit that leaves fold 1 out
     other = FrontEnd(df.withColumn("y", F.when(F.col("fold") == 1, F.col("y") * 9).otherwise(F.col("y"))), Design(["x"], [], [], {}), 3, "y", transform="yeojohnson")
     assert other.y_lam[1] == pytest.approx(fr.y_lam[1], abs=1e-6) and abs(other.y_lam[3] - fr.y_lam[3]) > 1e-4
+
+
+def test_rows_of_a_tree_task_are_bounded(spark, monkeypatch):
+    """A fit's tasks hold a bounded number of rows, and fewer fits run side by side when rows are many."""
+    monkeypatch.setattr(trees, "TASK_ROWS", 100)
+    monkeypatch.setattr(trees, "ROWS_AT_ONCE", 2500)
+    df = spark.range(1000).select("id", (F.col("id") % 3).cast("int").alias("fold"), F.col("id").cast("double").alias("x"), (F.col("id") + 1.0).alias("target")).coalesce(1)
+    t = trees.TreeTrainer(df, ["x"], [], [], "target", 3)
+    cost = spark.conf.get("spark.sql.files.openCostInBytes")
+    with t.file_by_file():
+        sizes = t.prepared(3).select("z").rdd.glom().map(len).collect()
+    assert max(sizes) <= 100 and sum(sizes) == 1000 and t.at_once == 2
+    assert t.prepared(3) is t.prepared(3)
+    errors = trees.grid_errors(t, [trees.forest(2, 2), trees.forest(3, 5)])
+    assert errors[0] > errors[1] > 0
+    assert t.predictions(trees.forest(2, 2), "m", ["id"]).count() == 1000
+    assert spark.conf.get("spark.sql.files.openCostInBytes") == cost
+
+
+def test_shifted_values_travel_in_pieces(spark, monkeypatch):
+    """Each column's values move on by its own shift, over block borders and past the end; rows are not shuffled once per column."""
+    monkeypatch.setattr(trees, "ORDER_BLOCK", 7)
+    df = spark.range(1, 61).select(F.col("id").alias("__pos"), (F.col("id") * 10).alias("a"), F.when(F.col("id") % 3 > 0, F.concat(F.lit("s"), "id")).alias("b")).repartition(5)
+    moved = trees.moved_on(df, {"a": 1, "b": 45}, 60)
+    assert moved._jdf.queryExecution().executedPlan().toString().count("Exchange") <= 3
+    got = {r["__pos"]: r for r in moved.collect()}
+    assert len(got) == 60
+    for p, r in got.items():
+        q, t = (p - 2) % 60 + 1, (p - 46) % 60 + 1
+        assert r["a"] == p * 10 and r["__new_a"] == q * 10
+        assert r["__new_b"] == (f"s{t}" if t % 3 else None)
