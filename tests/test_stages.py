@@ -8,7 +8,7 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import functions as F
 
 from tabwright.models import linear, trees
-from tabwright.models.front import coefficient_table, predict_wide
+from tabwright.models.front import Design, FrontEnd, coefficient_table, predict_wide
 from tabwright.models.stages import FrontStage, stage_of
 from tabwright.plans import workbench as WB
 from tabwright.session import new_path
@@ -172,3 +172,26 @@ def test_shifted_values_travel_in_pieces(spark, monkeypatch):
         q, t = (p - 2) % 60 + 1, (p - 46) % 60 + 1
         assert r["a"] == p * 10 and r["__new_a"] == q * 10
         assert r["__new_b"] == (f"s{t}" if t % 3 else None)
+
+
+def test_features_come_as_vectors_without_row_objects(spark):
+    """Slots and vectors are made in Arrow batches: no expression per level and no conversion of each row; values are those of the map."""
+    rows = [(0, 1.5, "a", "2", 0, 1.0), (1, None, "b", "10", 1, 2.0), (2, 4.5, "a", None, 0, 3.0), (3, 2.5, None, "2", 1, 4.0), (4, 7.0, "b", "10", 0, 5.0), (5, None, "a", "2", 1, 6.0)]
+    df = spark.createDataFrame(rows, "id int, x double, g string, o string, fold int, target double")
+    design = Design(["x"], ["g"], ["o"], {"g": ["a", "b"], "o": ["2", "10"]}, {"x": "g"})
+    stage = stage_of(FrontEnd(df, design, 2, "target", transform="none"), 2)
+    new = spark.createDataFrame([*rows, (6, 1.0, "new", "11", 0, 7.0), (7, None, "new", "2", 0, 8.0), (8, float("nan"), "a", None, 0, 9.0)], df.schema)
+    out = stage.transform(new)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "array_position" not in plan and "UDF(" not in plan.replace("features(", "")
+    T = np.zeros((len(stage.names), design.width))
+    T[stage.entries[:, 0].astype(int), stage.entries[:, 1].astype(int)] = stage.entries[:, 2]
+    slots = {r["id"]: [r[f"__s{i}"] for i in range(len(design.blocks))] for r in new.select("id", *design.slots()).collect()}
+    for r in out.collect():
+        base = np.zeros(design.width)
+        base[0] = 1.0
+        base[1] = 0.0 if r["x"] is None or np.isnan(r["x"]) else r["x"] - stage.shift[0]
+        for (kind, c, _), s in zip(design.blocks, slots[r["id"]]):
+            if s >= 0:
+                base[design.start[(kind, c)] + s] = 1.0
+        assert r["features"].toArray() == pytest.approx(T @ base, abs=1e-12)
