@@ -174,6 +174,15 @@ def test_shifted_values_travel_in_pieces(spark, monkeypatch):
         assert r["__new_b"] == (f"s{t}" if t % 3 else None)
 
 
+def test_rows_of_a_tree_task_stay_few_at_full_size(spark):
+    """A task keeps about 270 bytes of a row: 250,000 rows of one split are already written in files."""
+    df = spark.range(250_000).select("id", (F.col("id") % 2).cast("int").alias("fold"), (F.col("id") % 97).cast("double").alias("x"), (F.col("id") + 1.0).alias("target")).coalesce(1)
+    t = trees.TreeTrainer(df, ["x"], [], [], "target", 2)
+    with t.file_by_file():
+        sizes = t.prepared(2).select("z").rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()
+    assert t.split and sum(sizes) == 250_000 and max(sizes) <= 200_000
+
+
 def test_features_come_as_vectors_without_row_objects(spark):
     """Slots and vectors are made in Arrow batches: no expression per level and no conversion of each row; values are those of the map."""
     rows = [(0, 1.5, "a", "2", 0, 1.0), (1, None, "b", "10", 1, 2.0), (2, 4.5, "a", None, 0, 3.0), (3, 2.5, None, "2", 1, 4.0), (4, 7.0, "b", "10", 0, 5.0), (5, None, "a", "2", 1, 6.0)]
