@@ -190,6 +190,11 @@ def cells(rows: DataFrame, by: Sequence[str] = (), buckets: int = BUCKETS, cell:
     return rows, offsets, local
 
 
+def sees(fit: Column, fold: Column) -> Column:
+    """Whether a fit learns from a row: from all but its left-out fold. A negative fold -1 - f marks a row that fit f alone sees."""
+    return F.when(fold < 0, fit == -1 - fold).otherwise(fit != fold)
+
+
 def expand_folds(stats: DataFrame, k: int, fold: str = "fold", out: str = "fit_fold") -> DataFrame:
     """Hand every per-fold statistic to the fits that may see it.
 
@@ -197,7 +202,7 @@ def expand_folds(stats: DataFrame, k: int, fold: str = "fold", out: str = "fit_f
     Applied to aggregated tables only, so rows are never multiplied.
     """
     fits = F.array(*[F.lit(i) for i in range(k + 1)])
-    return stats.withColumn(out, F.explode(F.filter(fits, lambda f: f != F.col(fold)))).drop(fold)
+    return stats.withColumn(out, F.explode(F.filter(fits, lambda f: sees(f, F.col(fold))))).drop(fold)
 
 
 def exact_quantiles(
@@ -261,7 +266,7 @@ def long_quantiles(
     here = need.drop("spots", "total")
     picked = null_safe_join(tagged, F.broadcast(here) if small else here, keys)
     if fold:
-        picked = picked.filter(F.col("fit_fold") != F.col(fold))
+        picked = picked.filter(sees(F.col("fit_fold"), F.col(fold)))
     counted = picked.groupBy(*at, "value").agg(F.count("*").alias("c"))
     ranked = counted.withColumn("hi", F.sum("c").over(W.partitionBy(*at).orderBy("value")))
     inside = F.expr("filter(spots, s -> s.place < hi and s.place >= hi - c)")

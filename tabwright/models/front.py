@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabwright.functions.order import exact_quantiles, expand_folds, long_quantiles
+from tabwright.functions.order import expand_folds, long_quantiles
 from tabwright.functions.scalar import inv_yeo_johnson, target_pair, yeo_johnson
 from tabwright.operators import learned as L
 from tabwright.session import few_tasks
@@ -256,20 +256,21 @@ class FrontEnd:
         return out
 
     def _learn_quartiles(self, rows: DataFrame) -> None:
-        """Quartiles of the *imputed* columns; the one scaler that has to see imputed rows per fit."""
+        """Quartiles of the *imputed* columns: values are counted per fold like everything else, only the cells that a fit fills are copied for it."""
         d = self.design
         table = [(f, c, i, v) for f in self.fits for c in d.continuous for i, v in enumerate(self._fill_values(f, c))]
         spark = rows.sparkSession
         fills = spark.createDataFrame(table, f"{L.FIT} int, column string, slot int, fill double")
         slots = {c: s for (kind, c, _), s in zip(d.blocks, d.slots()) if kind == "null"}
         cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x"), slots[c].alias("slot")) for c in d.continuous])
-        long = expand_folds(rows.select(F.col(self.fold).alias("fold"), F.inline(cells)), self.k)
-        joined = long.join(F.broadcast(fills), [L.FIT, "column", "slot"], "left")  # bounded by MAX_WIDTH per fit
-        values = joined.select(L.FIT, F.col("column").alias("name"), F.coalesce("x", "fill").alias("v"))
-        q = exact_quantiles(values, ["v"], [0.25, 0.5, 0.75], by=[L.FIT, "name"])
+        long = rows.select(F.col(self.fold).cast("int").alias("fold"), F.inline(cells))
+        empty = expand_folds(long.filter(F.col("x").isNull()), self.k).drop("x")
+        filled = empty.join(F.broadcast(fills), [L.FIT, "column", "slot"]).select((-1 - F.col(L.FIT)).alias("fold"), "column", F.col("fill").alias("value"))  # bounded by MAX_WIDTH per fit
+        values = long.select("fold", "column", F.col("x").alias("value")).filter(F.col("value").isNotNull()).unionByName(filled)
+        q = long_quantiles(values.filter(~F.isnan("value")), [0.25, 0.5, 0.75], fold="fold", k=self.k)
         got: dict[tuple[int, str], dict[float, float]] = {}
         for r in q.collect():
-            got.setdefault((r[L.FIT], r["name"]), {})[r["prob"]] = r["value"]
+            got.setdefault((r[L.FIT], r["column"]), {})[r["prob"]] = r["value"]
         self.quart = {key: (v[0.5], v[0.75] - v[0.25]) for key, v in got.items()}
 
     # the one pass over the rows

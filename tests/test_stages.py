@@ -7,7 +7,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import functions as F
 
-from tabwright.models import linear, trees
+from tabwright.models import front, linear, trees
 from tabwright.models.front import Design, FrontEnd, coefficient_table, predict_wide
 from tabwright.models.stages import FrontStage, stage_of
 from tabwright.plans import workbench as WB
@@ -204,3 +204,18 @@ def test_features_come_as_vectors_without_row_objects(spark):
             if s >= 0:
                 base[design.start[(kind, c)] + s] = 1.0
         assert r["features"].toArray() == pytest.approx(T @ base, abs=1e-12)
+
+
+def test_quartiles_copy_only_filled_cells(spark, monkeypatch):
+    """The robust scaler counts values per fold; a row is not copied for every fit, only its empty cells are."""
+    seen, real = [], front.long_quantiles
+    monkeypatch.setattr(front, "long_quantiles", lambda long, *a, **b: seen.append(long.count()) or real(long, *a, **b))
+    df = spark.range(60).select("id", F.when(F.col("id") % 10 > 0, F.col("id").cast("double")).alias("x"), (F.col("id") % 3).cast("int").alias("fold"), (F.col("id") + 1.0).alias("target"))
+    fr = FrontEnd(df, Design(["x"], [], [], {}), 3, "target", scaling="robust")
+    assert seen[-1] == 54 + 6 * 3  # an empty cell is seen by the fits that do not leave it out
+    for f in range(4):
+        mine = [i for i in range(60) if i % 3 != f]
+        known = [float(i) for i in mine if i % 10]
+        filled = known + [float(np.median(known))] * (len(mine) - len(known))
+        a, b, c = np.quantile(filled, [0.25, 0.5, 0.75])
+        assert fr.quart[(f, "x")] == pytest.approx((b, c - a))
