@@ -51,3 +51,26 @@ def test_short_lengths_on_random_copies(spark):
 
 def test_empty_table(spark):
     assert suffixes.dedup_bytes(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_edges_of_matches_at_every_offset(spark):
+    rng = random.Random(5)
+    word = lambda n: "".join(rng.choice("abcd") for _ in range(n))
+    core = word(120)
+    rows = [(i, word(rng.randrange(40)) + core[rng.randrange(30) : 120 - rng.randrange(30)] + word(rng.randrange(40))) for i in range(120)]
+    _check(spark, rows, 64, gram=9, block=8)
+    _check(spark, [*rows, *((i + 200, core[i:]) for i in range(50))], 64, gram=8, block=6)
+
+
+def test_windows_that_straddle_are_few(spark, monkeypatch):
+    """A block that repeats in part is cut where it has to be, not written window by window."""
+    rng = random.Random(8)
+    word = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    passages = [word(700) for _ in range(40)]
+    rows = [(i, word(300) + passages[i % 40] + word(300)) for i in range(120)]
+    written = []
+    keep = suffixes.materialize
+    monkeypatch.setattr(suffixes, "materialize", lambda df, name: (lambda out: written.append((name, out.count())) or out)(keep(df, name)))
+    _check(spark, rows)
+    blocks = sum(n for name, n in written if name == "unions")
+    assert sum(n for name, n in written if name in ("windows", "parts", "ends")) < 24 * blocks
