@@ -50,6 +50,9 @@ class Index:
         self.count = np.minimum(np.bincount(which, minlength=len(first)), k + 1)
         self.smallest = ids[self.start]
         self.prefix = prefix
+        self.place = np.empty(len(first), np.int64)  # among the smallest ids, where ties of the footrule are cut
+        self.place[np.lexsort((np.arange(len(first)), self.smallest))] = np.arange(len(first))
+        self.longest = np.sqrt(np.square(self.vectors).sum(axis=1)).max()
         self.postings = np.zeros((len(pivots), len(first)), np.uint8)
         near = self.nearest(self.vectors, pivots, prefix)
         np.put_along_axis(self.postings, near.T, np.broadcast_to(np.arange(prefix, 0, -1, dtype=np.uint8)[:, None], near.T.shape), axis=0)
@@ -60,11 +63,19 @@ class Index:
 
     def search(self, own: int, q: np.ndarray, near: np.ndarray, share: float, least: int) -> tuple[np.ndarray, np.ndarray]:
         """The k best ids and inner products for one query among the vectors of smallest footrule distance."""
-        weight = np.arange(self.prefix, 0, -1, dtype=np.uint8)[:, None]
-        sums = np.minimum(self.postings[near], weight).sum(axis=0, dtype=np.int64)
-        n = len(sums)
+        n = len(self.smallest)
         take = min(n, max(least, int(np.ceil(share * n))))
-        rank = np.lexsort((self.smallest, -sums))[:take] if take < n else np.arange(n)
+        if take < n:
+            weight = np.arange(self.prefix, 0, -1, dtype=np.uint8)[:, None]
+            sums = np.minimum(self.postings[near], weight).sum(axis=0, dtype=np.uint16)  # at most 255 * 256 / 2
+            rank = np.argpartition(self.place - (sums.astype(np.int64) << 32), take - 1)[:take]
+        else:
+            rank = np.arange(n)
+        close = self.vectors[rank] @ q  # to leave out the far ones; the score itself is the sum below
+        if take > self.k + 1:
+            least_close = np.partition(close, take - self.k - 1)[take - self.k - 1]
+            reach = self.longest * np.sqrt(q @ q) * len(q) * 1e-14
+            rank = rank[~(close < least_close - reach)]  # all of them, if a product overflows
         scores = (self.vectors[rank] * q).sum(axis=1)
         best = np.lexsort((self.smallest[rank], -scores))[: self.k + 1]
         ids, out = [], []
@@ -126,8 +137,8 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "v
         parts = []
         for i, (own, key) in enumerate(zip(left["id"], left["key"])):
             ids, scores = index.search(own, q[i], nearest[i], share, least)
-            parts.append(pd.DataFrame({"query_id": own, "key": key, "vec_id": ids, "score": scores}))
-        return pd.concat(parts)
+            parts.append((np.full(len(ids), own), np.full(len(ids), key), ids, scores))
+        return pd.DataFrame(dict(zip(("query_id", "key", "vec_id", "score"), map(np.concatenate, zip(*parts)))))
 
     keys = ("dims", "shard", "block")
     pairs = side.groupBy(*keys).cogroup(wanted.groupBy(*keys)).applyInPandas(match, "query_id long, key long, vec_id long, score double")

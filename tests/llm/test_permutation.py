@@ -69,3 +69,33 @@ def test_footrule_order():
     foot = np.abs(place - place[7]).sum(axis=1)
     sums = np.minimum(index.postings[q], np.arange(5, 0, -1)[:, None]).sum(axis=0)
     assert (foot == foot[7] + 2 * (sums[7] - sums)).all()
+
+
+def test_exact_scores_only_for_close_vectors():
+    """Most of the share that the footrule leaves is dismissed by one product; results are those of scoring it all."""
+    multiplied = []
+
+    class Counted(np.ndarray):
+        def __array_ufunc__(self, ufunc, method, *inputs, **kwargs):
+            plain = [np.asarray(x) for x in inputs]
+            if ufunc is np.multiply:
+                multiplied.append(plain[0].size)
+            return getattr(ufunc, method)(*plain, **kwargs)
+
+    rng = np.random.default_rng(6)
+    x = np.round(rng.normal(size=(1500, 16)), 1)
+    x[40:60] = x[20:40]
+    x[:, 0] += (x == 0).all(axis=1)
+    points = np.unique(x[200:264], axis=0)
+    index = permutation.Index(np.arange(1500), x, points, 32, 20)
+    index.vectors = index.vectors.view(Counted)
+    near = permutation.Index.nearest(x[:50], points, 32)
+    for i in range(50):
+        ids, scores = index.search(i, x[i], near[i], 0.2, 256)
+        weight = np.arange(32, 0, -1)[:, None]
+        sums = np.minimum(index.postings[near[i]], weight).sum(axis=0)
+        taken = np.lexsort((index.smallest, -sums))[:300]
+        rows = [(-s, k) for v, s in zip(taken, (np.asarray(index.vectors)[taken] * x[i]).sum(axis=1))
+                for k in index.ids[index.start[v] : index.start[v] + index.count[v]] if k != i]
+        assert [(-s, k) for k, s in zip(ids, scores)] == sorted(rows)[:20]
+    assert 0 < sum(multiplied) < 50 * 60 * 16
