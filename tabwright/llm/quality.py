@@ -12,12 +12,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabwright.llm.common import WORD, attach_small, text_or_empty
-from tabwright.session import materialize
+from tabwright.session import few_tasks, materialize
 
 BUCKETS = 1 << 14  # fewest hash buckets of word unigrams and bigrams together
 GRAMS = 32  # distinct n-grams per bucket: the threshold is made for about so many, so buckets grow with the corpus
 RATIO_BYTES = 64 << 20  # of the buckets that are broadcast, the most frequent ones; the others meet n-grams by a shuffle
 SMOOTHING = 1.0
+SPACE = r"[\x20\x09-\x0D]"  # what `WORD` leaves out
 THRESHOLD = -0.1  # nats per n-gram; a text below it is more like the raw corpus than like the trusted part
 MIN_WORDS = 50
 MAX_REPEATED = 50  # percent of words in repeated 3-word windows
@@ -26,7 +27,7 @@ MAX_REPEATED = 50  # percent of words in repeated 3-word windows
 def _measured(docs: DataFrame, text_col: str) -> DataFrame:
     """`docs` with `__words` (array) and `__text`."""
     text = text_or_empty(text_col)
-    return docs.withColumns({"__text": text, "__words": F.regexp_extract_all(text, F.lit(WORD), F.lit(0))})
+    return docs.withColumns({"__text": text, "__words": F.array_remove(F.split(text, SPACE), "")})
 
 
 def _bucket(*parts: Column, buckets: int | None = None) -> Column:
@@ -53,7 +54,8 @@ def gram_counts(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", tex
     Each word gives its unigram and the bigram with its successor (the last word: with nothing).
     """
     ids = trusted.select(F.col(id_col).alias("__id")).filter("__id is not null").distinct().withColumn("__target", F.lit(1))
-    marked = attach_small(docs.select(F.col(id_col).alias("__doc"), F.col(text_col)), ids, F.col("__doc") == F.col("__id"), name="trusted")
+    rows = few_tasks(docs.select(F.col(id_col).alias("__doc"), F.col(text_col)), per_core=1)  # a task sends up to a row per bucket
+    marked = attach_small(rows, ids, F.col("__doc") == F.col("__id"), name="trusted")
     words = _measured(marked, text_col).select(F.coalesce("__target", F.lit(0)).alias("target"), "__words")
     return _grams(words, lambda *parts: _bucket(*parts, buckets=buckets)).groupBy("bucket").agg(
         F.count("*").alias("raw"), F.sum("target").cast("long").alias("target"))
@@ -124,7 +126,7 @@ def measure(docs: DataFrame, ratios: list[float] | DataFrame, threshold: float =
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(WORD))
     rows = rows.withColumns({
         "__llr": total, "__windows": windows, "__lines": lines,
-        "__symbols": F.length(F.regexp_replace(text, r"[^#*$%&|<>]", "")), "__chars": F.length(F.array_join(words, "")),
+        "__symbols": F.regexp_count(text, F.lit(r"[#*$%&|<>]")), "__chars": F.length(F.array_join(words, "")),
     }).drop("__text")
     rows = rows.withColumn("__sorted", F.when(
         F.size(F.array_distinct("__windows")) < F.size("__windows"),

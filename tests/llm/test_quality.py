@@ -111,3 +111,21 @@ def test_joined_ratios_equal_the_list(spark, monkeypatch, text_rows):
         for x, y in zip(sorted(got.collect(), key=key), sorted(want.collect(), key=key), strict=True):
             assert x["llr"] == pytest.approx(y["llr"], abs=1e-8)
             assert {**x.asDict(), "llr": 0} == {**y.asDict(), "llr": 0}
+
+
+def test_counts_are_sent_by_few_tasks(spark):
+    """What is shuffled for the counts is tasks times buckets, so many splits are counted by one task a core."""
+    df = spark.range(200).selectExpr("id as doc_id", "concat('a b ', id, ' a') as text").repartition(64)
+    counts = quality.gram_counts(df, df.filter("doc_id < 20"))
+    tasks = re.findall(r"Repartition (\d+), false", counts._jdf.queryExecution().analyzed().toString())
+    assert tasks and int(tasks[0]) <= spark.sparkContext.defaultParallelism
+    assert counts.agg(F.sum("raw"), F.sum("target")).first()[:] == (1600, 160)
+
+
+def test_words_and_symbols_of_odd_spaces(spark):
+    texts = ["", " ", "a\t\n b\x0b\x0cc\r", "\u00a0#\u2028 *$%&|<>^ \x00 x\x1c", "\n\n#", "\U0001f600 #\U0001f600"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = quality.measure(df, [0.0] * quality.BUCKETS).orderBy("doc_id").collect()
+    for t, r in zip(texts, got):
+        words = re.findall(r"[^\x20\x09-\x0D]+", t)
+        assert (r["n_words"], r["word_chars"], r["n_symbols"]) == (len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in t))
