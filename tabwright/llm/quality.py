@@ -7,6 +7,7 @@ and the n-grams of a text meet the ratios of their buckets by a join.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,28 +19,41 @@ BUCKETS = 1 << 14  # fewest hash buckets of word unigrams and bigrams together
 GRAMS = 32  # distinct n-grams per bucket: the threshold is made for about so many, so buckets grow with the corpus
 RATIO_BYTES = 64 << 20  # of the buckets that are broadcast, the most frequent ones; the others meet n-grams by a shuffle
 SMOOTHING = 1.0
-SPACE = r"[\x20\x09-\x0D]"  # what `WORD` leaves out
+SPACES = "\t\n\x0b\x0c\r"  # what `WORD` leaves out, besides the blank
 THRESHOLD = -0.1  # nats per n-gram; a text below it is more like the raw corpus than like the trusted part
 MIN_WORDS = 50
 MAX_REPEATED = 50  # percent of words in repeated 3-word windows
 
 
 def _measured(docs: DataFrame, text_col: str) -> DataFrame:
-    """`docs` with `__words` (array) and `__text`."""
+    """`docs` with `__text`, `__words` (array) and `__chars`, the code points in words.
+
+    Spaces become blanks first: Spark splits at a fixed character without a regular expression.
+    """
     text = text_or_empty(text_col)
-    return docs.withColumns({"__text": text, "__words": F.array_remove(F.split(text, SPACE), "")})
+    blanks = reduce(lambda x, space: F.replace(x, F.lit(space), F.lit(" ")), SPACES, text)
+    cut = docs.withColumns({"__text": text, "__pieces": F.split(blanks, " ")})
+    return cut.withColumns({"__words": F.array_remove("__pieces", ""), "__chars": F.length("__text") - F.size("__pieces") + 1}).drop("__pieces")
 
 
 def _bucket(*parts: Column, buckets: int | None = None) -> Column:
     return F.pmod(F.xxhash64(*parts), F.lit(buckets or BUCKETS))
 
 
+def _pairs(words: DataFrame, of) -> DataFrame:
+    """`words` (with `__words`) with a row per word: `of(*parts)` of its unigram, `one`, and of the bigram with the next word, `two`.
+
+    The outer generator keeps Spark from adding a filter on the array's size, for which a text would be split twice.
+    """
+    keep = [c for c in words.columns if c != "__words"]
+    single = words.select(*keep, "__words", F.posexplode_outer("__words").alias("i", "w")).filter("w is not null")
+    return single.select(*keep, of(F.col("w")).alias("one"), of(F.col("w"), F.try_element_at("__words", F.col("i") + 2)).alias("two"))
+
+
 def _grams(words: DataFrame, of) -> DataFrame:
     """`words` (with `__words`) with a row per n-gram, `of(*parts)` in `bucket`: unigrams, and bigrams with the next word."""
-    keep = [c for c in words.columns if c != "__words"]
-    single = words.select(*keep, "__words", F.posexplode("__words").alias("i", "w"))
-    both = single.select(*keep, F.array(of(F.col("w")), of(F.col("w"), F.try_element_at("__words", F.col("i") + 2))).alias("b"))
-    return both.select(*keep, F.explode("b").alias("bucket"))
+    pairs = _pairs(words, of)
+    return pairs.withColumn("bucket", F.explode(F.array("one", "two"))).drop("one", "two")
 
 
 def buckets_for(docs: DataFrame, text_col: str = "text") -> int:
@@ -84,12 +98,17 @@ def text_ratios(docs: DataFrame, table: DataFrame, buckets: int, text_col: str =
         common, rest = table.filter(often), table.filter(~often)
     text = text_or_empty(text_col)
     words = _measured(docs.select(F.col(text_col)), text_col).select(F.xxhash64(text).alias("key"), "__words")
-    grams = _grams(words, lambda *parts: _bucket(*parts, buckets=buckets))
-    met = grams.join(F.broadcast(common.drop("raw")), F.col("bucket") == F.col("__b"), "left")
+    met = _pairs(words, lambda *parts: _bucket(*parts, buckets=buckets))
+    for gram in ("one", "two"):  # the same table, broadcast once
+        met = met.join(F.broadcast(common.drop("raw")).alias(gram), F.col(gram) == F.col(f"{gram}.__b"), "left")
+    ratios = [F.coalesce(F.col(f"{gram}.ratio"), F.lit(0.0)) for gram in ("one", "two")]
+    sums = met.select("key", (ratios[0] + ratios[1]).alias("ratio"), F.lit(2).alias("n"))
     if rest is not None:
-        far = met.filter("__b is null").select("key", "bucket").join(rest.hint("shuffle_merge"), F.col("bucket") == F.col("__b"))
-        met = met.filter("__b is not null").select("key", "ratio").union(far.select("key", "ratio"))
-    return met.groupBy("key").agg(F.sum("ratio").alias("__total"), F.count("*").alias("__n"))
+        missed = F.array(*[F.when(F.col(f"{gram}.__b").isNull(), F.col(gram)) for gram in ("one", "two")])
+        far = met.select("key", F.explode(missed).alias("bucket")).filter("bucket is not null")
+        far = far.join(rest.hint("shuffle_merge"), F.col("bucket") == F.col("__b"))
+        sums = sums.union(far.select("key", "ratio", F.lit(0)))
+    return sums.groupBy("key").agg(F.sum("ratio").alias("__total"), F.sum("n").alias("__n"))
 
 
 def log_ratios(counts: DataFrame) -> list[float]:
@@ -126,20 +145,22 @@ def measure(docs: DataFrame, ratios: list[float] | DataFrame, threshold: float =
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(WORD))
     rows = rows.withColumns({
         "__llr": total, "__windows": windows, "__lines": lines,
-        "__symbols": F.regexp_count(text, F.lit(r"[#*$%&|<>]")), "__chars": F.length(F.array_join(words, "")),
-    }).drop("__text")
+        "__symbols": F.regexp_count(text, F.lit(r"[#*$%&|<>]")), "__n": n,
+    }).drop("__text", "__words")
     rows = rows.withColumn("__sorted", F.when(
         F.size(F.array_distinct("__windows")) < F.size("__windows"),
         F.sort_array(F.transform("__windows", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))))
     ordered = F.col("__sorted")
-    twice = F.filter(F.transform(ordered, lambda x, i: F.when(
-        (F.try_element_at(ordered, i + 2)["h"] == x["h"]) | ((i > 0) & (F.element_at(ordered, F.greatest(i, F.lit(1)))["h"] == x["h"])), x["i"])),
-        lambda i: i.isNotNull())
-    covered = F.array_distinct(F.flatten(F.transform(twice, lambda i: F.array(i, i + 1, i + 2))))
+    twice = F.filter(F.zip_with(ordered, F.slice(ordered, 2, F.size(ordered)), lambda x, y: F.when(x["h"] == y["h"], F.array(x["i"], y["i"]))),
+                     lambda pair: pair.isNotNull())
+    rows = rows.withColumn("__at", F.array_distinct(F.flatten(twice)))  # windows that occur twice or more
+    at = F.col("__at")
+    covered = F.array_union(F.array_union(at, F.transform(at, lambda i: i + 1)), F.transform(at, lambda i: i + 2))
+    n = F.col("__n")
     measures = {
         "n_words": n, "word_chars": F.col("__chars"), "n_symbols": F.col("__symbols"),
         "n_dup_lines": F.size("__lines") - F.size(F.array_distinct("__lines")),
-        "n_repeat_words": F.when(ordered.isNotNull(), F.size(covered)).otherwise(0),
+        "n_repeat_words": F.when(at.isNotNull(), F.size(covered)).otherwise(0),
     }
     keep = [c for c in docs.columns if c not in {*measures, "llr", "base_failed", "kept"}]
     mean = F.col("__llr") if joined else F.round(F.coalesce(F.try_divide(F.col("__llr"), 2 * n), F.lit(0.0)), 9)

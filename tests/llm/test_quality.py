@@ -129,3 +129,22 @@ def test_words_and_symbols_of_odd_spaces(spark):
     for t, r in zip(texts, got):
         words = re.findall(r"[^\x20\x09-\x0D]+", t)
         assert (r["n_words"], r["word_chars"], r["n_symbols"]) == (len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in t))
+
+
+def test_a_pass_over_the_grams_splits_a_text_once(spark):
+    df = spark.createDataFrame([(0, "a b a"), (1, ""), (2, None), (3, "c")], "doc_id long, text string")
+    counts = quality.gram_counts(df, df.filter("doc_id = 0"))
+    table = quality.ratio_table(counts, quality.BUCKETS)
+    sums = quality.text_ratios(df, table, quality.BUCKETS)
+    for frame in (counts, sums):
+        assert frame._jdf.queryExecution().optimizedPlan().toString().count("split(") == 1
+    assert counts.agg(F.sum("raw"), F.sum("target")).first()[:] == (8, 6)
+    assert sorted(r["__n"] for r in sums.collect()) == [2, 6]
+
+
+def test_repeated_windows_that_touch_and_overlap(spark):
+    texts = ["a b c a b c", "x x x x x", "a b c d a b c e a b c", "p q r s p q r s t p q r s", "a b c x b c a y c a b", "a b", "a b c"]
+    texts += [f"{'k l m n ' * 40}o {'k l m ' * 3}"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = quality.measure(df, [0.0] * quality.BUCKETS).orderBy("doc_id").collect()
+    assert [r["n_repeat_words"] for r in got] == [_base(t)[1][4] for t in texts]
