@@ -97,16 +97,32 @@ def search_table(spark: SparkSession, family: str, scored) -> DataFrame:
     return spark.createDataFrame(search_rows(family, scored), SEARCH_SCHEMA)
 
 
-def zoom(front: FrontEnd, family: str = "ridge", start: Sequence[float] = (0.01, 0.03, 0.06, 0.1, 0.3, 0.6, 1, 3, 6, 10, 30, 60)):
-    """Coarse grid over alpha, then steps from 60 to 140 percent of the best one."""
-    extra = {"l1_ratio": [0.1, 0.3, 0.5, 0.6, 0.7, 0.8, 0.85, 0.9, 0.95, 1.0]} if family == "elasticnet" else {}
-    first = search(front, family, candidates({"alpha": list(start), **extra}))
-    best = first[0][0]
-    steps = [0.6 + 0.05 * i for i in range(17)]
-    fine = {"alpha": [best["alpha"] * s for s in steps]}
-    if extra:
-        fine["l1_ratio"] = sorted({min(best["l1_ratio"] * s, 1.0) for s in (0.85, 0.9, 0.95, 1.0, 1.05, 1.1, 1.15)})
-    return first, search(front, family, candidates(fine))
+# The coarse lists of the published search, and the parts of the best value that are tried next.
+ZOOM: dict[str, dict[str, list[float]]] = {
+    "ridge": {"alpha": [0.01, 0.03, 0.06, 0.1, 0.3, 0.6, 1, 3, 6, 10, 30, 60]},
+    "lasso": {"alpha": [0.0001, 0.0003, 0.0006, 0.001, 0.003, 0.006, 0.01, 0.03, 0.06, 0.1, 0.3, 0.6, 1]},
+    "elasticnet": {"alpha": [0.0001, 0.0003, 0.0006, 0.001, 0.003, 0.006, 0.01, 0.03, 0.06, 0.1, 0.3, 0.6, 1, 3, 6],
+                   "l1_ratio": [0.1, 0.3, 0.5, 0.6, 0.7, 0.8, 0.85, 0.9, 0.95, 1.0]},
+}
+ALPHA_STEPS = [0.6 + 0.05 * i for i in range(17)]
+RATIO_STEPS = [0.85, 0.9, 0.95, 1.0, 1.05, 1.1, 1.15]
+
+
+def zoom(front: FrontEnd, family: str = "ridge", start: Mapping[str, Sequence[float]] | None = None) -> list[tuple[str, list]]:
+    """(step, scored candidates): a coarse grid, then alphas from 60 to 140 percent of the best one.
+
+    With a mixing ratio there is a step between: ratios from 85 to 115 percent of the best one, 1 at most, each with every
+    alpha of the coarse grid; the best of these fixes the ratio, and its alpha is the one refined.
+    """
+    start = start or ZOOM[family]
+    steps = [("coarse", search(front, family, candidates(start)))]
+    best = steps[-1][1][0][0]
+    if "l1_ratio" in start:
+        ratios = sorted({min(best["l1_ratio"] * s, 1.0) for s in RATIO_STEPS})
+        steps.append(("ratio", search(front, family, candidates({**start, "l1_ratio": ratios}))))
+        best = steps[-1][1][0][0]
+    fine = {k: [v * s for s in ALPHA_STEPS] if k == "alpha" else [v] for k, v in best.items()}
+    return [*steps, ("fine", search(front, family, candidates(fine)))]
 
 
 def fit_all(front: FrontEnd, chosen: Mapping[str, tuple[str, Params]]) -> dict[tuple[str, int], np.ndarray]:

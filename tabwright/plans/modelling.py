@@ -239,9 +239,13 @@ def tune_random(spark, sf):
 
 @query("tune_zoom")
 def tune_zoom(spark, sf):
+    """Every step of the published zoom of ridge, lasso and elastic net."""
     fr = WB.front(spark, sf)
-    first, second = linear.zoom(fr)
-    return linear.search_table(spark, "ridge coarse", first).unionByName(linear.search_table(spark, "ridge fine", second))
+    rows = []
+    for family in linear.ZOOM:
+        for step, scored in linear.zoom(fr, family):
+            rows += linear.search_rows(f"{family} {step}", scored)
+    return spark.createDataFrame(rows, linear.SEARCH_SCHEMA)
 
 
 @query("tune_grid_trees")
